@@ -1,6 +1,11 @@
-"""Surrogate-key lookup against the product dimension."""
+"""Surrogate-key lookup against the product dimension.
 
-from pyspark.sql import DataFrame
+No broadcast is forced: the dimension grows with the catalogue, so Spark decides from the measured size. Beyond
+the broadcast limit a hot product may sit on the left side of the sort-merge join; the right side holds one row
+per key (and day), so adaptive execution splits that product's rows over many tasks and copies one row to each.
+"""
+
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -15,19 +20,34 @@ def resolve_sk(
     """Adds the surrogate key of each row's product; a product without a version keeps its row with NULL.
 
     ``current`` takes today's current version, ``asof`` the version valid on the row's own day (backfills).
-
-    No broadcast is forced: the dimension grows with the catalogue, so Spark decides from the measured size.
-    Beyond the broadcast limit the sort-merge join's left side may hold a hot product; versions are unique per
-    key (and day), so adaptive execution splits that product's rows over many tasks without copying rows.
     """
     if mode == "current":
-        versions = dim.filter("is_current").select(sk, *keys)
-        return df.join(versions, keys, "left")
-    if mode != "asof":
+        found, on = dim.filter("is_current").select(sk, *keys), keys
+    elif mode == "asof":
+        found, on = valid_versions(dim, df.select(*keys, day).distinct(), keys, day, sk), [*keys, day]
+    else:
         raise ValueError(f"mode must be 'current' or 'asof', not {mode!r}")
-    versions = dim.select(sk, *[F.col(k).alias(f"_v_{k}") for k in keys], "effective_date", "expiry_date")
-    same_key = [F.col(k) == F.col(f"_v_{k}") for k in keys]
-    within = (F.col(day) >= F.col("effective_date")) & (
-        F.col("expiry_date").isNull() | (F.col(day) <= F.col("expiry_date"))
+    return df.join(found, on, "left").select(sk, *df.columns)
+
+
+def valid_versions(dim: DataFrame, asked: DataFrame, keys: list[str], day: str, sk: str) -> DataFrame:
+    """The version valid on each asked (key, day), which must be distinct.
+
+    Versions and asked days are laid on one time line per key and the newest version is carried forward: one
+    sort, where a join on the validity range would compare every day of a key with every version of it. A time
+    line holds at most one version and one asked row per day, so it is bounded by the number of days.
+    """
+    version = F.struct(F.col(sk), F.col("expiry_date"))
+    starts = dim.dropna(subset=keys).select(*keys, F.col("effective_date").alias(day), version.alias("version"))
+    line = starts.unionByName(asked.dropna(subset=keys), allowMissingColumns=True)
+    so_far = (
+        Window.partitionBy(*keys)
+        .orderBy(day, F.col("version").isNull())
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    )
+    newest = F.last("version", ignorenulls=True).over(so_far)
+    return (
+        line.withColumn("newest", newest)
+        .filter(F.col("version").isNull() & (F.col("newest.expiry_date").isNull() | (F.col(day) <= F.col("newest.expiry_date"))))
+        .select(*keys, day, F.col(f"newest.{sk}").alias(sk))
     )
-    return df.join(versions, [*same_key, within], "left").select(sk, *df.columns)

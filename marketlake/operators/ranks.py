@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 BUCKETS_PER_LOG_UNIT = 64
 
 
-def percent_rank_within(df: DataFrame, group: list[str], metric: str) -> DataFrame:
+def percent_ranks(df: DataFrame, group: list[str], metrics: list[str]) -> DataFrame:
     """Adds ``<metric>_rank``: the share of the group's other rows with a smaller value, NULL counting as 0.
 
     Equal to ``percent_rank() over (partition by group order by metric)``, but that window sorts a whole group
@@ -16,11 +16,18 @@ def percent_rank_within(df: DataFrame, group: list[str], metric: str) -> DataFra
     A hot value is one counted row, a hot group is spread over its buckets. The join back to the rows has
     unique values on its right, so a value shared by very many rows is split by adaptive execution.
 
-    ``df`` is read more than once: pass a published table, not a long computation.
+    ``df`` is read once per metric and once for the result: pass a published table.
     """
-    value = F.coalesce(F.col(metric).cast("double"), F.lit(0.0))
+    ranked = df
+    for metric in metrics:
+        ranks = _ranks_of_values(df, group, metric)
+        ranked = _join_null_safe(ranked.withColumn("value", _value(metric)), ranks, [*group, "value"]).drop("value")
+    return ranked
+
+
+def _ranks_of_values(df: DataFrame, group: list[str], metric: str) -> DataFrame:
     counts = (
-        df.groupBy(*group, value.alias("value"))
+        df.groupBy(*group, _value(metric).alias("value"))
         .agg(F.count(F.lit(1)).alias("n"))
         .withColumn("bucket", _bucket(F.col("value")))
     )
@@ -36,12 +43,12 @@ def percent_rank_within(df: DataFrame, group: list[str], metric: str) -> DataFra
         counts.withColumn("below_in_bucket", _running_before("n", in_bucket)), buckets, [*group, "bucket"]
     )
     below = F.col("below_bucket") + F.col("below_in_bucket")
-    ranks = values.select(
-        *group,
-        "value",
-        F.when(F.col("group_rows") > 1, below / (F.col("group_rows") - 1)).otherwise(0.0).alias(f"{metric}_rank"),
-    )
-    return _join_null_safe(df.withColumn("value", value), ranks, [*group, "value"]).drop("value")
+    rank = F.when(F.col("group_rows") > 1, below / (F.col("group_rows") - 1)).otherwise(0.0)
+    return values.select(*group, "value", rank.alias(f"{metric}_rank"))
+
+
+def _value(metric: str) -> Column:
+    return F.coalesce(F.col(metric).cast("double"), F.lit(0.0))
 
 
 def _bucket(value: Column) -> Column:

@@ -71,27 +71,25 @@ def scd2_merge(current: DataFrame, incoming: DataFrame, day: str | date, keys: l
 
 
 def rewind(dim: DataFrame, day: str | date) -> DataFrame:
-    """The dimension as it was before ``day``: its versions removed, the ones it closed open again.
-
-    Days after ``day`` must not be in the dimension yet; history is then rebuilt with ``scd2_history``.
-    """
+    """The dimension as it was before ``day``: later versions removed, the ones closed since then open again."""
     d = day_literal(day)
-    too_late = F.raise_error(F.lit(f"the dimension already holds versions later than {day}")).cast("boolean")
-    kept = F.when(F.col("effective_date") > d, too_late).otherwise(F.col("effective_date") < d)
-    closed_that_day = F.coalesce(F.col("expiry_date") == F.date_sub(d, 1), F.lit(False))
+    closed_since = F.coalesce(F.col("expiry_date") >= F.date_sub(d, 1), F.lit(False))
     return (
-        dim.filter(kept)
-        .withColumn("is_current", F.col("is_current") | closed_that_day)
+        dim.filter(F.col("effective_date") < d)
+        .withColumn("is_current", F.col("is_current") | closed_since)
         .withColumn("expiry_date", F.when(~F.col("is_current"), F.col("expiry_date")))
     )
 
 
 def scd2_step(dim: DataFrame, incoming: DataFrame, day: str | date, keys: list[str]) -> DataFrame:
-    """The whole dimension after ``day``. Running the same day again gives the same dimension.
+    """The whole dimension after ``day``. Running the newest day again gives the same dimension.
 
+    A day before the newest one fails: history after it would be lost, and is rebuilt with ``scd2_history``.
     Closed versions pass through without a shuffle; only current ones meet the incoming rows.
     """
-    prior = rewind(dim, day)
+    too_late = F.raise_error(F.lit(f"the dimension already holds versions later than {day}")).cast("boolean")
+    checked = dim.filter(F.when(F.col("effective_date") > day_literal(day), too_late).otherwise(True))
+    prior = rewind(checked, day)
     closed = prior.filter(~F.col("is_current"))
     return closed.unionByName(scd2_merge(prior.filter("is_current"), incoming, day, keys))
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from marketlake import schemas
 from marketlake.operators.quality import dim_totals
-from marketlake.operators.scd2 import scd2_merge
+from marketlake.operators.scd2 import rewind
 from marketlake.plans import dimension, facts, marts, silver
 from marketlake.sources import dim_store
 from marketlake.sources.feeds import DETAILS, FEEDS, SEARCH, Feed, flatten, is_bad, quarantined, read_envelopes
@@ -42,7 +42,9 @@ def tables(lake: str) -> dict[str, Table]:
 
 def run_day(spark: SparkSession, feeds: str, lake: str, day: str, multi_line: bool = True) -> list[RunReport]:
     """Builds every table for one day, in dependency order. Running a day again gives the same tables."""
-    _refuse_past_day(spark, lake, day)
+    newest = dim_store.newest_day(spark, tables(lake)["dim_product"].path)
+    if newest and day < newest:
+        raise ValueError(f"{newest} is already loaded: use backfill to rebuild from {day} on")
     return _run(spark, feeds, lake, day, day, multi_line, "current")
 
 
@@ -53,9 +55,9 @@ def backfill(
 
     Product history from ``start`` on is rebuilt from the range, so the range must reach the newest day loaded.
     """
-    newest = dim_store.committed_runs(spark, tables(lake)["dim_product"].path)
-    if newest and newest[-1] > end:
-        raise ValueError(f"days up to {newest[-1]} are loaded: a rebuild from {start} must reach that day")
+    newest = dim_store.newest_day(spark, tables(lake)["dim_product"].path)
+    if newest and newest > end:
+        raise ValueError(f"days up to {newest} are loaded: a rebuild from {start} must reach that day")
     return _run(spark, feeds, lake, start, end, multi_line, "asof")
 
 
@@ -124,20 +126,17 @@ class _Job:
         return RunReport(name, self.tables[name].path, "replace days", counts["envelopes"], rows_out, counts)
 
     def update_dim(self) -> RunReport:
-        """Adds the range's days to the product history."""
+        """Adds the range's days to the product history, or rebuilds it from the first of them on."""
         path, details = self.tables["dim_product"].path, self.read("silver_product_details")
         rows_in = details.count()
-        if rows_in and self.start < self.end:
-            dim_store.forget_runs(self.spark, path, self.start)
-            before_end = _day_before(self.end)
-            earlier = details.filter(F.col("ingested_at") < F.lit(self.end).cast("date"))
-            base = dim_store.read_dim(self.spark, path, before=self.start)
-            dim_store.write_run(dimension.dim_history(earlier, base), path, before_end)
         if rows_in:
-            last = details.filter(F.col("ingested_at") == F.lit(self.end).cast("date"))
-            incoming = dimension.dim_incoming(last, self.end)
-            current = dim_store.read_dim(self.spark, path, before=self.end).filter("is_current")
-            dim_store.write_run(scd2_merge(current, incoming, self.end, dimension.KEYS), path, self.end)
+            newest = dim_store.newest_day(self.spark, path)
+            rebuild = newest is not None and self.start <= newest
+            dim = dim_store.read_dim(self.spark, path)
+            versions = dimension.dim_update(rewind(dim, self.start) if rebuild else dim, details, self.start, self.end)
+            if rebuild:
+                versions = versions.unionByName(rewind(dim, self.start).filter(~F.col("is_current")))
+            dim_store.write_run(self.spark, versions, path, self.end, rebuild)
         totals = dim_totals(dim_store.read_dim(self.spark, path)).first().asDict()
         return RunReport("dim_product", path, "new run", rows_in, totals["total_rows"], totals)
 
@@ -146,16 +145,6 @@ class _Job:
         return publish_days(df, table.path, table.schema, self.start, self.end, rebalance or many_days)
 
 
-def _refuse_past_day(spark: SparkSession, lake: str, day: str) -> None:
-    runs = dim_store.committed_runs(spark, tables(lake)["dim_product"].path)
-    if runs and day < runs[-1]:
-        raise ValueError(f"{runs[-1]} is already loaded: use backfill to rebuild from {day} on")
-
-
 def _days(start: str, end: str) -> list[str]:
     first, last = date.fromisoformat(start), date.fromisoformat(end)
     return [str(first + timedelta(days=n)) for n in range((last - first).days + 1)]
-
-
-def _day_before(day: str) -> str:
-    return str(date.fromisoformat(day) - timedelta(days=1))

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marketlake.functions.keys import sha_key
-from marketlake.operators.scd2 import as_new_versions, day_literal, scd2_history
+from marketlake.operators.scd2 import as_new_versions, day_literal, scd2_history, scd2_merge
 
 KEYS = ["asin", "marketplace"]
 
@@ -51,8 +51,15 @@ def dim_incoming(details: DataFrame, day: str | date | None = None) -> DataFrame
     )
 
 
-def dim_history(details: DataFrame, base: DataFrame | None = None) -> DataFrame:
+def dim_history(details: DataFrame, current: DataFrame | None = None) -> DataFrame:
     """All days of product pages folded into versions, on top of the versions current before the first day."""
     incoming = dim_incoming(details)
-    versions = incoming if base is None else base.filter("is_current").unionByName(incoming)
-    return scd2_history(versions, KEYS)
+    return scd2_history(incoming if current is None else current.unionByName(incoming), KEYS)
+
+
+def dim_update(dim: DataFrame, details: DataFrame, start: str, end: str) -> DataFrame:
+    """What the days ``start``..``end`` make of the current versions: newly closed and current ones."""
+    current = dim.filter("is_current")
+    if start == end:
+        return scd2_merge(current, dim_incoming(details, end), end, KEYS)
+    return dim_history(details, current)

@@ -10,12 +10,12 @@ from marketlake.plans.dimension import KEYS
 PRICE_KEYS = ["asin", "marketplace", "ingested_at"]
 
 
-def fact_search_ranking(search: DataFrame, dim: DataFrame, mode: str = "current") -> DataFrame:
-    """One row per product, keyword, marketplace and day."""
+def search_ranking(search: DataFrame) -> DataFrame:
+    """Search cards under their business names, before the product key is looked up."""
     renamed = search.withColumnsRenamed(
         {"rating": "rating_value", "monthly_sales": "monthly_sales_min", "coupon": "coupon_discount_pct"}
     )
-    cards = renamed.select(
+    return renamed.select(
         "asin",
         "keyword",
         "marketplace",
@@ -34,9 +34,11 @@ def fact_search_ranking(search: DataFrame, dim: DataFrame, mode: str = "current"
         "coupon_discount_pct",
         "source_extracted_at",
     )
-    return resolve_sk(cards, dim, KEYS, mode).select(
-        "product_sk", *cards.columns, F.current_timestamp().alias("gold_processed_at")
-    )
+
+
+def fact_search_ranking(search: DataFrame, dim: DataFrame, mode: str = "current") -> DataFrame:
+    """One row per product, keyword, marketplace and day."""
+    return _stamped(resolve_sk(search_ranking(search), dim, KEYS, mode))
 
 
 def price_snapshot(search: DataFrame) -> DataFrame:
@@ -65,27 +67,24 @@ def price_snapshot(search: DataFrame) -> DataFrame:
             F.bool_or("has_coupon").alias("has_coupon"),
             F.count("keyword").cast("int").alias("keyword_appearance_count"),
         )
-        .select("*", "latest.*")
-        .drop("latest")
+        .select(
+            *PRICE_KEYS,
+            "min_price",
+            "max_price",
+            "avg_price",
+            "latest.latest_price",
+            "latest.original_price_latest",
+            "latest.discount_pct_latest",
+            "has_coupon",
+            "latest.coupon_discount_pct_latest",
+            "keyword_appearance_count",
+        )
     )
 
 
 def fact_price_snapshot(search: DataFrame, dim: DataFrame, mode: str = "current") -> DataFrame:
     """One row per product, marketplace and day."""
-    return resolve_sk(price_snapshot(search), dim, KEYS, mode).select(
-        "product_sk",
-        *PRICE_KEYS,
-        "min_price",
-        "max_price",
-        "avg_price",
-        "latest_price",
-        "original_price_latest",
-        "discount_pct_latest",
-        "has_coupon",
-        "coupon_discount_pct_latest",
-        "keyword_appearance_count",
-        F.current_timestamp().alias("gold_processed_at"),
-    )
+    return _stamped(resolve_sk(price_snapshot(search), dim, KEYS, mode))
 
 
 def fact_product_performance(details: DataFrame, dim: DataFrame, mode: str = "current") -> DataFrame:
@@ -113,6 +112,8 @@ def fact_product_performance(details: DataFrame, dim: DataFrame, mode: str = "cu
         "color_count",
         "image_count",
     )
-    return resolve_sk(pages, dim, KEYS, mode).select(
-        "product_sk", *pages.columns, F.current_timestamp().alias("gold_processed_at")
-    )
+    return _stamped(resolve_sk(pages, dim, KEYS, mode))
+
+
+def _stamped(fact: DataFrame) -> DataFrame:
+    return fact.withColumn("gold_processed_at", F.current_timestamp())

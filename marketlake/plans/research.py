@@ -4,7 +4,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from marketlake.functions.numbers import settled
-from marketlake.operators.ranks import percent_rank_within
+from marketlake.operators.ranks import percent_ranks
 from marketlake.plans.marts import KEYWORD_GRAIN
 
 MARKET_DAY = ["marketplace", "ingested_at"]
@@ -40,9 +40,7 @@ def price_slice(prices: DataFrame, dim: DataFrame, day: str, marketplace: str) -
 
 def opportunity_score(mart: DataFrame) -> DataFrame:
     """Demand against paid competition and review barrier, each as its percent rank in the marketplace's day."""
-    ranked = mart
-    for metric in ("total_monthly_sales_min", "sponsored_pct", "avg_ratings_count"):
-        ranked = percent_rank_within(ranked, MARKET_DAY, metric)
+    ranked = percent_ranks(mart, MARKET_DAY, ["total_monthly_sales_min", "sponsored_pct", "avg_ratings_count"])
     score = (
         DEMAND_WEIGHT * F.col("total_monthly_sales_min_rank")
         - COMPETITION_WEIGHT * F.col("sponsored_pct_rank")
@@ -143,9 +141,7 @@ def ad_saturation(mart: DataFrame) -> DataFrame:
 
 def fragmentation(mart: DataFrame, at_most: float = 0.5) -> DataFrame:
     """Keywords in the lower part of their marketplace's day by best sellers and by reviews: open markets."""
-    ranked = mart
-    for metric in ("best_seller_count", "avg_ratings_count"):
-        ranked = percent_rank_within(ranked, MARKET_DAY, metric)
+    ranked = percent_ranks(mart, MARKET_DAY, ["best_seller_count", "avg_ratings_count"])
     low = (F.col("best_seller_count_rank") <= at_most) & (F.col("avg_ratings_count_rank") <= at_most)
     return ranked.select(
         *KEYWORD_GRAIN,

@@ -273,10 +273,8 @@ def _performance(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _keyword_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The mart reads no surrogate key, so the cards need no dimension here."""
-    no_products = spark.createDataFrame([], schemas.DIM_PRODUCT)
-    ranking = facts.fact_search_ranking(_search(spark, sf_dir), no_products)
-    return marts.mart_keyword_daily(ranking, unique_grain=True)
+    """The mart reads no product key, so the cards need no dimension here."""
+    return marts.mart_keyword_daily(facts.search_ranking(_search(spark, sf_dir)), unique_grain=True)
 
 
 def fact_search_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -325,10 +323,8 @@ def _on_mart(question: Callable[[DataFrame], DataFrame]) -> Query:
 
 def margin_screen(spark: SparkSession, sf_dir: str) -> DataFrame:
     search = _search(spark, sf_dir)
-    no_products = spark.createDataFrame([], schemas.DIM_PRODUCT)
-    ranking = facts.fact_search_ranking(search, no_products)
-    prices = facts.fact_price_snapshot(search, no_products)
-    return research.margin_screen(_keyword_mart(spark, sf_dir), ranking, prices, unit_cost=1.0)
+    mart = _keyword_mart(spark, sf_dir)
+    return research.margin_screen(mart, facts.search_ranking(search), facts.price_snapshot(search), unit_cost=1.0)
 
 
 def rank_history(spark: SparkSession, sf_dir: str) -> DataFrame:

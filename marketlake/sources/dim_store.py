@@ -1,9 +1,12 @@
-"""The product dimension on disk: one directory per run day, visible once the run has finished.
+"""The product dimension on disk: ``<path>/generation=G/run_day=D/is_current=...``, one directory per run.
 
-``<path>/run_day=D/is_current=false`` holds the versions closed by the run of day D, ``is_current=true`` the
-versions current after it. The dimension is every closed version so far plus the newest run's current ones, so
-a daily run never rewrites closed history. Spark leaves ``_SUCCESS`` in a run's directory when its one write
-job commits: until then readers see the run before it. A rerun of a day starts from the run before that day.
+A run adds the versions it closed (``is_current=false``) and the versions current after it (``true``). The
+dimension is every closed version of the newest generation plus its newest run's current ones, so a daily run
+never rewrites closed history. A rerun or rebuild of past days writes the whole dimension once, as the first run
+of a new generation, and leaves the one it reads from untouched.
+
+Spark leaves ``_SUCCESS`` in a run's directory when its single write job commits. Until then readers see the
+state before it, so a run that dies halfway is invisible and is simply run again.
 """
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,49 +15,66 @@ from pyspark.sql import functions as F
 from marketlake import schemas
 from marketlake.sources.files import child_names, delete, exists
 
-RUN = "run_day"
+GENERATION, RUN = "generation", "run_day"
 
 
-def committed_runs(spark: SparkSession, path: str, before: str | None = None) -> list[str]:
-    runs = [n.removeprefix(f"{RUN}=") for n in child_names(spark, path) if n.startswith(f"{RUN}=")]
-    runs = [r for r in runs if before is None or r < before]
-    return [r for r in runs if exists(spark, f"{path}/{RUN}={r}/_SUCCESS")]
+def newest_day(spark: SparkSession, path: str) -> str | None:
+    """The day of the newest finished run."""
+    _, days = _newest_generation(spark, path)
+    return days[-1] if days else None
 
 
-def read_dim(spark: SparkSession, path: str, before: str | None = None) -> DataFrame:
-    """The dimension after the newest run, or after the newest run before a day; empty before the first run."""
-    runs = committed_runs(spark, path, before)
-    if not runs:
+def read_dim(spark: SparkSession, path: str) -> DataFrame:
+    """The dimension after the newest finished run; empty before the first."""
+    generation, days = _newest_generation(spark, path)
+    if not days:
         return spark.createDataFrame([], schemas.DIM_PRODUCT)
+    base = f"{path}/{GENERATION}={generation}"
     stored = (
         spark.read.schema(f"{schemas.DIM_PRODUCT}, {RUN} date")
-        .option("basePath", path)
-        .parquet(*[f"{path}/{RUN}={r}" for r in runs])
+        .option("basePath", base)
+        .parquet(*[f"{base}/{RUN}={d}" for d in days])
     )
-    newest = F.col(RUN) == F.lit(runs[-1]).cast("date")
+    newest = F.col(RUN) == F.lit(days[-1]).cast("date")
     return stored.filter(~F.col("is_current") | newest).select(*schemas.column_names(schemas.DIM_PRODUCT))
 
 
-def write_run(versions: DataFrame, path: str, day: str) -> None:
-    """Closed and current versions of one run in one job."""
+def write_run(spark: SparkSession, versions: DataFrame, path: str, day: str, rebuild: bool = False) -> None:
+    """Adds a run to the newest generation, or starts a new one with a rebuilt dimension."""
+    generation, days = _newest_generation(spark, path)
+    if rebuild and days:
+        generation += 1
     (
         versions.select(*schemas.column_names(schemas.DIM_PRODUCT))
         .write.mode("overwrite")
         .option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "true")
         .option("partitionOverwriteMode", "static")
         .partitionBy("is_current")
-        .parquet(f"{path}/{RUN}={day}")
+        .parquet(f"{path}/{GENERATION}={generation}/{RUN}={day}")
     )
 
 
-def forget_runs(spark: SparkSession, path: str, since: str) -> None:
-    """Removes the runs from a day on, newest first, so that readers fall back run by run."""
-    for name in reversed(child_names(spark, path)):
-        if name.startswith(f"{RUN}=") and name >= f"{RUN}={since}":
-            delete(spark, f"{path}/{name}")
+def drop_old_runs(spark: SparkSession, path: str) -> None:
+    """Frees what no reader needs: older generations, and the current versions of all but the newest run."""
+    newest, days = _newest_generation(spark, path)
+    for generation in _numbers(spark, path):
+        if generation < newest:
+            delete(spark, f"{path}/{GENERATION}={generation}")
+    for day in days[:-1]:
+        delete(spark, f"{path}/{GENERATION}={newest}/{RUN}={day}/is_current=true")
+
+
+def _newest_generation(spark: SparkSession, path: str) -> tuple[int, list[str]]:
+    """Number and finished run days of the newest generation that has a finished run."""
+    for generation in reversed(_numbers(spark, path)):
+        base = f"{path}/{GENERATION}={generation}"
+        days = [n.removeprefix(f"{RUN}=") for n in child_names(spark, base) if n.startswith(f"{RUN}=")]
+        finished = [d for d in days if exists(spark, f"{base}/{RUN}={d}/_SUCCESS")]
+        if finished:
+            return generation, finished
+    return 0, []
 
 
-def drop_old_snapshots(spark: SparkSession, path: str, keep: int = 2) -> None:
-    """Frees the current-version snapshots of all but the newest runs; closed history stays."""
-    for run in committed_runs(spark, path)[:-keep]:
-        delete(spark, f"{path}/{RUN}={run}/is_current=true")
+def _numbers(spark: SparkSession, path: str) -> list[int]:
+    prefix = f"{GENERATION}="
+    return sorted(int(n.removeprefix(prefix)) for n in child_names(spark, path) if n.startswith(prefix))
