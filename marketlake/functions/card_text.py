@@ -6,6 +6,8 @@ All are plain Column expressions, safe under ANSI mode: an unreadable text gives
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from marketlake.functions.numbers import number
+
 # How the marketplace writes prices, ratings, counts and coupons.
 CURRENCY_TEXT = r"^([^\d]+)"
 PRICE_NUMBER = r"([\d,]+(?:\.\d+)?)"
@@ -17,7 +19,7 @@ THOUSAND, MILLION = 1_000, 1_000_000
 
 
 def _plain_number(text: Column) -> Column:
-    return F.replace(text, F.lit(","), F.lit("")).try_cast("double")
+    return number(F.replace(text, F.lit(","), F.lit("")))
 
 
 def price_columns(c: Column) -> dict[str, Column]:
@@ -36,7 +38,7 @@ def discount_pct(original: Column, price: Column) -> Column:
 
 def leading_number(c: Column) -> Column:
     """4.5 from "4.5 out of 5 stars"."""
-    return F.regexp_extract(c, LEADING_NUMBER, 1).try_cast("double")
+    return number(F.regexp_extract(c, LEADING_NUMBER, 1))
 
 
 def magnitude_number(c: Column, parens: bool) -> Column:
@@ -51,5 +53,5 @@ def coupon_columns(c: Column) -> dict[str, Column]:
     """Whether a coupon is shown, and its percentage (NULL for a fixed amount)."""
     return {
         "has_coupon": c.isNotNull(),
-        "coupon": F.regexp_extract(c, SAVED_PERCENT, 1).try_cast("double"),
+        "coupon": number(F.regexp_extract(c, SAVED_PERCENT, 1)),
     }

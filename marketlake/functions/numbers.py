@@ -4,6 +4,12 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def number(text: Column) -> Column:
+    """The text as a double, NULL if it is none. An empty text is taken out first: casting it is correct but slow,
+    as it fails with an exception on every such row."""
+    return F.nullif(text, F.lit("")).try_cast("double")
+
+
 def settled(c: Column, places: int) -> Column:
     """Rounds an average half-up, independently of the order in which its doubles were added.
 

@@ -3,12 +3,14 @@
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from marketlake.functions.numbers import number
+
 # How the marketplace writes brands, ranks, sizes, weights and dates.
 BRAND_PREFIX = r"^Brand:\s*"
 RANK_IN_CATEGORY = r"#?([\d,]+)\s+in\s*(.*)$"
 SIDES_AND_UNIT = r"^([\d.]+)\s*x\s*([\d.]+)(?:\s*x\s*([\d.]+))?(?:\s*([A-Za-z]\w*))?"
 WEIGHT_AND_UNIT = r"^([\d.]+)\s+(.+)$"
-LISTING_DATE_FORMATS = ("MMMM d, yyyy", "MMM d, yyyy", "yyyy-MM-dd")
+LISTING_DATES = {r"^[A-Za-z]{3} ": "MMM d, yyyy", r"^[A-Za-z]{4,} ": "MMMM d, yyyy", r"^\d{4}-": "yyyy-MM-dd"}
 IN_STOCK = "in stock"
 STARS = (5, 4, 3, 2, 1)
 
@@ -34,7 +36,7 @@ def dimension_columns(c: Column) -> dict[str, Column]:
     """Length, width, optional height and unit. A unit starts with a letter, so "12 x 10" has none."""
 
     def side(group: int) -> Column:
-        return F.regexp_extract(c, SIDES_AND_UNIT, group).try_cast("double")
+        return number(F.regexp_extract(c, SIDES_AND_UNIT, group))
 
     return {
         "dimension_length": side(1),
@@ -46,7 +48,7 @@ def dimension_columns(c: Column) -> dict[str, Column]:
 
 def weight_columns(c: Column) -> dict[str, Column]:
     return {
-        "weight_value": F.regexp_extract(c, WEIGHT_AND_UNIT, 1).try_cast("double"),
+        "weight_value": number(F.regexp_extract(c, WEIGHT_AND_UNIT, 1)),
         "weight_unit": F.trim(F.regexp_extract(c, WEIGHT_AND_UNIT, 2)),
     }
 
@@ -62,9 +64,10 @@ def rating_columns(overview: Column) -> dict[str, Column]:
 
 
 def listing_date(c: Column) -> Column:
-    """The first of the known date formats that reads the text."""
+    """A date in one of the known formats. Its start tells which: a format that does not fit costs an exception."""
     text = F.trim(c)
-    return F.coalesce(*[F.try_to_timestamp(text, F.lit(f)).cast("date") for f in LISTING_DATE_FORMATS])
+    dates = [F.when(text.rlike(start), F.try_to_timestamp(text, F.lit(f))) for start, f in LISTING_DATES.items()]
+    return F.coalesce(*dates).cast("date")
 
 
 def last_name(categories: Column) -> Column:

@@ -14,7 +14,9 @@ def dedup_latest(df: DataFrame, keys: list[str], order_by: list[Column]) -> Data
     return df.withColumn("_position", position).filter(F.col("_position") == 1).drop("_position")
 
 
-def newest_first(time: str, tie_breaks: list[str], payload: list[str]) -> list[Column]:
-    """Newest first, then the tie-breaks, then a hash of the content, so that equal times give one same row."""
-    descending = [F.col(c).desc() for c in [time, *tie_breaks]]
-    return [*descending, F.xxhash64(*payload).desc()]
+def newest_first(time: str, columns: list[str]) -> list[Column]:
+    """Newest first; rows of equal time in the order of their other columns, so that every run keeps the same one.
+
+    The sort compares those columns only where all before them are equal, so they cost nothing elsewhere.
+    """
+    return [F.col(c).desc() for c in dict.fromkeys([time, *columns])]

@@ -87,10 +87,10 @@ def fact_price_snapshot(search: DataFrame, dim: DataFrame, mode: str = "current"
     return _stamped(resolve_sk(price_snapshot(search), dim, KEYS, mode))
 
 
-def fact_product_performance(details: DataFrame, dim: DataFrame, mode: str = "current") -> DataFrame:
-    """One row per product, marketplace and day, with its first two best-seller ranks side by side."""
+def product_performance(details: DataFrame) -> DataFrame:
+    """Product pages with their first two best-seller ranks side by side, before the key is looked up."""
     first, second = F.get("best_seller_ranks", F.lit(0)), F.get("best_seller_ranks", F.lit(1))
-    pages = details.select(
+    return details.select(
         "asin",
         "marketplace",
         "ingested_at",
@@ -112,7 +112,11 @@ def fact_product_performance(details: DataFrame, dim: DataFrame, mode: str = "cu
         "color_count",
         "image_count",
     )
-    return _stamped(resolve_sk(pages, dim, KEYS, mode))
+
+
+def fact_product_performance(details: DataFrame, dim: DataFrame, mode: str = "current") -> DataFrame:
+    """One row per product, marketplace and day."""
+    return _stamped(resolve_sk(product_performance(details), dim, KEYS, mode))
 
 
 def _stamped(fact: DataFrame) -> DataFrame:

@@ -84,7 +84,8 @@ def _latest_rows(bronze: DataFrame, keys: list[str]) -> DataFrame:
             "ingested_at": F.col("ingested_at").try_cast("date"),
         }
     )
-    return dedup_latest(dated, keys, newest_first("source_extracted_at", ["source_file"], bronze.columns))
+    rest = [c for c in ["source_file", *bronze.columns] if c not in keys]
+    return dedup_latest(dated, keys, newest_first("source_extracted_at", rest))
 
 
 def _named(columns: dict[str, Column]) -> list[Column]:

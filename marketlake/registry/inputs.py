@@ -7,12 +7,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
+    """The wanted columns of one table. A table of fewer splits than cores is spread over them, as a small table
+    is often a single row group, which one task would read and then work on alone; larger ones stay as they are.
+    """
+    rows = spark.read.parquet(f"{sf_dir}/{name}.parquet").select(*columns)
+    cores = spark.sparkContext.defaultParallelism
+    return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows
 
 
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "events").selectExpr(
+    columns = ["event_id", "ts", "user_id", "event_type", "value", "props"]
+    return table(spark, sf_dir, "events", *columns).selectExpr(
         "event_id",
         "user_id",
         "event_type",
@@ -83,8 +89,10 @@ def raw_event_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def raw_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Product pages, one per order line."""
-    lines = table(spark, sf_dir, "lineitem").withColumn("q", F.col("l_quantity").cast("int"))
-    parts = table(spark, sf_dir, "part")
+    columns = ["orderkey", "partkey", "suppkey", "linenumber", "quantity", "extendedprice", "returnflag", "linestatus"]
+    lines = table(spark, sf_dir, "lineitem", *[f"l_{c}" for c in columns], "l_shipdate")
+    lines = lines.withColumn("q", F.col("l_quantity").cast("int"))
+    parts = table(spark, sf_dir, "part", "p_partkey", "p_name", "p_brand", "p_type", "p_size")
     return lines.join(parts, lines.l_partkey == parts.p_partkey).selectExpr(
         "concat('P', l_partkey) as asin",
         "concat('  ', p_name, ' ') as title",
@@ -135,14 +143,16 @@ def raw_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def order_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What is known of a customer after each order."""
-    return table(spark, sf_dir, "orders").selectExpr(
+    columns = ["o_custkey", "o_orderkey", "o_orderdate", "o_orderstatus", "o_orderpriority"]
+    return table(spark, sf_dir, "orders", *columns).selectExpr(
         "o_custkey", "o_orderkey", "cast(o_orderdate as date) as day", "o_orderstatus", "o_orderpriority"
     )
 
 
 def line_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw texts of every kind a card shows, one row per order line."""
-    lines = table(spark, sf_dir, "lineitem").selectExpr(
+    columns = ["l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice", "l_quantity", "l_discount"]
+    lines = table(spark, sf_dir, "lineitem", *columns).selectExpr(
         "l_orderkey",
         "l_linenumber",
         "l_partkey",

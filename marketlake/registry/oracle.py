@@ -437,6 +437,7 @@ FROM ev CROSS JOIN (VALUES (0), (1)) sides(side)""",
             f"""SELECT {CARD_COLUMNS} REPLACE (CASE WHEN {day} THEN upper(title) ELSE title END AS title)
 FROM cards""",
         ),
+        "append_then_clean": _with(EVENTS, CARDS, cards),
         "scd2_history": _with(CUSTOMERS, _history("customer_days"), "SELECT * FROM history"),
         "scd2_current": _with(
             CUSTOMERS,
@@ -494,6 +495,7 @@ LEFT JOIN current_products p ON c.asin = p.asin AND c.marketplace = p.marketplac
         "mart_keyword_daily": _with(EVENTS, CARDS, KEYWORD_MART, "SELECT * FROM keyword_mart"),
         "mart_brand_competitive": _with(*pages, PERFORMANCE, _brand_mart("performance", "products")),
         "backfill_dim_product": _with(*event_dim, "SELECT * FROM event_products"),
+        "rerun_day_dim_product": _with(*event_dim, "SELECT * FROM event_products"),
         "backfill_keyword_mart": _with(EVENTS, CARDS, KEYWORD_MART, "SELECT * FROM keyword_mart"),
         "backfill_brand_mart": _with(*event_dim, EVENT_PERFORMANCE, _brand_mart("event_performance", "event_products")),
         "serving_views": _with(

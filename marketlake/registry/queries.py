@@ -162,6 +162,14 @@ def publish_day_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _shown(tables.read_days(spark, path, schemas.SILVER_SEARCH))
 
 
+def append_then_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw cards appended twice, as by a run repeated in append mode: typing them keeps each card once."""
+    path = scratch_dir(spark, "append")
+    for _ in range(2):
+        tables.append_day(inputs.raw_cards(spark, sf_dir), path, schemas.BRONZE_SEARCH)
+    return _shown(silver.clean_search(tables.read_days(spark, path, schemas.BRONZE_SEARCH)))
+
+
 _LAKES: dict[tuple[str, str], str] = {}
 
 
@@ -192,6 +200,14 @@ def backfill_dim_product(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _shown(dim).drop("_attr_hash")
 
 
+def rerun_day_dim_product(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The newest day run once more: its versions are taken back and built again."""
+    lake = _lake(spark, sf_dir)
+    newest = dim_store.newest_day(spark, daily_run.tables(lake)["dim_product"].path)
+    daily_run.run_day(spark, f"{lake.rpartition('/')[0]}/feeds", lake, newest, multi_line=False)
+    return backfill_dim_product(spark, sf_dir)
+
+
 def serving_views(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The views registered over a built lake, asked in SQL with bound parameters."""
     views.register_views(spark, _lake(spark, sf_dir))
@@ -328,7 +344,7 @@ def margin_screen(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def rank_history(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return research.rank_history(_performance(spark, sf_dir))
+    return research.rank_history(facts.product_performance(_details(spark, sf_dir)))
 
 
 def keyword_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -381,6 +397,7 @@ def queries() -> dict[str, Query]:
         "clean_products": clean_products,
         "ingest_explode": ingest_explode,
         "publish_day_roundtrip": publish_day_roundtrip,
+        "append_then_clean": append_then_clean,
         "scd2_history": scd2_history,
         "scd2_current": scd2_current,
         "scd2_one_step": scd2_one_step,
@@ -394,6 +411,7 @@ def queries() -> dict[str, Query]:
         "backfill_dim_product": backfill_dim_product,
         "backfill_keyword_mart": _lake_table("mart_keyword_daily"),
         "backfill_brand_mart": _lake_table("mart_brand_competitive"),
+        "rerun_day_dim_product": rerun_day_dim_product,
         "serving_views": serving_views,
         "keyword_list": keyword_list,
         "keyword_topk": keyword_topk,

@@ -23,7 +23,7 @@ DAY = date(2026, 3, 4)
 
 
 def latest(df, keys=("asin", "marketplace")):
-    return dedup_latest(df, list(keys), newest_first("ts", ["source_file"], df.columns))
+    return dedup_latest(df, list(keys), newest_first("ts", ["source_file", "v"]))
 
 
 ROWS = "asin string, marketplace string, ts string, source_file string, v int"
@@ -121,6 +121,34 @@ def test_asof_lookup_compares_no_ranges(stored, plan_of):
     assert joins and all("effective_date" not in line for line in joins)
 
 
+def test_hot_product_is_split_over_tasks(spark, stored, plan_of):
+    """A third of all cards on one product, beyond the broadcast limit."""
+    settings_for_small_data = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "10KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20KB",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    rows = 60_000
+    cards = spark.range(rows).selectExpr(
+        "if(id % 3 = 0, 'hot', concat('a', id % 500)) as asin", "'US' as marketplace",
+        "date'2026-03-04' as ingested_at", "id as v",
+    )
+    dim = stored([(f"sk{a}", a, "US", DAY, None, True) for a in ["hot", *[f"a{n}" for n in range(500)]]], DIM)
+    for key, value in settings_for_small_data.items():
+        spark.conf.set(key, value)
+    try:
+        found = resolve_sk(cards.repartition(16), dim, ["asin", "marketplace"]).persist()
+        assert found.filter("product_sk = concat('sk', asin)").count() == rows
+        assert "skew=true" in found._jdf.queryExecution().executedPlan().toString()
+    finally:
+        found.unpersist()
+        for key in settings_for_small_data:
+            spark.conf.unset(key)
+
+
 def test_unknown_lookup_mode(stored):
     cards, dim = stored([("a1", "US", DAY, 1)], CARD), stored(dim_rows(), DIM, "dim")
     with pytest.raises(ValueError, match="mode"):

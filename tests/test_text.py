@@ -109,7 +109,7 @@ def test_brand(stored):
     check(
         stored,
         page.brand_name,
-        [("Brand: RUMIA", "RUMIA"), ("Visit the X Store", "Visit the X Store"), (" Brand: Y", "Brand: Y"), (None, None)],
+        [("Brand: ACME", "ACME"), ("Visit the X Store", "Visit the X Store"), (" Brand: Y", "Brand: Y"), (None, None)],
     )
 
 
