@@ -74,7 +74,7 @@ def _run(
     dim = dim_store.read_dim(spark, job.tables["dim_product"].path)
     reports += [
         job.build("fact_search_ranking", search, lambda s: facts.fact_search_ranking(s, dim, mode)),
-        job.build("fact_price_snapshot", search, lambda s: facts.fact_price_snapshot(s, dim, mode)),
+        job.build("fact_price_snapshot", search, lambda s: facts.fact_price_snapshot(s, dim, mode, unique_grain=True)),
         job.build("fact_product_performance", details, lambda d: facts.fact_product_performance(d, dim, mode)),
     ]
     ranking, performance = job.read("fact_search_ranking"), job.read("fact_product_performance")

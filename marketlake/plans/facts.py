@@ -41,13 +41,15 @@ def fact_search_ranking(search: DataFrame, dim: DataFrame, mode: str = "current"
     return _stamped(resolve_sk(search_ranking(search), dim, KEYS, mode))
 
 
-def price_snapshot(search: DataFrame) -> DataFrame:
+def price_snapshot(search: DataFrame, unique_grain: bool = False) -> DataFrame:
     """Prices of a product's cards on one day: range, average and the newest one, in a single aggregation.
 
     The newest values ride along as ``max_by`` instead of a second scan joined back, and everything combines
-    before the shuffle, so a product shown under very many keywords is no hot group. Typed rows hold a keyword
-    once per product and day, so counting them counts distinct keywords. Rows without a key drop out.
+    before the shuffle, so a product shown under very many keywords is no hot group. ``unique_grain`` says that
+    a keyword occurs once per product, marketplace and day, as in the typed tables: counting keywords then needs
+    no distinct and no second shuffle. Rows without a key drop out.
     """
+    keywords = F.count("keyword") if unique_grain else F.count_distinct("keyword")
     latest = F.struct(
         F.col("price_amount").alias("latest_price"),
         F.col("original_price_amount").alias("original_price_latest"),
@@ -65,7 +67,7 @@ def price_snapshot(search: DataFrame) -> DataFrame:
             settled(F.avg("price_amount"), 2).alias("avg_price"),
             F.max_by(latest, order).alias("latest"),
             F.bool_or("has_coupon").alias("has_coupon"),
-            F.count("keyword").cast("int").alias("keyword_appearance_count"),
+            keywords.cast("int").alias("keyword_appearance_count"),
         )
         .select(
             *PRICE_KEYS,
@@ -82,9 +84,11 @@ def price_snapshot(search: DataFrame) -> DataFrame:
     )
 
 
-def fact_price_snapshot(search: DataFrame, dim: DataFrame, mode: str = "current") -> DataFrame:
+def fact_price_snapshot(
+    search: DataFrame, dim: DataFrame, mode: str = "current", unique_grain: bool = False
+) -> DataFrame:
     """One row per product, marketplace and day."""
-    return _stamped(resolve_sk(price_snapshot(search), dim, KEYS, mode))
+    return _stamped(resolve_sk(price_snapshot(search, unique_grain), dim, KEYS, mode))
 
 
 def product_performance(details: DataFrame) -> DataFrame:

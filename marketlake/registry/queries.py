@@ -281,7 +281,7 @@ def _ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _prices(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return facts.fact_price_snapshot(_search(spark, sf_dir), _product_history(spark, sf_dir))
+    return facts.fact_price_snapshot(_search(spark, sf_dir), _product_history(spark, sf_dir), unique_grain=True)
 
 
 def _performance(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -327,7 +327,8 @@ def keyword_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def price_slice(spark: SparkSession, sf_dir: str) -> DataFrame:
     dim = _product_history(spark, sf_dir).filter("is_current")
-    return _shown(research.price_slice(facts.fact_price_snapshot(_search(spark, sf_dir), dim), dim, DAY, MARKETPLACE))
+    prices = facts.fact_price_snapshot(_search(spark, sf_dir), dim, unique_grain=True)
+    return _shown(research.price_slice(prices, dim, DAY, MARKETPLACE))
 
 
 def _on_mart(question: Callable[[DataFrame], DataFrame]) -> Query:
@@ -339,8 +340,8 @@ def _on_mart(question: Callable[[DataFrame], DataFrame]) -> Query:
 
 def margin_screen(spark: SparkSession, sf_dir: str) -> DataFrame:
     search = _search(spark, sf_dir)
-    mart = _keyword_mart(spark, sf_dir)
-    return research.margin_screen(mart, facts.search_ranking(search), facts.price_snapshot(search), unit_cost=1.0)
+    mart, prices = _keyword_mart(spark, sf_dir), facts.price_snapshot(search, unique_grain=True)
+    return research.margin_screen(mart, facts.search_ranking(search), prices, unit_cost=1.0)
 
 
 def rank_history(spark: SparkSession, sf_dir: str) -> DataFrame:

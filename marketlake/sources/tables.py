@@ -63,7 +63,9 @@ def publish_days(df: DataFrame, path: str, schema: str, start: str, end: str, re
     checked = df.select(*schemas.column_names(schema)).withColumn(
         DAY, F.when(in_range, F.col(DAY)).otherwise(F.raise_error(foreign))
     )
-    return _write(checked, path, "overwrite", rebalance)
+    if rebalance:
+        checked = checked.hint("rebalance") if start == end else checked.hint("rebalance", F.col(DAY))
+    return _write(checked, path, "overwrite")
 
 
 def publish_day(df: DataFrame, path: str, schema: str, day: str, rebalance: bool = False) -> int:
@@ -76,14 +78,12 @@ def append_day(df: DataFrame, path: str, schema: str, mode: str = "append") -> i
         raise ValueError(f"unknown write mode {mode!r}")
     if df.isEmpty():
         return 0
-    return _write(df.select(*schemas.column_names(schema)), path, mode, rebalance=False)
+    return _write(df.select(*schemas.column_names(schema)), path, mode)
 
 
-def _write(df: DataFrame, path: str, mode: str, rebalance: bool) -> int:
+def _write(df: DataFrame, path: str, mode: str) -> int:
     """Writes once and counts while writing: the count sits in the writing stage, so a retried task is not
     counted twice."""
-    if rebalance:
-        df = df.hint("rebalance", F.col(DAY))
     written = Observation()
     (
         df.observe(written, F.count(F.lit(1)).alias("rows"))

@@ -2,6 +2,7 @@
 
 import json
 import os
+from datetime import date, datetime
 from pathlib import Path
 
 import pytest
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 from marketlake import schemas
 from marketlake.operators.quality import current_duplicates, null_keys
 from marketlake.plans import daily_run, marts, views
+from marketlake.plans.facts import price_snapshot
 from marketlake.sources import dim_store, tables
 
 DAYS = ["2026-03-04", "2026-03-05", "2026-03-06"]
@@ -135,10 +137,6 @@ def test_price_snapshot_takes_the_newest_card(spark, built):
 
 
 def test_price_snapshot_newest_with_missing_time(stored):
-    from datetime import date, datetime
-
-    from marketlake.plans.facts import price_snapshot
-
     schema = """asin string, marketplace string, ingested_at date, keyword string, source_extracted_at timestamp,
         price_amount double, original_price_amount double, discount_pct double, has_coupon boolean, coupon double"""
     day = date(2026, 3, 4)
@@ -147,6 +145,7 @@ def test_price_snapshot_newest_with_missing_time(stored):
             ("a", "US", day, "k1", None, 9.0, None, None, False, None),
             ("a", "US", day, "k2", datetime(2026, 3, 4, 1), 5.0, None, None, False, None),
             ("a", "US", day, "k3", datetime(2026, 3, 4, 2), None, None, None, False, None),
+            ("a", "US", day, "k3", datetime(2026, 3, 4, 0), 6.0, None, None, False, None),
             (None, "US", day, "k3", datetime(2026, 3, 4, 2), 1.0, None, None, False, None),
         ],
         schema,
@@ -174,6 +173,9 @@ def test_counting_needs_no_distinct_on_published_facts(spark, built):
     fact = table(spark, daily, "fact_search_ranking")
     quick, exact = (marts.mart_keyword_daily(fact, unique_grain=u).drop("gold_processed_at") for u in (True, False))
     assert sorted(map(str, quick.collect())) == sorted(map(str, exact.collect()))
+    cards = table(spark, daily, "silver_search_results")
+    quick, exact = (price_snapshot(cards, unique_grain=u) for u in (True, False))
+    assert sorted(map(str, quick.collect())) == sorted(map(str, exact.collect()))
 
 
 def test_history_and_checks(spark, built):

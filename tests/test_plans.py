@@ -39,7 +39,7 @@ def read_columns(plan):
 
 
 def test_price_snapshot_is_one_scan_and_one_shuffle(stored_tables, plan_of):
-    plan = plan_of(facts.price_snapshot(stored_tables["search"]))
+    plan = plan_of(facts.price_snapshot(stored_tables["search"], unique_grain=True))
     assert plan.count("FileScan") == 1 and shuffles(plan) == 1
     assert "partial_max_by" in plan[plan.index("Exchange hashpartitioning") :]
     assert {"title", "url", "delivery"}.isdisjoint(read_columns(plan))
