@@ -94,10 +94,10 @@ def scd2_step(dim: DataFrame, incoming: DataFrame, day: str | date, keys: list[s
     return closed.unionByName(scd2_merge(prior.filter("is_current"), incoming, day, keys))
 
 
-def valid_on(dim: DataFrame, day: str | date) -> DataFrame:
-    """The versions valid on one day: at most one per key."""
-    d = day_literal(day)
-    return dim.filter((F.col("effective_date") <= d) & (F.col("expiry_date").isNull() | (F.col("expiry_date") >= d)))
+def valid_between(dim: DataFrame, start: str | date, end: str | date) -> DataFrame:
+    """The versions valid on at least one day of a range; on a single day at most one per key."""
+    still_valid = F.col("expiry_date").isNull() | (F.col("expiry_date") >= day_literal(start))
+    return dim.filter((F.col("effective_date") <= day_literal(end)) & still_valid)
 
 
 def _any_null(keys: list[str]) -> Column:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from marketlake import schemas
 from marketlake.operators.quality import dim_totals
-from marketlake.operators.scd2 import rewind
+from marketlake.operators.scd2 import rewind, valid_between
 from marketlake.plans import dimension, facts, marts, silver
 from marketlake.sources import dim_store
 from marketlake.sources.feeds import DETAILS, FEEDS, SEARCH, Feed, flatten, is_bad, quarantined, read_envelopes
@@ -71,7 +71,7 @@ def _run(
     reports.append(job.update_dim())
 
     search, details = job.read("silver_search_results"), job.read("silver_product_details")
-    dim = dim_store.read_dim(spark, job.tables["dim_product"].path)
+    dim = valid_between(dim_store.read_dim(spark, job.tables["dim_product"].path, since=start), start, end)
     reports += [
         job.build("fact_search_ranking", search, lambda s: facts.fact_search_ranking(s, dim, mode)),
         job.build("fact_price_snapshot", search, lambda s: facts.fact_price_snapshot(s, dim, mode, unique_grain=True)),
@@ -132,10 +132,13 @@ class _Job:
         if rows_in:
             newest = dim_store.newest_day(self.spark, path)
             rebuild = newest is not None and self.start <= newest
-            dim = dim_store.read_dim(self.spark, path)
-            versions = dimension.dim_update(rewind(dim, self.start) if rebuild else dim, details, self.start, self.end)
             if rebuild:
-                versions = versions.unionByName(rewind(dim, self.start).filter(~F.col("is_current")))
+                dim = rewind(dim_store.read_dim(self.spark, path), self.start)
+            else:
+                dim = dim_store.read_dim(self.spark, path, since=newest)
+            versions = dimension.dim_update(dim, details, self.start, self.end)
+            if rebuild:
+                versions = versions.unionByName(dim.filter(~F.col("is_current")))
             dim_store.write_run(self.spark, versions, path, self.end, rebuild)
         totals = dim_totals(dim_store.read_dim(self.spark, path)).first().asDict()
         return RunReport("dim_product", path, "new run", rows_in, totals["total_rows"], totals)

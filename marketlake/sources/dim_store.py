@@ -24,11 +24,17 @@ def newest_day(spark: SparkSession, path: str) -> str | None:
     return days[-1] if days else None
 
 
-def read_dim(spark: SparkSession, path: str) -> DataFrame:
-    """The dimension after the newest finished run; empty before the first."""
+def read_dim(spark: SparkSession, path: str, since: str | None = None) -> DataFrame:
+    """The dimension after the newest finished run; empty before the first.
+
+    ``since`` leaves out runs that closed only versions no longer valid on that day, without listing them: a run
+    closes versions up to the day before its own.
+    """
     generation, days = _newest_generation(spark, path)
     if not days:
         return spark.createDataFrame([], schemas.DIM_PRODUCT)
+    if since is not None:
+        days = [d for d in days[:-1] if d > since] + days[-1:]
     base = f"{path}/{GENERATION}={generation}"
     stored = (
         spark.read.schema(f"{schemas.DIM_PRODUCT}, {RUN} date")

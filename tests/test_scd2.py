@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from marketlake.functions.keys import sha_key
 from marketlake.operators.quality import current_duplicates
-from marketlake.operators.scd2 import as_new_versions, scd2_history, scd2_step, valid_on
+from marketlake.operators.scd2 import as_new_versions, scd2_history, scd2_step, valid_between
 
 KEYS, TRACKED = ["asin", "marketplace"], ["title", "brand"]
 START = date(2026, 3, 4)
@@ -92,7 +92,7 @@ def test_one_pass_equals_the_fold(spark, stored, seed):
     keyed = history.dropna(subset=KEYS)
     assert current_duplicates(keyed, KEYS).count() == 0
     for day in days:
-        valid = valid_on(keyed, day)
+        valid = valid_between(keyed, day, day)
         assert valid.count() == valid.select(*KEYS).distinct().count()
 
 
