@@ -34,6 +34,13 @@ def _shown(df: DataFrame) -> DataFrame:
     return df
 
 
+def _stored(df: DataFrame) -> DataFrame:
+    """Written to the shared folder and read back, for a table that a query reads more than once."""
+    path = scratch_dir(df.sparkSession, "stored")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 # --- typed tables ---------------------------------------------------------------------------------------------
 
 
@@ -269,6 +276,11 @@ def _product_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dimension.dim_history(_details(spark, sf_dir))
 
 
+def _pages_and_history(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    details = _stored(_details(spark, sf_dir))
+    return details, dimension.dim_history(details)
+
+
 def dim_product(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _shown(_product_history(spark, sf_dir)).withColumnRenamed("_attr_hash", "attr_hash")
 
@@ -284,10 +296,6 @@ def _prices(spark: SparkSession, sf_dir: str) -> DataFrame:
     return facts.fact_price_snapshot(_search(spark, sf_dir), _product_history(spark, sf_dir), unique_grain=True)
 
 
-def _performance(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return facts.fact_product_performance(_details(spark, sf_dir), _product_history(spark, sf_dir), "asof")
-
-
 def _keyword_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The mart reads no product key, so the cards need no dimension here."""
     return marts.mart_keyword_daily(facts.search_ranking(_search(spark, sf_dir)), unique_grain=True)
@@ -302,7 +310,8 @@ def fact_price_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def fact_product_performance(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _shown(_performance(spark, sf_dir))
+    details, dim = _pages_and_history(spark, sf_dir)
+    return _shown(facts.fact_product_performance(details, dim, "asof"))
 
 
 def mart_keyword_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -310,8 +319,10 @@ def mart_keyword_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def mart_brand_competitive(spark: SparkSession, sf_dir: str) -> DataFrame:
-    dim = _product_history(spark, sf_dir)
-    return _shown(marts.mart_brand_competitive(_performance(spark, sf_dir), dim, unique_grain=True))
+    details, history = _pages_and_history(spark, sf_dir)
+    dim = _stored(history)
+    performance = facts.fact_product_performance(details, dim, "asof")
+    return _shown(marts.mart_brand_competitive(performance, dim, unique_grain=True))
 
 
 # --- research questions ---------------------------------------------------------------------------------------
@@ -331,17 +342,19 @@ def price_slice(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _shown(research.price_slice(prices, dim, DAY, MARKETPLACE))
 
 
-def _on_mart(question: Callable[[DataFrame], DataFrame]) -> Query:
+def _on_mart(question: Callable[[DataFrame], DataFrame], read_often: bool = False) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return question(_keyword_mart(spark, sf_dir))
+        mart = _keyword_mart(spark, sf_dir)
+        return question(_stored(mart) if read_often else mart)
 
     return query
 
 
 def margin_screen(spark: SparkSession, sf_dir: str) -> DataFrame:
-    search = _search(spark, sf_dir)
-    mart, prices = _keyword_mart(spark, sf_dir), facts.price_snapshot(search, unique_grain=True)
-    return research.margin_screen(mart, facts.search_ranking(search), prices, unit_cost=1.0)
+    search = _stored(_search(spark, sf_dir))
+    ranking, prices = facts.search_ranking(search), facts.price_snapshot(search, unique_grain=True)
+    mart = marts.mart_keyword_daily(ranking, unique_grain=True)
+    return research.margin_screen(mart, ranking, prices, unit_cost=1.0)
 
 
 def rank_history(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -417,12 +430,14 @@ def queries() -> dict[str, Query]:
         "keyword_list": keyword_list,
         "keyword_topk": keyword_topk,
         "price_slice": price_slice,
-        "opportunity_score": _on_mart(research.opportunity_score),
-        "opportunity_shortlist": _on_mart(lambda m: research.opportunity_shortlist(research.opportunity_score(m), 3)),
+        "opportunity_score": _on_mart(research.opportunity_score, read_often=True),
+        "opportunity_shortlist": _on_mart(
+            lambda mart: research.opportunity_shortlist(research.opportunity_score(mart), 3), read_often=True
+        ),
         "margin_screen": margin_screen,
         "demand_stability": _on_mart(research.demand_stability),
         "ad_saturation": _on_mart(research.ad_saturation),
-        "fragmentation": _on_mart(research.fragmentation),
+        "fragmentation": _on_mart(research.fragmentation, read_often=True),
         "rank_history": rank_history,
         "keyword_groups": keyword_groups,
         "quality_profile": quality_profile,
