@@ -5,6 +5,7 @@ from datetime import date
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from marketlake import schemas
 from marketlake.functions.keys import sha_key
 from marketlake.operators.scd2 import as_new_versions, day_literal, scd2_history, scd2_merge
 
@@ -13,41 +14,14 @@ KEYS = ["asin", "marketplace"]
 # A change in one of these starts a new version; the others are noise of the scraped pages.
 TRACKED = ["title", "brand", "category_path", "category_leaf", "category_depth", "is_fba", "variation_count"]
 
-ATTRIBUTES = [
-    "title",
-    "brand",
-    "category_path",
-    "category_leaf",
-    "category_depth",
-    "bsr_primary_category",
-    "date_first_available",
-    "variation_count",
-    "size_count",
-    "color_count",
-    "main_image_url",
-    "is_fba",
-]
-
 
 def dim_incoming(details: DataFrame, day: str | date | None = None) -> DataFrame:
     """Each product page as a new open version starting on ``day``, or on the page's own day."""
-    first_rank = F.get("best_seller_ranks", F.lit(0))
     start = F.col("ingested_at") if day is None else day_literal(day)
-    rows = details.withColumn("bsr_primary_category", first_rank["category"]).select("ingested_at", *KEYS, *ATTRIBUTES)
-    return (
-        as_new_versions(rows, TRACKED, start)
-        .drop("ingested_at")
-        .withColumn("gold_processed_at", F.current_timestamp())
-        .select(
-            sha_key(*KEYS, "effective_date").alias("product_sk"),
-            *KEYS,
-            *ATTRIBUTES,
-            "effective_date",
-            "expiry_date",
-            "is_current",
-            "_attr_hash",
-            "gold_processed_at",
-        )
+    pages = details.withColumn("bsr_primary_category", F.get("best_seller_ranks", F.lit(0))["category"])
+    versions = as_new_versions(pages, TRACKED, start).withColumn("gold_processed_at", F.current_timestamp())
+    return versions.withColumn("product_sk", sha_key(*KEYS, "effective_date")).select(
+        *schemas.column_names(schemas.DIM_PRODUCT)
     )
 
 

@@ -1,44 +1,25 @@
-"""The three facts. Each is a plain function of the typed rows and the product dimension."""
+"""The three facts. Each is a plain function of the typed rows and the product dimension.
+
+The declared schema of a fact picks and orders its columns; the surrogate key is looked up last.
+"""
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from marketlake import schemas
 from marketlake.functions.numbers import settled
 from marketlake.operators.lookup import resolve_sk
 from marketlake.plans.dimension import KEYS
 
 PRICE_KEYS = ["asin", "marketplace", "ingested_at"]
 
+# Business names of card columns.
+RANKING_NAMES = {"rating": "rating_value", "monthly_sales": "monthly_sales_min", "coupon": "coupon_discount_pct"}
+
 
 def search_ranking(search: DataFrame) -> DataFrame:
     """Search cards under their business names, before the product key is looked up."""
-    renamed = search.withColumnsRenamed(
-        {"rating": "rating_value", "monthly_sales": "monthly_sales_min", "coupon": "coupon_discount_pct"}
-    )
-    return renamed.select(
-        "asin",
-        "keyword",
-        "marketplace",
-        "ingested_at",
-        "price_amount",
-        "original_price_amount",
-        "discount_pct",
-        "rating_value",
-        "ratings_count",
-        "monthly_sales_min",
-        "is_sponsored",
-        "is_prime",
-        "is_best_seller",
-        "is_amazons_choice",
-        "has_coupon",
-        "coupon_discount_pct",
-        "source_extracted_at",
-    )
-
-
-def fact_search_ranking(search: DataFrame, dim: DataFrame, mode: str = "current") -> DataFrame:
-    """One row per product, keyword, marketplace and day."""
-    return _stamped(resolve_sk(search_ranking(search), dim, KEYS, mode))
+    return search.withColumnsRenamed(RANKING_NAMES).select(*_measures(schemas.FACT_SEARCH_RANKING))
 
 
 def price_snapshot(search: DataFrame, unique_grain: bool = False) -> DataFrame:
@@ -49,79 +30,59 @@ def price_snapshot(search: DataFrame, unique_grain: bool = False) -> DataFrame:
     a keyword occurs once per product, marketplace and day, as in the typed tables: counting keywords then needs
     no distinct and no second shuffle. Rows without a key drop out.
     """
+    price = F.col("price_amount")
     keywords = F.count("keyword") if unique_grain else F.count_distinct("keyword")
     latest = F.struct(
-        F.col("price_amount").alias("latest_price"),
+        price.alias("latest_price"),
         F.col("original_price_amount").alias("original_price_latest"),
         F.col("discount_pct").alias("discount_pct_latest"),
         F.col("coupon").alias("coupon_discount_pct_latest"),
     )
     # A row without a time must lose, whatever its other values: it is the smallest, as NULL sorts first here.
     order = F.struct("source_extracted_at", "keyword", latest)
-    return (
-        search.dropna(subset=PRICE_KEYS)
-        .groupBy(*PRICE_KEYS)
-        .agg(
-            F.round(F.min("price_amount"), 2).alias("min_price"),
-            F.round(F.max("price_amount"), 2).alias("max_price"),
-            settled(F.avg("price_amount"), 2).alias("avg_price"),
-            F.max_by(latest, order).alias("latest"),
-            F.bool_or("has_coupon").alias("has_coupon"),
-            keywords.cast("int").alias("keyword_appearance_count"),
-        )
-        .select(
-            *PRICE_KEYS,
-            "min_price",
-            "max_price",
-            "avg_price",
-            "latest.latest_price",
-            "latest.original_price_latest",
-            "latest.discount_pct_latest",
-            "has_coupon",
-            "latest.coupon_discount_pct_latest",
-            "keyword_appearance_count",
-        )
-    )
+    figures = {
+        "min_price": F.round(F.min(price), 2),
+        "max_price": F.round(F.max(price), 2),
+        "avg_price": settled(F.avg(price), 2),
+        "latest": F.max_by(latest, order),
+        "has_coupon": F.bool_or("has_coupon"),
+        "keyword_appearance_count": keywords.cast("int"),
+    }
+    snapshot = search.dropna(subset=PRICE_KEYS).groupBy(*PRICE_KEYS).agg(*[c.alias(n) for n, c in figures.items()])
+    return snapshot.select("*", "latest.*").select(*_measures(schemas.FACT_PRICE_SNAPSHOT))
+
+
+def product_performance(details: DataFrame) -> DataFrame:
+    """Product pages with their first two best-seller ranks side by side, before the key is looked up."""
+    places = {
+        f"bsr_{name}_{part}": F.get("best_seller_ranks", F.lit(position))[part]
+        for position, name in enumerate(("primary", "secondary"))
+        for part in ("rank", "category")
+    }
+    return details.withColumns(places).select(*_measures(schemas.FACT_PRODUCT_PERFORMANCE))
+
+
+def fact_search_ranking(search: DataFrame, dim: DataFrame, mode: str = "current") -> DataFrame:
+    """One row per product, keyword, marketplace and day."""
+    return _keyed(search_ranking(search), dim, mode)
 
 
 def fact_price_snapshot(
     search: DataFrame, dim: DataFrame, mode: str = "current", unique_grain: bool = False
 ) -> DataFrame:
     """One row per product, marketplace and day."""
-    return _stamped(resolve_sk(price_snapshot(search, unique_grain), dim, KEYS, mode))
-
-
-def product_performance(details: DataFrame) -> DataFrame:
-    """Product pages with their first two best-seller ranks side by side, before the key is looked up."""
-    first, second = F.get("best_seller_ranks", F.lit(0)), F.get("best_seller_ranks", F.lit(1))
-    return details.select(
-        "asin",
-        "marketplace",
-        "ingested_at",
-        first["rank"].alias("bsr_primary_rank"),
-        first["category"].alias("bsr_primary_category"),
-        second["rank"].alias("bsr_secondary_rank"),
-        second["category"].alias("bsr_secondary_category"),
-        "rating_weighted_avg",
-        "rating_pct_5",
-        "rating_pct_4",
-        "rating_pct_3",
-        "rating_pct_2",
-        "rating_pct_1",
-        "in_stock",
-        "buybox_seller",
-        "is_fba",
-        "variation_count",
-        "size_count",
-        "color_count",
-        "image_count",
-    )
+    return _keyed(price_snapshot(search, unique_grain), dim, mode)
 
 
 def fact_product_performance(details: DataFrame, dim: DataFrame, mode: str = "current") -> DataFrame:
     """One row per product, marketplace and day."""
-    return _stamped(resolve_sk(product_performance(details), dim, KEYS, mode))
+    return _keyed(product_performance(details), dim, mode)
+
+
+def _measures(schema: str) -> list[str]:
+    """A fact's columns but for its surrogate key and audit stamp."""
+    return [c for c in schemas.column_names(schema) if c not in ("product_sk", "gold_processed_at")]
 
 
-def _stamped(fact: DataFrame) -> DataFrame:
-    return fact.withColumn("gold_processed_at", F.current_timestamp())
+def _keyed(rows: DataFrame, dim: DataFrame, mode: str) -> DataFrame:
+    return resolve_sk(rows, dim, KEYS, mode).withColumn("gold_processed_at", F.current_timestamp())

@@ -1,8 +1,12 @@
-"""Typed tables: the latest card per (product, keyword, day) and the latest page per (product, day)."""
+"""Typed tables: the latest card per (product, keyword, day) and the latest page per (product, day).
 
-from pyspark.sql import Column, DataFrame
+Each names only the columns it derives; the declared schema of the table picks and orders all of them.
+"""
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from marketlake import schemas
 from marketlake.functions import card_text as card
 from marketlake.functions import page_text as page
 from marketlake.operators.dedup import dedup_latest, newest_first
@@ -11,70 +15,50 @@ from marketlake.operators.dedup import dedup_latest, newest_first
 SEARCH_KEYS = ["asin", "keyword", "marketplace", "ingested_at"]
 DETAILS_KEYS = ["asin", "marketplace", "ingested_at"]
 
+# Large page fields that no later table holds.
+RAW_ONLY = ["description", "variations"]
+
 
 def clean_search(bronze: DataFrame, keys: list[str] = SEARCH_KEYS) -> DataFrame:
     """Search cards, typed. Duplicates go first, so only the kept rows are parsed."""
     price = card.price_columns(F.col("price"))
-    original = card.price_columns(F.col("original_price"))
-    coupon = card.coupon_columns(F.col("coupon"))
-    return _latest_rows(bronze, keys).select(
-        "asin",
-        F.trim("title").alias("title"),
-        price["raw"].alias("price_raw"),
-        price["currency"].alias("price_currency"),
-        price["amount"].alias("price_amount"),
-        original["amount"].alias("original_price_amount"),
-        card.discount_pct(original["amount"], price["amount"]).alias("discount_pct"),
-        card.leading_number(F.col("rating")).alias("rating"),
-        card.magnitude_number(F.col("ratings_count"), parens=True).alias("ratings_count"),
-        card.magnitude_number(F.col("monthly_sales"), parens=False).alias("monthly_sales"),
-        "is_sponsored",
-        "is_prime",
-        "is_best_seller",
-        "is_amazons_choice",
-        *_named(coupon),
-        "delivery",
-        "url",
-        "image_url",
-        "keyword",
-        "marketplace",
-        "source_extracted_at",
-        "ingested_at",
-        F.current_timestamp().alias("silver_processed_at"),
-    )
+    original = card.price_columns(F.col("original_price"))["amount"]
+    derived = {
+        "title": F.trim("title"),
+        **{f"price_{part}": column for part, column in price.items()},
+        "original_price_amount": original,
+        "discount_pct": card.discount_pct(original, price["amount"]),
+        "rating": card.leading_number(F.col("rating")),
+        "ratings_count": card.magnitude_number(F.col("ratings_count"), parens=True),
+        "monthly_sales": card.magnitude_number(F.col("monthly_sales"), parens=False),
+        **card.coupon_columns(F.col("coupon")),
+    }
+    return _typed(_latest_rows(bronze, keys), derived, schemas.SILVER_SEARCH)
 
 
 def clean_products(bronze: DataFrame, keys: list[str] = DETAILS_KEYS) -> DataFrame:
-    """Product pages, typed. The large description and variation lists are never read."""
-    sizes = F.col("available_dimensions")
-    return _latest_rows(bronze.drop("description", "variations"), keys).select(
-        "asin",
-        "parent_asin",
-        F.trim("title").alias("title"),
-        page.brand_name(F.col("brand")).alias("brand"),
-        F.col("category").alias("category_path"),
-        F.array_size("categories").alias("category_depth"),
-        page.last_name(F.col("categories")).alias("category_leaf"),
-        page.seller_ranks(F.col("best_seller_rank")).alias("best_seller_ranks"),
-        F.col("dimensions").alias("dimensions_raw"),
-        *_named(page.dimension_columns(F.col("dimensions"))),
-        *_named(page.weight_columns(F.col("weight"))),
-        page.listing_date(F.col("date_first_available")).alias("date_first_available"),
-        "variation_count",
-        F.array_size(sizes["size_name"]).alias("size_count"),
-        F.array_size(sizes["color_name"]).alias("color_count"),
-        F.get("images", F.lit(0)).alias("main_image_url"),
-        F.col("images").alias("all_image_urls"),
-        F.array_size("images").alias("image_count"),
-        *_named(page.rating_columns(F.col("rating_overview"))),
-        page.is_in_stock(F.col("stock_status")).alias("in_stock"),
-        "buybox_seller",
-        "is_fba",
-        "marketplace",
-        "source_extracted_at",
-        "ingested_at",
-        F.current_timestamp().alias("silver_processed_at"),
-    )
+    """Product pages, typed."""
+    options = F.col("available_dimensions")
+    derived = {
+        "title": F.trim("title"),
+        "brand": page.brand_name(F.col("brand")),
+        "category_path": F.col("category"),
+        "category_depth": F.array_size("categories"),
+        "category_leaf": page.last_name(F.col("categories")),
+        "best_seller_ranks": page.seller_ranks(F.col("best_seller_rank")),
+        "dimensions_raw": F.col("dimensions"),
+        **page.dimension_columns(F.col("dimensions")),
+        **page.weight_columns(F.col("weight")),
+        "date_first_available": page.listing_date(F.col("date_first_available")),
+        "size_count": F.array_size(options["size_name"]),
+        "color_count": F.array_size(options["color_name"]),
+        "main_image_url": F.get("images", F.lit(0)),
+        "all_image_urls": F.col("images"),
+        "image_count": F.array_size("images"),
+        **page.rating_columns(F.col("rating_overview")),
+        "in_stock": page.is_in_stock(F.col("stock_status")),
+    }
+    return _typed(_latest_rows(bronze.drop(*RAW_ONLY), keys), derived, schemas.SILVER_DETAILS)
 
 
 def _latest_rows(bronze: DataFrame, keys: list[str]) -> DataFrame:
@@ -88,5 +72,7 @@ def _latest_rows(bronze: DataFrame, keys: list[str]) -> DataFrame:
     return dedup_latest(dated, keys, newest_first("source_extracted_at", rest))
 
 
-def _named(columns: dict[str, Column]) -> list[Column]:
-    return [c.alias(name) for name, c in columns.items()]
+def _typed(latest: DataFrame, derived: dict, schema: str) -> DataFrame:
+    return latest.withColumns(derived | {"silver_processed_at": F.current_timestamp()}).select(
+        *schemas.column_names(schema)
+    )
