@@ -132,7 +132,7 @@ def raw_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
                 else array(named_struct('name', 'All', 'url', '/all', 'level', 1),
                         named_struct('name', p_type, 'url', '/t', 'level', 2)) end as categories""",
         "if(l_linestatus = 'O', 'US', 'DE') as marketplace",
-        """date_format(l_shipdate + make_dt_interval(0, l_linenumber), "yyyy-MM-dd'T'HH:mm:ss")
+        """date_format(l_shipdate + make_dt_interval(0, l_linenumber + 7), "yyyy-MM-dd'T'HH:mm:ss")
            as source_extracted_at""",
         """concat_ws('_', lpad(cast(l_orderkey as string), 12, '0'),
                 lpad(cast(cast(floor(l_extendedprice * 100 + 0.5) as bigint) as string), 12, '0'),

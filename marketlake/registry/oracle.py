@@ -139,7 +139,7 @@ PAGES = f"""pages_typed AS (
     CASE p_size % 4 WHEN 1 THEN '' WHEN 2 THEN '/img/' || l_partkey || '.jpg'
       WHEN 3 THEN '/img/' || l_partkey || '.jpg;/img/' || l_partkey || '.jpg' END AS all_image_urls,
     l_linenumber AS variation_count, 'S' || l_suppkey AS buybox_seller, l_returnflag = 'N' AS is_fba,
-    l_shipdate + l_linenumber * INTERVAL 1 HOUR AS ts
+    l_shipdate + (l_linenumber + 7) * INTERVAL 1 HOUR AS ts
   FROM pg),
 pages_latest AS (
   SELECT * FROM pages_typed
