@@ -11,7 +11,7 @@ from marketlake.operators.quality import dim_totals
 from marketlake.operators.scd2 import rewind, valid_between
 from marketlake.plans import dimension, facts, marts, silver
 from marketlake.sources import dim_store
-from marketlake.sources.feeds import DETAILS, FEEDS, SEARCH, Feed, flatten, is_bad, quarantined, read_envelopes
+from marketlake.sources.feeds import FEEDS, Feed, flatten, is_bad, quarantined, read_envelopes
 from marketlake.sources.files import delete
 from marketlake.sources.tables import RunReport, publish_days, read_days, stored_days
 
