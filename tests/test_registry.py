@@ -8,6 +8,7 @@ import __spark_entry__ as registered
 SF_DIR = "/root/testdata/sf0.001"
 TABLES = """region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels
     conversations""".split()
+SQL_TYPES = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN", "date": "DATE"}
 QUERIES, ORACLES = registered.queries(), registered.oracle_sql()
 
 
@@ -34,7 +35,7 @@ def test_query_equals_its_sql(spark, duck, plan_of, name):
     df = QUERIES[name](spark, SF_DIR)
     answer = duck.execute(ORACLES[name])
     columns = [c[0] for c in answer.description]
-    assert sorted(df.columns) == sorted(columns)
+    assert {c: SQL_TYPES[t] for c, t in df.dtypes} == {c[0]: str(c[1]) for c in answer.description}
     assert as_rows(df.columns, df.collect()) == as_rows(columns, answer.fetchall())
     plan = plan_of(df)
     for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "PythonUDF", "BatchEvalPython", "ArrowEvalPython"):
