@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marketlake.llm import words as W
+from marketlake.llm.bloom import build, may_hold
 from marketlake.llm.scratch import stored
 
 WINDOW_WORDS = 10
@@ -70,13 +71,6 @@ def _item_prints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _doc_prints(bloom: np.ndarray, shorts: list[int]):
     """Of each document: its words, the fingerprints that the filter lets through, and its text if there are any."""
 
-    def maybe(value: np.ndarray) -> np.ndarray:
-        out = np.ones(len(value), dtype=bool)
-        for shift in (0, 32):
-            bit = (value >> W.U64(shift)) & W.U64(BLOOM_BITS - 1)
-            out &= (bloom[bit >> W.U64(6)] >> (bit & W.U64(63))) & W.U64(1) == 1
-        return out
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             text = batch.column(2)
@@ -84,12 +78,12 @@ def _doc_prints(bloom: np.ndarray, shorts: list[int]):
                 found = W.words(texts, W.WORDLIKE)
                 codes = W.hashes(texts, found)
                 place, value = winnow(codes, GRAM_WORDS, WINDOW_WORDS - GRAM_WORDS + 1)
-                ok = maybe(value)
+                ok = may_hold(bloom, value)
                 place, value = [place[ok]], [value[ok]]
                 for size in shorts:
                     at = np.flatnonzero(W.whole(found, size))
                     own = _tagged(W.grams(codes, size)[at], size)
-                    ok = maybe(own)
+                    ok = may_hold(bloom, own)
                     place.append(at[ok])
                     value.append(own[ok])
                 place, value = np.concatenate(place), np.concatenate(value)
@@ -147,23 +141,13 @@ def _covered(spans):
     return F.aggregate(F.array_sort(spans), start, add)["n"]
 
 
-def bloom_words(prints: DataFrame) -> np.ndarray:
-    """The filter, of BLOOM_BITS bits whatever the number of fingerprints: at most BLOOM_BITS / 64 rows come back."""
-    bit = F.explode(F.array(*[F.shiftrightunsigned("print", s).bitwiseAND(BLOOM_BITS - 1) for s in (0, 32)]))
-    bits = prints.select(bit.alias("bit")).groupBy(F.shiftright("bit", 6).alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(bit & 63 as int))")).alias("bits"))
-    out = np.zeros(BLOOM_BITS // 64, np.uint64)
-    got = bits.toArrow()
-    out[got.column("word").to_numpy()] = got.column("bits").to_numpy().view(np.uint64)
-    return out
-
-
 def contamination(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     """One row per document: words, words inside item windows, and the items with occurring windows."""
     items = stored(benchmark.select(F.monotonically_increasing_id().alias("item_row"), F.col("item_id").cast("string").alias("item_id"), "text"), "bench-items")
     prints = stored(items.select("item_row", "text").mapInArrow(_item_prints, "item_row long, short int, print long"), "bench-prints")
     shorts = [r.short for r in prints.where("short > 0").select("short").distinct().collect()]  # below WINDOW_WORDS: nine at most
     docs = documents.select(F.monotonically_increasing_id().alias("row_id"), "doc_id", "text")
-    docs = stored(docs.mapInArrow(_doc_prints(bloom_words(prints), shorts), "row_id long, doc_id long, n_words long, prints array<long>, text string"), "doc-prints")
+    docs = stored(docs.mapInArrow(_doc_prints(build(prints, "print", BLOOM_BITS), shorts), "row_id long, doc_id long, n_words long, prints array<long>, text string"), "doc-prints")
     pairs = docs.select("row_id", F.explode("prints").alias("print")).join(prints.select("item_row", "print"), "print").select("row_id", "item_row").distinct()
     pairs = pairs.join(docs.where("text is not null").select("row_id", "text"), "row_id")
     pairs = pairs.join(items.select("item_row", "item_id", F.col("text").alias("item_text")), "item_row")

@@ -26,13 +26,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marketlake.llm import words as W
+from marketlake.llm.bloom import build, may_hold
 from marketlake.llm.components import components
-from marketlake.llm.scratch import stored
+from marketlake.llm.scratch import cores, stored
 
 SHINGLE_WORDS = 5
 COUNTERS = 1 << 20
 _SLICES = 64
-FILTER_BITS = 1 << 23
+SHARD_TOKENS = 4_000_000
 _PAIR = "a long, b long"
 
 
@@ -127,6 +128,54 @@ def _signatures(level: np.ndarray):
     return run
 
 
+def shared_tokens(groups: DataFrame) -> DataFrame:
+    """Prefix shingles of two groups or more. Tasks send each shingle once, with a mark if they met it twice."""
+    shards = 1 << max(cores(groups.sparkSession), groups.agg(F.sum(F.size("prefix"))).first()[0] // SHARD_TOKENS if not groups.isEmpty() else 0).bit_length()
+    bits = W.U64(65 - shards.bit_length())
+
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            token, count = np.unique(batch.column(0).flatten().to_numpy().view(np.uint64), return_counts=True)
+            cuts = np.searchsorted(token >> bits, np.arange(shards + 1))
+            for k in np.flatnonzero(np.diff(cuts)):
+                part = slice(cuts[k], cuts[k + 1])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([int(k)], pa.int32()), pa.array([W.pack_sorted(token[part])], pa.binary()), pa.array([np.packbits(count[part] > 1).tobytes()], pa.binary())],
+                    ["shard", "tokens", "twice"],
+                )
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: dict[int, list[np.ndarray]] = {}
+        for batch in batches:
+            for k, blob, twice in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+                token = W.unpack_sorted(blob)
+                own = seen.setdefault(k, [])
+                own += [token, token[np.unpackbits(np.frombuffer(twice, np.uint8), count=len(token)).astype(bool)]]
+        for own in seen.values():
+            token, count = np.unique(np.concatenate(own), return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(token[count > 1].view(np.int64))], ["token"])
+
+    sent = groups.select("prefix").mapInArrow(send, "shard int, tokens binary, twice binary")
+    return sent.repartition(shards, "shard").mapInArrow(meet, "token long")
+
+
+def _postings(wanted: np.ndarray):
+    """(token, grp, head, central, n, pos) of the prefix shingles that the filter lets through."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            prefix = batch.column(4)
+            token = prefix.flatten().to_numpy()
+            on = np.flatnonzero(may_hold(wanted, token.view(np.uint64)))
+            size = prefix.value_lengths().to_numpy()
+            row = np.repeat(np.arange(len(size)), size)[on]
+            pos = (on - (np.cumsum(size) - size)[row]).astype(np.int32)
+            rest = batch.select([0, 1, 2, 3]).take(pa.array(row))
+            yield pa.RecordBatch.from_arrays([pa.array(token[on]), *rest.columns, pa.array(pos)], ["token", "grp", "head", "central", "n", "pos"])
+
+    return run
+
+
 def _close(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Drops pairs whose bitmaps differ in more bits than a link allows."""
     for batch in batches:
@@ -165,15 +214,11 @@ def _texts_of(documents: DataFrame, nodes: DataFrame) -> DataFrame:
     A filter of a fixed size, made of the wanted ids, thins out the documents before any text is shuffled; it lets some
     others through, which the join drops.
     """
-    bit = F.pmod(F.xxhash64("doc_id"), F.lit(FILTER_BITS))
-    found = nodes.select(bit.alias("bit")).groupBy(F.shiftright("bit", 6).alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(bit & 63 as int))")).alias("bits")).toArrow()
-    wanted = np.zeros(FILTER_BITS // 64, np.uint64)
-    wanted[found.column("word").to_numpy()] = found.column("bits").to_numpy().view(np.uint64)
+    wanted = build(nodes.select(F.xxhash64("doc_id").alias("key")), "key")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            at = batch.column(1).to_numpy().astype(np.uint64)
-            on = (wanted[at >> W.U64(6)] >> (at & W.U64(63))) & W.U64(1) == 1
+            on = may_hold(wanted, batch.column(1).to_numpy().view(np.uint64))
             batch = batch.select([0, 2]).filter(pa.array(on))
             for texts in W.chunks(batch.column(1)):
                 rows = slice(texts.first_row, texts.first_row + texts.rows)
@@ -186,7 +231,7 @@ def _texts_of(documents: DataFrame, nodes: DataFrame) -> DataFrame:
                     ["doc_id", "node", "text"],
                 )
 
-    found = documents.select("doc_id", bit.alias("bit"), "text").mapInArrow(run, "doc_id long, node long, text string")
+    found = documents.select("doc_id", F.xxhash64("doc_id").alias("key"), "text").mapInArrow(run, "doc_id long, node long, text string")
     # rows that repeat id and text are cut to one beside their nodes, where they are few
     return found.join(nodes, (found.node == nodes.node) & found.doc_id.eqNullSafe(nodes.doc_id)).select(found.node, "text").dropDuplicates(["node"])
 
@@ -221,10 +266,12 @@ def similarity_links(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
     info = stored(info, "nodes", "lz4")
     # one row of each group, by the first of its rows; members of a group meet its first node
     groups = rows.where("n > 0").groupBy("grp").agg(F.min("node").alias("head"), F.first(F.struct("n", "prefix")).alias("p"), F.max("central").alias("central"))
-    index = groups.select("grp", "head", "central", F.col("p.n").alias("n"), F.posexplode("p.prefix").alias("pos", "token"))
-    shared = index.groupBy("token").agg(F.count("*").alias("c"), F.max(F.struct("central", "grp", "head", "n", "pos")).alias("hub")).where("c > 1")
-    index = stored(index.join(shared, "token"), "index", "lz4")
-    hub = index.where(f"grp <> hub.grp and {_fits('index', 'hub')}".replace("index.", ""))
+    groups = stored(groups.select("grp", "head", "central", "p.n", "p.prefix"), "groups", "lz4")
+    tokens = stored(shared_tokens(groups), "shared-tokens", "lz4")
+    index = groups.mapInArrow(_postings(build(tokens, "token")), "token long, grp long, head long, central float, n int, pos int")
+    index = stored(index.join(tokens, "token"), "index", "lz4")
+    hubs = index.groupBy("token").agg(F.max(F.struct("central", "grp", "head", "n", "pos")).alias("hub"))
+    hub = index.join(hubs, "token").where(f"grp <> hub.grp and {_fits('index', 'hub')}".replace("index.", ""))
     heads = hub.select(F.least("head", "hub.head").alias("a"), F.greatest("head", "hub.head").alias("b"))
     same = info.groupBy("grp").agg(F.min("node").alias("head"), F.count("*").alias("members"))
     many = info.join(same.where("members > 1"), "grp").select(F.least("node", "head").alias("a"), F.greatest("node", "head").alias("b"))
