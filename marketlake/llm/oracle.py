@@ -6,7 +6,8 @@ from marketlake.llm import quality_rules as rules
 
 _PASSES = " AND ".join(
     [f"regexp_matches(x, '{rules.ENDS.replace(chr(39), chr(39) * 2)}')"]
-    + [f"NOT regexp_matches(x, '{p}')" for p in (rules.SHOUTS, rules.NAVIGATES, rules.SYMBOLIC, rules.BOILERPLATE)]
+    + [f"NOT regexp_matches(x, '{p}')" for p in (rules.SHOUTS, rules.NAVIGATES, rules.SYMBOLIC)]
+    + [f"NOT (regexp_matches(x, '{rules.BOILERPLATE}') AND length(x) <= {rules.BOILERPLATE_CHARS})"]
 )
 
 OP10 = rf"""

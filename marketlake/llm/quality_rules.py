@@ -15,8 +15,9 @@ SPACE = r"[\x20\x09-\x0D]"
 NOT_SPACE = r"[^\x20\x09-\x0D]"
 SYMBOLS = "[#*$%&|<>]"
 
-#: Rules of a line, as patterns that mean the same to Java and RE2. A line fails if `ENDS` is not found or another is.
-ENDS = r"""[.!?:;…。！？]["')\]”’»]*[\x20\x09-\x0D]*\z"""
+#: Rules of a line, as patterns that mean the same to Java and RE2. A line fails if it neither ends nor holds a sentence,
+#: or if another pattern is found, boilerplate only in a line of at most BOILERPLATE_CHARS.
+ENDS = r"""[.!?:;…。！？]["')\]”’»]*([\x20\x09-\x0D]*\z|\x20)"""
 SHOUTS = r"""(?s)[!?]{2,}.*[!?]{2,}.*[!?]{2,}"""
 NAVIGATES = r"""(?s)(\||›|»|•|>).*(\||›|»|•|>).*(\||›|»|•|>)"""
 SYMBOLIC = r"""(?s)[#*$%&<>]{2,}.*[#*$%&<>]{2,}.*[#*$%&<>]{2,}"""
@@ -24,6 +25,7 @@ BOILERPLATE = (
     r"(?i)(all rights reserved|copyright \(c\)|cookie policy|privacy policy|terms of (use|service)|enable javascript|"
     r"subscribe to our|sign up for|click here|read more|log ?in to|licensed under the|lorem ipsum|powered by)"
 )
+BOILERPLATE_CHARS = 200
 MIN_KEPT = 0.5
 MIN_WORDS = 50
 
@@ -55,7 +57,7 @@ def _windows(words: Column) -> Column:
 
 
 def line_passes(line: Column) -> Column:
-    return line.rlike(ENDS) & ~line.rlike(SHOUTS) & ~line.rlike(NAVIGATES) & ~line.rlike(SYMBOLIC) & ~line.rlike(BOILERPLATE)
+    return line.rlike(ENDS) & ~line.rlike(SHOUTS) & ~line.rlike(NAVIGATES) & ~line.rlike(SYMBOLIC) & ~(line.rlike(BOILERPLATE) & (F.length(line) <= BOILERPLATE_CHARS))
 
 
 def clean_lines(documents: DataFrame, min_kept: float = MIN_KEPT, min_words: int = MIN_WORDS) -> DataFrame:

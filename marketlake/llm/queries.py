@@ -7,21 +7,52 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from marketlake.llm import language_id, quality_model, secrets
 from marketlake.llm.decontaminate import contamination
 from marketlake.llm.jaccard_join import similar_documents
+from marketlake.llm.packing import pack_documents
 from marketlake.llm.quality_rules import clean_lines
-from marketlake.llm.scratch import documents
+from marketlake.llm.scratch import documents, id_remainder
 from marketlake.llm.sharding import shard_rows
 
 
+def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    return secrets.scan(docs, secrets.train(docs), ["doc_id"])
+
+
+def tokenizer() -> tuple[str, str]:
+    """The vocabulary file and the pattern that cuts a text for it."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN
+
+
+def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(documents(spark, sf_dir), *tokenizer())
+
+
 def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_rows(documents(spark, sf_dir), shards=24)
 
 
+def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet")
+    held_out = id_remainder(4) == 2
+    model = quality_model.train(docs.where(~held_out), labels.where(~held_out))
+    return quality_model.score(docs, model, ["doc_id"]).select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
 def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return similar_documents(documents(spark, sf_dir))
 
 
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, held_out = documents(spark, sf_dir), id_remainder(5) == 0
+    model = language_id.train(docs.where(~held_out))
+    return language_id.identify(docs, model, ["doc_id"]).select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "rejected")
+
+
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
