@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from marketlake.llm import words as W
 from marketlake.llm.bloom import build, may_hold
-from marketlake.llm.scratch import stored
+from marketlake.llm.scratch import stored, text_key, without
 
 WINDOW_WORDS = 10
 GRAM_WORDS = 5
@@ -73,7 +73,7 @@ def _doc_prints(bloom: np.ndarray, shorts: list[int]):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            text = batch.column(2)
+            text = batch.column(3)
             for texts in W.chunks(text):
                 found = W.words(texts, W.WORDLIKE)
                 codes = W.hashes(texts, found)
@@ -97,11 +97,12 @@ def _doc_prints(bloom: np.ndarray, shorts: list[int]):
                     [
                         batch.column(0).slice(rows.start, texts.rows),
                         batch.column(1).slice(rows.start, texts.rows),
+                        batch.column(2).slice(rows.start, texts.rows),
                         pa.array(np.diff(found.first).astype(np.int64)),
                         W.lists(value[order].view(np.int64), first, pa.int64()),
                         some.take(pa.array(np.arange(texts.rows), mask=~has)),
                     ],
-                    ["row_id", "doc_id", "n_words", "prints", "text"],
+                    ["row_id", "doc_id", "text_key", "n_words", "prints", "text"],
                 )
 
     return run
@@ -146,8 +147,9 @@ def contamination(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     items = stored(benchmark.select(F.monotonically_increasing_id().alias("item_row"), F.col("item_id").cast("string").alias("item_id"), "text"), "bench-items")
     prints = stored(items.select("item_row", "text").mapInArrow(_item_prints, "item_row long, short int, print long"), "bench-prints")
     shorts = [r.short for r in prints.where("short > 0").select("short").distinct().collect()]  # below WINDOW_WORDS: nine at most
-    docs = documents.select(F.monotonically_increasing_id().alias("row_id"), "doc_id", "text")
-    docs = stored(docs.mapInArrow(_doc_prints(build(prints, "print", BLOOM_BITS), shorts), "row_id long, doc_id long, n_words long, prints array<long>, text string"), "doc-prints")
+    docs = documents.select(F.monotonically_increasing_id().alias("row_id"), "doc_id", text_key(), "text")
+    scan = _doc_prints(build(prints, "print", BLOOM_BITS), shorts)
+    docs = stored(docs.mapInArrow(scan, "row_id long, doc_id long, text_key long, n_words long, prints array<long>, text string"), "doc-prints")
     pairs = docs.select("row_id", F.explode("prints").alias("print")).join(prints.select("item_row", "print"), "print").select("row_id", "item_row").distinct()
     pairs = pairs.join(docs.where("text is not null").select("row_id", "text"), "row_id")
     pairs = pairs.join(items.select("item_row", "item_id", F.col("text").alias("item_text")), "item_row")
@@ -156,11 +158,17 @@ def contamination(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
         _covered(F.flatten(F.collect_list("spans"))).alias("n_hit"), F.array_sort(F.collect_set(F.coalesce("item_id", F.lit("")))).alias("items")
     )
     items_of = F.coalesce("items", F.array().cast("array<string>"))
-    return docs.select("row_id", "doc_id", "n_words").join(hits, "row_id", "left").select(
+    return docs.select("row_id", "doc_id", "text_key", "n_words").join(hits, "row_id", "left").select(
         "doc_id",
         "n_words",
         F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"),
         F.size(items_of).cast("long").alias("n_items"),
         F.sha2(F.concat_ws(",", items_of).cast("binary"), 256).alias("items_sha256"),
         (F.coalesce("n_hit", F.lit(0)) > 0).alias("contaminated"),
+        "text_key",
     )
+
+
+def drop_contaminated(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """`documents` without those that hold a window of an item."""
+    return without(documents, contamination(documents, benchmark).where("contaminated"))

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from marketlake.llm import words as W
 from marketlake.llm.bloom import build, may_hold
 from marketlake.llm.components import components
-from marketlake.llm.scratch import cores, stored
+from marketlake.llm.scratch import cores, stored, text_key, without
 
 SHINGLE_WORDS = 5
 COUNTERS = 1 << 20
@@ -92,11 +92,11 @@ def _bitmap(value: np.ndarray) -> bytes:
 
 def _signatures(level: np.ndarray):
     """Of each document: set size and hash, group, centrality, prefix in order, and bitmap."""
-    names = ["doc_id", "n", "node", "grp", "central", "prefix", "bitmap"]
+    names = ["doc_id", "text_key", "n", "node", "grp", "central", "prefix", "bitmap"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for texts in W.chunks(batch.column(1)):
+            for texts in W.chunks(batch.column(2)):
                 value, first = W.shingle_sets(texts, SHINGLE_WORDS)
                 n = np.diff(first)
                 own = level[(value >> W.U64(44)).astype(np.int64)]
@@ -115,6 +115,7 @@ def _signatures(level: np.ndarray):
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).slice(texts.first_row, texts.rows),
+                        batch.column(1).slice(texts.first_row, texts.rows),
                         pa.array(n.astype(np.int32)),
                         pa.array(set_hash(value, first).view(np.int64)),
                         pa.array(W.mix(groups).view(np.int64)),
@@ -257,11 +258,12 @@ def _fits(a: str, b: str) -> str:
 
 
 def similarity_links(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(doc_id, n, node) of every row, and links (a, b) between nodes that give the same classes as all links."""
+    """(doc_id, text_key, n, node) of every row, and links (a, b) between nodes that give the same classes as all links."""
     documents = documents.select("doc_id", "text")
     counts = shingle_counts(documents)
     level = np.minimum(np.log2(counts + 1) * 16, 1023).astype(np.int16)
-    rows = stored(documents.mapInArrow(_signatures(level), "doc_id long, n int, node long, grp long, central float, prefix array<long>, bitmap binary"), "signatures", "lz4")
+    keyed = documents.select("doc_id", text_key(), "text")
+    rows = stored(keyed.mapInArrow(_signatures(level), "doc_id long, text_key long, n int, node long, grp long, central float, prefix array<long>, bitmap binary"), "signatures", "lz4")
     info = rows.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("grp").alias("grp"), F.first("bitmap").alias("bitmap"))
     info = stored(info, "nodes", "lz4")
     # one row of each group, by the first of its rows; members of a group meet its first node
@@ -308,15 +310,38 @@ def similarity_links(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
     across = found.join(left, "gx").join(right, "gy").where("la <> lb").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     rest = stored(across.union(inside).distinct(), "rest-pairs", "lz4")
     more = _verify(documents, info, rest)
-    return rows.select("doc_id", "n", "node"), links.union(more)
+    return rows.select("doc_id", "text_key", "n", "node"), links.union(more)
 
 
-def similar_documents(documents: DataFrame) -> DataFrame:
-    """One row per document: its number of shingles, and the smallest doc_id that links lead to from it."""
+def _with_component(documents: DataFrame) -> DataFrame:
+    """Rows with shingles (doc_id, text_key, n, node, label, component_id), and the others with their own doc_id."""
     rows, links = similarity_links(documents)
     classes = components(links)
-    named = rows.groupBy("node").agg(F.min("doc_id").alias("least_id")).join(classes, "node", "left")
+    named = rows.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("least_id")).join(classes, "node", "left")
     named = named.select("node", F.coalesce("label", "node").alias("label"), "least_id")
-    named = named.join(named.groupBy("label").agg(F.min("least_id").alias("component_id")), "label").select("node", "component_id")
-    empty = rows.where("n = 0").select("doc_id", F.col("n").cast("long").alias("n_shingles"), F.col("doc_id").alias("component_id"))
-    return rows.where("n > 0").join(named, "node").select("doc_id", F.col("n").cast("long").alias("n_shingles"), "component_id").union(empty)
+    named = named.join(named.groupBy("label").agg(F.min("least_id").alias("component_id")), "label").select("node", "label", "component_id")
+    empty = rows.where("n = 0").select("doc_id", "text_key", "n", "node", F.lit(None).cast("long").alias("label"), F.col("doc_id").alias("component_id"))
+    return rows.where("n > 0").join(named, "node").select("doc_id", "text_key", "n", "node", "label", "component_id").union(empty)
+
+
+def similar_documents(documents: DataFrame) -> DataFrame:
+    """One row per document: its number of shingles, and the smallest doc_id that links lead to from it."""
+    return _with_component(documents).select("doc_id", F.col("n").cast("long").alias("n_shingles"), "component_id")
+
+
+def one_of_each(documents: DataFrame) -> DataFrame:
+    """`documents` with one row of each class, the one of the smallest doc_id; rows without shingles stay.
+
+    Of rows alike in doc_id and text one stays.
+    """
+    found = stored(_with_component(documents).where("n > 0").groupBy("label", "doc_id", "text_key").agg(F.count("*").alias("rows")), "classes-by-row", "lz4")
+    kept = found.groupBy("label").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "text_key")).alias("k")).select("label", "k.doc_id", "k.text_key")
+    same = ["label", "doc_id", "text_key"]
+    rest = found.alias("f").join(kept.alias("k"), F.expr(" and ".join(f"f.{c} <=> k.{c}" for c in same)), "left_anti")
+    again = found.where("rows > 1").select("doc_id", "text_key").distinct()
+    once = without(documents, rest.select("doc_id", "text_key"))
+    if again.isEmpty():
+        return once
+    same = (F.col("_doc_id").eqNullSafe(F.col("doc_id"))) & (F.col("_text_key") == F.xxhash64("text"))
+    twice = once.join(again.select(F.col("doc_id").alias("_doc_id"), F.col("text_key").alias("_text_key")), same, "left_semi")
+    return without(once, again).union(twice.dropDuplicates(["doc_id", "text"]))

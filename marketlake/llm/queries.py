@@ -10,10 +10,12 @@ from pyspark.sql import functions as F
 from marketlake.llm import language_id, quality_model, secrets
 from marketlake.llm.decontaminate import contamination
 from marketlake.llm.jaccard_join import similar_documents
+from marketlake.llm.lm_score import score_texts
 from marketlake.llm.packing import pack_documents
 from marketlake.llm.quality_rules import clean_lines
 from marketlake.llm.scratch import documents, id_remainder
 from marketlake.llm.sharding import shard_rows
+from marketlake.llm.tool_calls import CONVERSATION_SCHEMAS, conversation_calls, link_calls, schema_table
 
 
 def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -36,6 +38,11 @@ def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_rows(documents(spark, sf_dir), shards=24)
 
 
+def op4_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    calls, results = conversation_calls(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+    return link_calls(calls, results, schema_table(spark, CONVERSATION_SCHEMAS))
+
+
 def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet")
     held_out = id_remainder(4) == 2
@@ -54,7 +61,13 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return contamination(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return contamination(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet")).drop("text_key")
+
+
+def op9_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = id_remainder(10) == 0
+    scored = score_texts(documents(spark, sf_dir).select("doc_id", (~held_out).alias("learned"), "text"))
+    return scored.select("doc_id", (~F.col("learned")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -40,3 +40,15 @@ def id_remainder(modulus: int) -> Column:
 
 def cores(spark: SparkSession) -> int:
     return max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
+
+
+def text_key() -> Column:
+    """Tells rows of one doc_id with different texts apart."""
+    return F.xxhash64("text").alias("text_key")
+
+
+def without(documents: DataFrame, dropped: DataFrame) -> DataFrame:
+    """`documents` but for the rows whose doc_id and text_key are in `dropped`."""
+    dropped = dropped.select(F.col("doc_id").alias("_doc_id"), F.col("text_key").alias("_text_key")).distinct()
+    same = F.col("_doc_id").eqNullSafe(F.col("doc_id")) & (F.col("_text_key") == F.xxhash64("text"))
+    return documents.join(dropped, same, "left_anti")
