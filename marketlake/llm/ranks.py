@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-ROWS_PER_BIN = 50_000
+ROWS_PER_BIN = 10_000
 
 
 def bins(rows: int) -> int:
