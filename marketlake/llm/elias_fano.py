@@ -5,6 +5,7 @@ from __future__ import annotations
 import numpy as np
 
 U64 = np.uint64
+_RUN = 1 << 16  # values spread to bits at a time; a multiple of 8, so runs end at a byte
 _HEADER = 3  # numbers of 8 bytes: count, low bits, bytes of the high part
 
 
@@ -19,8 +20,9 @@ def encode(values: np.ndarray, universe: int) -> bytes:
     upper = np.packbits(ones, bitorder="little")
     lower = np.zeros(0, np.uint8)
     if low_bits and n:
-        bits = ((values[:, None] >> np.arange(low_bits, dtype=U64)) & U64(1)).astype(bool)
-        lower = np.packbits(bits.ravel(), bitorder="little")
+        places = np.arange(low_bits, dtype=U64)
+        runs = (values[k : k + _RUN] for k in range(0, n, _RUN))
+        lower = np.concatenate([np.packbits(((x[:, None] >> places) & U64(1)).astype(bool).ravel(), bitorder="little") for x in runs])
     head = np.array([n, low_bits, len(upper)], "<u8")
     return head.tobytes() + upper.tobytes() + lower.tobytes() + bytes(8)
 

@@ -35,8 +35,9 @@ MU = 8.0
 HOT_WORDS = 4096
 BLOCK_TOKENS = 2_000_000
 BLOCK_DOCS = 8192
-SHARDS_A_TASK = 4
-SHARD_TOKENS = 4_000_000
+WORD_SHARDS_A_TASK = 4
+LEVEL_SAMPLE = 65_536
+SHARD_TOKENS = 3_000_000
 ADDED = 0.1
 END, BEGIN = np.uint64(0x5E5E5E5E5E5E5E5E), np.uint64(0x1B1B1B1B1B1B1B1B)
 _SCORE = "doc_id long, learned boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
@@ -115,8 +116,15 @@ def _learned_words(shards: int):
     return run
 
 
-def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sums of each shard (word null), its commonest words, and END."""
+def _word_counts(shards: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return _counted(batches, 16 + 4 * HOT_WORDS // shards)
+
+    return run
+
+
+def _counted(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.RecordBatch]:
+    """Sums of each shard (word null), its `most` commonest words, and END."""
     own: dict[int, list] = {}
     for batch in batches:
         for k, words, counts in zip(*[c.to_pylist() for c in batch.columns], strict=True):
@@ -124,17 +132,17 @@ def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for parts in own.values():
         word, inverse = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
         count = np.bincount(inverse, weights=np.concatenate([p[1] for p in parts])).astype(np.int64)
-        top = np.argsort(-count, kind="stable")[:HOT_WORDS]
+        top = np.argsort(-count, kind="stable")[:most]
         top = np.union1d(top, np.flatnonzero(word == END))
         words = [None, *word[top].view(np.int64).tolist()]
         yield pa.RecordBatch.from_arrays([pa.array(words, pa.int64()), pa.array([int(count.sum()), *count[top].tolist()], pa.int64()), pa.array([len(word)] + [0] * len(top), pa.int64())], ["word", "count", "distinct"])
 
 
 def corpus_totals(rows: DataFrame) -> Totals:
-    """Sums over all training documents, and the HOT_WORDS commonest words with their counts."""
-    shards = cores(rows.sparkSession) * SHARDS_A_TASK
+    """Sums over all training documents, and HOT_WORDS of the commonest words with their counts, at most a few of each shard."""
+    shards = cores(rows.sparkSession) * WORD_SHARDS_A_TASK
     sent = rows.mapInArrow(_learned_words(shards), "shard int, words binary, counts binary").repartition(shards, "shard")
-    found = sent.mapInArrow(_word_counts, "word long, count long, distinct long")
+    found = sent.mapInArrow(_word_counts(shards), "word long, count long, distinct long")
     end = int(END.view(np.int64))
     top = found.where(f"word is not null and word <> {end}").orderBy(F.desc("count"), "word").limit(HOT_WORDS)
     got = found.where(f"word is null or word = {end}").groupBy("word").agg(F.sum("count").alias("count"), F.sum("distinct").alias("distinct")).union(top).collect()
@@ -154,7 +162,7 @@ def _hot_place(words: np.ndarray, hot: np.ndarray) -> np.ndarray:
 
 
 _DEALT = "shard int, block long, docs int, learned binary, words binary, pairs binary, before binary, rows binary, at binary, times binary"
-_SUMS = "block long, own binary, at binary, base binary, more binary, known binary"
+_SUMS = "block long, own binary, at binary, base binary, more binary, new binary"
 
 
 def _one_row(schema: str, *values) -> pa.RecordBatch:
@@ -227,14 +235,18 @@ def build_trie(word: np.ndarray, before: np.ndarray, count: np.ndarray, share: n
     first = _changes(word)
     place = np.repeat(np.arange(len(first)), np.diff(np.append(first, len(word))))
     gain = np.log10(1 + count / (MU * share))
-    low, high = (float(gain.min()), float(gain.max())) if len(gain) else (0.0, 0.0)
-    codes = np.rint((gain - low) / ((high - low) or 1.0) * 255).astype(np.uint8)
+    # 256 levels at the gains' quantiles, found on every n-th pair (pairs stand in the order of hashes); the ends are exact
+    levels = np.zeros(256)
+    if len(gain):
+        levels = np.quantile(gain[:: 1 + len(gain) // LEVEL_SAMPLE], np.linspace(0, 1, 256))
+        levels[0], levels[-1] = gain.min(), gain.max()
+    codes = np.searchsorted((levels[1:] + levels[:-1]) / 2, gain).astype(np.uint8)
     parts = [
         encode(word[first], 1 << 64),
         encode(np.append(first, len(word)), len(word) + 1),
         encode((place.astype(np.uint64) << W.U64(32)) | before.astype(np.uint64), max(1, len(first)) << 32),
         codes.tobytes() + bytes(-len(codes) % 8),
-        (low + (high - low) * np.arange(256) / 255).astype("<f8").tobytes(),
+        levels.astype("<f8").tobytes(),
     ]
     parts = [x + bytes(-len(x) % 8) for x in parts]
     return np.array([len(x) for x in parts], "<u8").tobytes() + b"".join(parts)
@@ -249,16 +261,14 @@ class Trie:
         self.words, self.pointers, self.befores = (EliasFano(x) for x in parts[:3])
         self.codes, self.book = parts[3], parts[4].view("<f8")
 
-    def gains(self, words: np.ndarray, which: np.ndarray, before: np.ndarray) -> np.ndarray:
-        """The gain of each pair (words[which], before), 0 for pairs it does not hold."""
-        place = self.words.index(words)
-        known = np.flatnonzero(place[which] >= 0)
-        at_word = place[which][known]
-        begin, end = self.pointers.access(at_word), self.pointers.access(at_word + 1)
-        wanted = (at_word.astype(np.uint64) << W.U64(32)) | before[known].astype(np.uint64)
-        at = self.befores.index(wanted)
+    def gains(self, place: np.ndarray, before: np.ndarray) -> np.ndarray:
+        """The gain of each pair of a word, given by its place (-1 for none), and what stands before; 0 for pairs not held."""
+        known = np.flatnonzero(place >= 0)
+        place = place[known]
+        begin, end = self.pointers.access(place), self.pointers.access(place + 1)
+        at = self.befores.index((place.astype(np.uint64) << W.U64(32)) | before[known].astype(np.uint64))
         held = (at >= begin.astype(np.int64)) & (at < end.astype(np.int64))
-        out = np.zeros(len(which))
+        out = np.zeros(len(before))
         out[known[held]] = self.book[self.codes[at[held]]]
         return out
 
@@ -271,43 +281,52 @@ def _mapped(data: bytes) -> np.ndarray:
         return np.memmap(file, np.uint8, mode="r")
 
 
-def _score_shard(rows: list[dict], totals: Totals) -> Iterator[pa.RecordBatch]:
-    def joined(name: str, kind: str) -> np.ndarray:
-        return np.concatenate([np.frombuffer(r[name], kind) for r in rows])
+def _entries(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of each pair of a block, how many documents hold it; these documents, and how often they do."""
+    return np.frombuffer(row["rows"], "<u2").astype(np.int64), np.frombuffer(row["at"], "<u2"), np.frombuffer(row["times"], "<u4").astype(np.float64)
+
 
-    shift = _starts(np.array([r["docs"] for r in rows]))
-    learned = np.concatenate([np.unpackbits(np.frombuffer(r["learned"], np.uint8), count=r["docs"]) for r in rows])
+def _score_shard(rows: list[dict], totals: Totals) -> Iterator[pa.RecordBatch]:
     own = [W.unpack_sorted(r["words"]) for r in rows]
     words, of = np.unique(np.concatenate(own), return_inverse=True)
-    of = np.repeat(of, joined("pairs", "<u4"))
-    before, held, times = joined("before", "<u4"), joined("rows", "<u2").astype(np.int64), joined("times", "<u4").astype(np.float64)
-    entries = [len(r["at"]) // 2 for r in rows]
-    doc = joined("at", "<u2").astype(np.int64) + np.repeat(shift, entries)
-    pair = np.repeat(np.arange(len(held)), held)
-    seen = np.bincount(pair, weights=times * learned[doc], minlength=len(held))
+    of = np.repeat(of.astype(np.int32), np.concatenate([np.frombuffer(r["pairs"], "<u4") for r in rows]))
+    before = np.concatenate([np.frombuffer(r["before"], "<u4") for r in rows])
+    seen = []
+    for r in rows:
+        held, at, times = _entries(r)
+        learned = np.unpackbits(np.frombuffer(r["learned"], np.uint8), count=r["docs"])
+        seen.append(np.add.reduceat(times * learned[at], _starts(held)))
+    first = np.concatenate([[0], np.cumsum([len(x) for x in seen])])
+    seen = np.concatenate(seen)
 
     count = np.bincount(of, weights=seen, minlength=len(words))
     hot = _hot_place(words, totals.hot)
     count = np.where(hot >= 0, totals.hot_count[hot] if len(totals.hot) else 0, count)
     share = (count + ADDED) / totals.mass
 
-    key = (of.astype(np.uint64) << W.U64(32)) | before.astype(np.uint64)
-    known, which = np.unique(key[seen > 0], return_inverse=True)
-    counts = np.bincount(which, weights=seen[seen > 0], minlength=len(known))
-    word_of = (known >> W.U64(32)).astype(np.int64)
-    trie = Trie(_mapped(build_trie(words[word_of], (known & W.U64(0xFFFFFFFF)).astype(np.uint32), counts, share[word_of])))
-
-    gain = trie.gains(words, of, before)
+    learned = np.flatnonzero(seen > 0)
+    key = (of[learned].astype(np.uint64) << W.U64(32)) | before[learned]
+    order = np.argsort(key)
+    key = key[order]
+    begins = _changes(key)
+    counts = np.add.reduceat(seen[learned[order]], begins) if len(key) else np.zeros(0)
+    key = key[begins]
+    word_of = (key >> W.U64(32)).astype(np.int64)
+    trie = Trie(_mapped(build_trie(words[word_of], (key & W.U64(0xFFFFFFFF)).astype(np.uint32), counts, share[word_of])))
+    del learned, key, order, begins, counts, word_of, seen
+
+    place = trie.words.index(words)
+    base, new = np.log10(count + ADDED), count == 0
     follows = np.where(words == END, 0.0, np.log10(MU / (count + MU)))
-    docs = len(learned)
-    of_entry = of[pair]
-    base = np.bincount(doc, weights=times * np.log10(count + ADDED)[of_entry], minlength=docs)
-    more = np.bincount(doc, weights=times * (gain[pair] + follows[of_entry]), minlength=docs)
-    some = np.bincount(doc, weights=times * (count > 0)[of_entry], minlength=docs)
-    touched = np.bincount(doc, minlength=docs) > 0
-    for r, a in zip(rows, shift, strict=True):
-        at = np.flatnonzero(touched[a : a + r["docs"]])
-        yield _one_row(_SUMS, r["block"], None, at.astype("<u2"), base[a + at], more[a + at], some[a + at].astype("<u4"))
+    for r, a, z in zip(rows, first, first[1:], strict=False):
+        held, at, times = _entries(r)
+        word = of[a:z]
+        more = trie.gains(place[word], before[a:z]) + follows[word]
+        total = lambda x: np.bincount(at, weights=times * np.repeat(x, held), minlength=r["docs"])  # noqa: B023, E731
+        touched = np.bincount(at, minlength=r["docs"]) > 0
+        docs = np.flatnonzero(touched)
+        index = None if touched.all() else docs.astype("<u2")
+        yield _one_row(_SUMS, r["block"], None, index, total(base[word])[docs], total(more)[docs].astype("<f4"), total(new[word])[docs].astype("<u4"))
 
 
 def _score(totals: Totals):
@@ -337,16 +356,16 @@ def _finish(totals: Totals):
                     own[r["block"]] = r["own"]
                     continue
                 total = sums.setdefault(r["block"], np.zeros((3, BLOCK_DOCS)))
-                at = np.frombuffer(r["at"], "<u2")
-                for k, (name, kind) in enumerate((("base", "<f8"), ("more", "<f8"), ("known", "<u4"))):
+                at = slice(0, len(r["base"]) // 8) if r["at"] is None else np.frombuffer(r["at"], "<u2")
+                for k, (name, kind) in enumerate((("base", "<f8"), ("more", "<f4"), ("new", "<u4"))):
                     total[k, at] += np.frombuffer(r[name], kind)
         for block, data in own.items():
             table = pa.ipc.open_stream(data).read_all().combine_chunks()
             tokens = table.column("tokens").to_numpy()
-            base, more, known = sums[block][:, : len(tokens)]
+            base, more, new = sums[block][:, : len(tokens)]
             base = base - tokens * np.log10(totals.mass)
             score = base + more + np.log10(MU / (totals.documents + MU))
-            columns = [table.column("doc"), table.column("learned"), tokens, known.astype(np.int64), np.full(len(tokens), totals.tokens, np.int64), base, score]
+            columns = [table.column("doc"), table.column("learned"), tokens, tokens - new.astype(np.int64), np.full(len(tokens), totals.tokens, np.int64), base, score]
             names = [x.split()[0] for x in _SCORE.split(", ")]
             yield pa.RecordBatch.from_arrays([x.combine_chunks() if isinstance(x, pa.ChunkedArray) else pa.array(x) for x in columns], names)
 
@@ -357,8 +376,8 @@ def score_texts(rows: DataFrame) -> DataFrame:
     """Scores of (doc_id, learned, text), from a model of the rows whose `learned` is true."""
     rows = rows.select(F.monotonically_increasing_id().alias("row"), "doc_id", "learned", "text")
     totals = corpus_totals(rows.where("learned"))
-    tasks = max(cores(rows.sparkSession), totals.tokens // SHARD_TOKENS)
-    shards = SHARDS_A_TASK * tasks
-    dealt = rows.mapInArrow(_deal(totals, shards), _DEALT).repartition(tasks, "shard")
-    sums = dealt.mapInArrow(_score(totals), _SUMS).repartition(tasks, "block")
+    # sums come back by document and shard, so shards are as few as their memory allows
+    shards = max(rows.sparkSession.sparkContext.defaultParallelism, totals.tokens // SHARD_TOKENS)
+    dealt = rows.mapInArrow(_deal(totals, shards), _DEALT).repartition(shards, "shard")
+    sums = dealt.mapInArrow(_score(totals), _SUMS).repartition(shards, "block")
     return sums.mapInArrow(_finish(totals), _SCORE)
