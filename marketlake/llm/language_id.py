@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marketlake.llm import words as W
-from marketlake.llm.samples import sampled
+from marketlake.llm.samples import fitted, sampled
 
 BUCKETS = 1 << 17
 DIMENSIONS = 16
@@ -87,13 +87,17 @@ def _softmax(x: np.ndarray) -> np.ndarray:
 
 
 def train(documents: DataFrame, rows_per_lang: int = ROWS_PER_LANG, seed: int = 7) -> Model:
-    """Learns from (doc_id, text, lang); the sample's features, bounded by rows and BUCKETS, come to the driver."""
+    """Learns from (doc_id, text, lang) of a sample."""
     rows = documents.where("lang is not null").select("doc_id", "lang", "text")
     got = sampled(rows, "lang", rows_per_lang, seed).select("doc_id", "lang", "text").mapInArrow(_features, "doc_id long, lang string, bucket array<int>, count array<int>")
-    got = got.toArrow().sort_by([("doc_id", "ascending"), ("lang", "ascending")])
+    blank = Model([], np.zeros((BUCKETS, 0), np.float32), np.zeros(0, np.float32), 1.0, 1.0)
+    return fitted(got, lambda sample: fit(sample, seed)) or blank
+
+
+def fit(got: pa.Table, seed: int) -> Model:
+    """Learns from a sample's subword counts; rows in any order give the same model."""
+    got = got.sort_by([("doc_id", "ascending"), ("lang", "ascending")]).combine_chunks()
     langs = sorted(set(got.column("lang").to_pylist()))
-    if not langs:
-        return Model([], np.zeros((BUCKETS, 0), np.float32), np.zeros(0, np.float32), 1.0, 1.0)
     y = np.array([langs.index(x) for x in got.column("lang").to_pylist()])
     texts = []
     for bucket, count in zip(got.column("bucket"), got.column("count"), strict=True):

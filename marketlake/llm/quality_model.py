@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marketlake.llm import words as W
-from marketlake.llm.samples import sampled
+from marketlake.llm.samples import fitted, sampled
 
 BUCKETS = 1 << 17
 SAMPLE_ROWS = 2500
@@ -116,12 +116,17 @@ def _sigmoid(margin: np.ndarray, label: np.ndarray) -> tuple[float, float]:
 
 
 def train(documents: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, seed: int = 5) -> Model:
-    """Learns from (doc_id, text) and (doc_id, quality). The sampled features, bounded by rows and BUCKETS, come to the driver."""
+    """Learns from (doc_id, text) and (doc_id, quality) of a sample."""
     clear = labels.where("quality is not null and doc_id is not null").groupBy("doc_id").agg(F.min("quality").alias("quality"), F.max("quality").alias("_most"))
     chosen = sampled(clear.where("quality = _most").select("doc_id", "quality"), "quality", sample_rows, seed)
     chosen = F.broadcast(chosen)  # sample_rows of each class at most
     got = documents.select("doc_id", "text").join(chosen, "doc_id").select("doc_id", F.col("quality").cast("int"), "text").mapInArrow(_features, "doc_id long, quality int, bucket array<int>")
-    got = got.toArrow().sort_by("doc_id")
+    return fitted(got, lambda sample: fit(sample, seed)) or Model(np.zeros(BUCKETS, np.float32), 0.0, 0.0, 0.0)
+
+
+def fit(got: pa.Table, seed: int) -> Model:
+    """Learns from a sample's indicators; rows in any order give the same model."""
+    got = got.sort_by("doc_id").combine_chunks()
     y = np.where(got.column("quality").to_numpy() > 0, 1.0, -1.0)
     flat = Model(np.zeros(BUCKETS, np.float32), 0.0, 0.0, 0.0)
     if len(np.unique(y)) < 2:

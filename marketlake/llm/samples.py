@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import pickle
+from collections.abc import Callable, Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -9,10 +13,27 @@ from pyspark.sql import functions as F
 def sampled(rows: DataFrame, group: str, per_group: int, seed: int) -> DataFrame:
     """Of each value of `group`, the rows whose id hash is among the `per_group` smallest.
 
-    The limit holds within every task before the shuffle. Rows that repeat an id are in or out together.
+    Groups are counted first, and only hashes low enough to hold about four times `per_group` ids are ranked, so the
+    ranking is as small for a group of any size. Rows that repeat an id are in or out together.
     """
-    key = F.xxhash64(F.lit(seed), "doc_id")
+    key = F.shiftrightunsigned(F.xxhash64(F.lit(seed), "doc_id"), 11)
+    sizes = rows.groupBy(group).agg(F.count("*").alias("_n"))
+    narrow = rows.select(group, key.alias("key")).join(F.broadcast(sizes), group)  # one row for each group
+    narrow = narrow.where(F.col("key") <= F.lit(float(1 << 53)) * (4 * per_group + 50) / F.col("_n")).select(group, "key").distinct()
     first = Window.partitionBy(group).orderBy("key")
-    bound = rows.select(group, key.alias("key")).distinct().withColumn("n", F.row_number().over(first)).where(F.col("n") <= per_group)
-    bound = bound.groupBy(group).agg(F.max("key").alias("_bound"))
-    return rows.join(F.broadcast(bound), group).where(key <= F.col("_bound")).drop("_bound")  # one row for each group
+    bound = narrow.withColumn("n", F.row_number().over(first)).where(F.col("n") <= per_group).groupBy(group).agg(F.max("key").alias("_bound"))
+    return rows.join(F.broadcast(bound), group).where(key <= F.col("_bound")).drop("_bound")
+
+
+def fitted(sample: DataFrame, fit: Callable[[pa.Table], object]):
+    """`fit` of a bounded sample, in one task; only the model, whose size its parameters bound, comes to the driver."""
+    names = sample.columns
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        got = list(batches)
+        if got:
+            model = fit(pa.Table.from_batches(got).rename_columns(names))
+            yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(model)], pa.binary())], ["model"])
+
+    rows = sample.repartition(1).mapInArrow(run, "model binary").collect()
+    return pickle.loads(rows[0]["model"]) if rows else None

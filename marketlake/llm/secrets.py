@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marketlake.llm import words as W
-from marketlake.llm.samples import sampled
+from marketlake.llm.samples import fitted, sampled
 
 #: Fixed patterns of the base findings, in the order in which kinds are listed.
 ASSIGN = re.compile(rb"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
@@ -202,7 +202,10 @@ def fit(values: list[np.ndarray], tag: np.ndarray, real: np.ndarray, steps: int
 
 def train(documents: DataFrame, sample_rows: int = SAMPLE_ROWS, seed: int = 3) -> Model | None:
     rows = sampled(documents.select("doc_id", F.lit(0).alias("_all"), "text"), "_all", sample_rows, seed).select("doc_id", "text")
-    got = rows.mapInArrow(_windows, "flat array<int>").toArrow()
+    return fitted(rows.mapInArrow(_windows, "flat array<int>"), fit_windows)
+
+
+def fit_windows(got: pa.Table) -> Model | None:
     windows = sorted(x.values.to_numpy().tolist() for x in got.column("flat"))
     if not windows or not any(B in w[-(len(w) // 7) :] for w in windows):
         return None
