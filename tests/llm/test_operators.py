@@ -1,0 +1,281 @@
+"""Every operator against a plain form of its contract, on the smallest tables and on a fixture of odd rows."""
+
+import collections
+import json
+import math
+
+import numpy as np
+import pandas as pd
+import pytest
+from pyspark.sql import functions as F
+
+import brute
+from marketlake.llm import decontaminate, jaccard_join, language_id, lm_score, packing, quality_model, quality_rules, queries, secrets, sharding, tool_calls
+from marketlake.llm.scratch import documents, id_remainder
+
+
+@pytest.fixture(params=["tables", "odd"])
+def docs(request, spark):
+    return documents(spark, request.getfixturevalue("sf_dir")) if request.param == "tables" else request.getfixturevalue("odd_documents")
+
+
+def pairs(df):
+    return [(r["doc_id"], r["text"]) for r in df.select("doc_id", "text").collect()]
+
+
+def shown(rows):
+    return sorted(map(repr, rows))
+
+
+def test_secret_base_spans(docs):
+    model = secrets.train(docs)
+    got = secrets.scan(docs, model, ["doc_id"], mask=True).collect()
+    assert shown((r["doc_id"], [r["n_assign"], r["n_access"], r["n_hex"], r["base_sha256"]]) for r in got) == shown((d, brute.base_spans(t)) for d, t in pairs(docs))
+    assert all((r["masked"] is None) == (r["spans"] == "") for r in got)
+
+
+def test_viterbi_equals_the_plain_one():
+    rng = np.random.default_rng(2)
+    moves = rng.normal(0, 1, (3, 3))
+    moves[secrets.O, secrets.I] = -1e9
+    first = np.array([0, 5, 5, 40, 100])
+    for scale in (1, 4, 20):
+        score = rng.normal(0, scale, (100, 3)) + np.array([scale, 0, 0])
+        got = secrets.viterbi(score, moves, first)
+        for a, z in zip(first, first[1:], strict=False):
+            if a == z:
+                continue
+            best, back = score[a] + moves[secrets.O], []
+            for t in range(a + 1, z):
+                step = best[:, None] + moves
+                back.append(step.argmax(0))
+                best = step.max(0) + score[t]
+            path = [int((best + moves[:, secrets.O]).argmax())]
+            for b in reversed(back):
+                path.append(int(b[path[-1]]))
+            assert got[a:z].tolist() == path[::-1]
+
+
+def test_crf_finds_what_it_has_learned():
+    """Tags of held-out windows: values after a telling word."""
+    rng = np.random.default_rng(3)
+    n = 400
+    values = [rng.integers(0, size, (n, secrets.WINDOW)) % 4 for size in secrets.SIZES]
+    tag = np.where(values[0] == 3, secrets.B, secrets.O).astype(np.int8)
+    model = secrets.fit([v[:300] for v in values], tag[:300], np.ones((300, secrets.WINDOW), bool))
+    for k in range(300, n):
+        own = secrets._all_pairs(model.weights, [v[k] for v in values])
+        assert (secrets.viterbi(own, model.moves, np.array([0, secrets.WINDOW])) == tag[k]).mean() > 0.9
+
+
+def test_packing(docs):
+    from tokenizers import Tokenizer
+
+    path, pattern = queries.tokenizer()
+    got = packing.pack_documents(docs, path, pattern, with_ids=True).toPandas()
+    own = Tokenizer.from_file(path)
+    want = []
+    for doc, text in pairs(docs):
+        ids = own.encode(text or "", add_special_tokens=False).ids + [0]
+        first = len(ids) % 2048 or 2048
+        cuts = [0, *range(first, len(ids) + 1, 2048)]
+        want += [(doc, k, a, ids[a:b]) for k, (a, b) in enumerate(zip(cuts, cuts[1:], strict=False))]
+    rows = [(None if pd.isna(d) else int(d), int(k), int(a), list(map(int, i))) for d, k, a, i in zip(got.doc_id, got.piece, got.start, got.ids, strict=True)]
+    assert shown(rows) == shown(want)
+    for _, part in got.sort_values("offset").groupby("sequence_id"):
+        assert (part.offset == part.length.cumsum() - part.length).all() and part.length.sum() <= 2048
+    assert got.sequence_id.nunique() <= math.ceil(got.length.sum() / 2048 * 1.02) + 1
+
+
+@pytest.mark.parametrize("top", [3, 40, 2048])
+def test_packing_plan_covers_the_counts(top):
+    counts = np.zeros(2049, np.int64)
+    counts[1 : top + 1] = np.random.default_rng(top).integers(0, 50, top)
+    ways = packing.plan(counts)
+    covered = np.zeros_like(counts)
+    for way, times in ways:
+        assert sum(way) <= 2048
+        np.add.at(covered, list(way), times)
+    assert (covered == counts).all()
+    least = -(-int((counts * np.arange(2049)).sum()) // 2048)
+    assert sum(t for _, t in ways) <= least * 1.02 + 2
+
+
+def test_special_strings_take_the_files_own_library():
+    from tokenizers import Tokenizer
+
+    path, pattern = queries.tokenizer()
+    encode, own = packing._encoder(path, pattern), Tokenizer.from_file(path)
+    for text in ("a <|endoftext|> b", "  x\n\n y\t", "İstanbul ﬁ 東京   à 1²½", "😀" * 5 + "​"):
+        assert encode(text).tolist() == own.encode(text, add_special_tokens=False).ids
+
+
+def test_sharding(docs):
+    got = sharding.shard_rows(docs).toPandas()
+    counts = got.groupby("shard").size().reindex(range(24), fill_value=0)
+    assert len(got) == docs.count() and counts.max() - counts.min() <= 1
+    for _, part in got.groupby("shard"):
+        assert sorted(part.slot) == list(range(len(part)))
+    sizes = sorted(len((t or "").encode()) + 8 for _, t in pairs(docs))
+    assert sorted(got["size"]) == sizes
+
+
+def test_shards_match_the_mixture(spark):
+    docs = spark.range(2400).selectExpr("id as doc_id", "cast(id as string) as text", "if(id < 800, 'hot', concat('s', id % 4)) as source")
+    got = sharding.shard_rows(docs).join(docs.select("doc_id", "source"), "doc_id").groupBy("shard", "source").count().toPandas()
+    for source, part in got.groupby("source"):
+        share = (800 if source == "hot" else 400) / 24
+        assert len(part) == 24 and (part["count"] - share).abs().max() <= 2
+
+
+def test_tool_calls_of_conversations(spark, sf_dir):
+    got = queries.op4_tool_calls(spark, sf_dir).collect()
+    turns = [r.asDict() for r in spark.read.parquet(f"{sf_dir}/conversations.parquet").collect()]
+    by_place = {(r["conv_id"], r["turn"]): r for r in turns}
+    asked = collections.defaultdict(list)
+    for r in turns:
+        if r["role"] != "assistant":
+            asked[r["conv_id"]].append(r["turn"])
+    want = []
+    for (conv, turn), r in by_place.items():
+        if r["role"] == "assistant":
+            continue
+        before, after = by_place.get((conv, turn - 2)), by_place.get((conv, turn + 1))
+        arguments, needs = {"instructions": r["text"]}, []
+        if r["role"] == "user":
+            arguments = {"prompt": r["text"], "turn": turn}
+            if before and before["role"] == "user":
+                arguments["after"] = f"{conv}:{turn - 2}"
+                needs = [arguments["after"]]
+        result = after["text"] if after and after["role"] == "assistant" else None
+        name = "answer" if r["role"] == "user" else "instruct"
+        link = json.dumps({"arguments": arguments, "call_id": f"{conv}:{turn}", "name": name, "needs": needs, "result": result}, sort_keys=True, separators=(",", ":"), ensure_ascii=False)
+        want.append((conv, f"{conv}:{turn}", name, sorted(asked[conv]).index(turn), result is not None, True, None, link))
+    assert shown(tuple(r) for r in got if r["position"] is not None) == shown(want)
+
+
+def test_tool_calls_out_of_order(spark):
+    calls = [
+        (1, "a", 0, "f", '{"x": 1}', ["b"]), (1, "b", 1, "f", '{"x": "no"}', []), (1, "c", 2, "f", "{", ["a", "b"]), (1, "d", 3, "g", "{}", ["e"]), (1, "e", 4, "f", '{"x": 2}', ["d"]),
+        (1, "b", 1, "f", '{"x": "no"}', []), (None, "z", 0, "f", "{}", []), (2, "a", None, None, None, None),
+    ]
+    calls = spark.createDataFrame(calls, "conv_id long, call_id string, seq long, name string, arguments string, needs array<string>")
+    results = spark.createDataFrame([(1, "a", "1"), (1, "a", "2"), (1, "q", "?"), (None, None, "x")], "conv_id long, call_id string, content string")
+    schemas = tool_calls.schema_table(spark, {"f": {"type": "object", "properties": {"x": {"type": "integer"}}, "required": ["x"]}})
+    got = {(r["conv_id"], r["call_id"]): r for r in tool_calls.link_calls(calls, results, schemas).collect()}
+    assert [c for _, c in sorted(((r["position"], c) for (v, c), r in got.items() if v == 1 and r["position"] is not None))] == ["b", "a", "c", "d", "e"]
+    assert {c: r["error"] for (v, c), r in got.items() if v == 1} == {
+        "a": None, "b": "$.x: not of type integer", "c": "arguments are not JSON", "d": "needs an unknown call or itself", "e": "needs an unknown call or itself", "q": "no call",
+    }
+    assert json.loads(got[1, "a"]["link_json"])["result"] == "1" and got[2, "a"]["valid"] is False
+
+
+def test_similar_documents(docs):
+    got = jaccard_join.similar_documents(docs).collect()
+    assert shown(tuple(r) for r in got) == shown(brute.components(pairs(docs)))
+
+
+def test_similar_documents_in_a_chain(spark):
+    """Near copies of near copies: ends that are not similar are still one class, and a group's members are all compared."""
+    base = [f"w{k}" for k in range(60)]
+    texts = [" ".join(base[:k] + ["x"] + base[k + 1 :]) for k in (0, 30, 59)] + [" ".join(base[k:]) for k in range(0, 36, 4)] + [" ".join(base)] * 20
+    texts += [" ".join([*base[k:], *base[:k]]) for k in (10, 25)]
+    docs = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "doc_id long, text string").repartition(4)
+    got = jaccard_join.similar_documents(docs).collect()
+    assert shown(tuple(r) for r in got) == shown(brute.components(pairs(docs)))
+
+
+def test_one_of_each(docs):
+    kept = jaccard_join.one_of_each(docs)
+    assert kept.columns == docs.columns
+    rows, left = brute.components(pairs(docs)), sorted(pairs(kept), key=repr)
+    classes = {c for d, n, c in rows if n}
+    assert len(left) == len(classes) + sum(n == 0 for _, n, _ in rows)
+    assert {d for d, t in left if brute.words(t)} == classes
+
+
+def test_contamination_of_odd_rows(spark, odd_documents):
+    items = [(1, None), (2, ""), (3, "one TWO"), (4, " ".join(f"word{k} is here" for k in range(5, 10))), (4, "zz"), (None, "w1 w2 w3 w4 w5 w6 w7 w8 w9 w10 w11"), (5, "two one")]
+    items = spark.createDataFrame(items, "item_id long, text string")
+    got = {(r["doc_id"], r["n_words"]): (r["n_hit"], r["n_items"], r["contaminated"]) for r in decontaminate.contamination(odd_documents, items).collect()}
+    assert got[7, 2] == got[8, 2] == (2, 1, True)
+    assert got[5, 120_000][0] == 11 * (120_000 // 997 + 1) and got[5, 120_000][1] == 1
+    assert got[1, 0] == got[2, 0] == got[3, 0] == (0, 0, False)
+    assert got[4, 120][:2] in ((15, 1), (0, 0))
+    none = spark.createDataFrame([], items.schema)
+    assert decontaminate.contamination(odd_documents, none).where("contaminated").count() == 0
+
+
+def test_quality_scores(spark, sf_dir):
+    got = queries.op5_quality_classifier(spark, "/root/testdata/sf0.01").toPandas()
+    labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet").toPandas()
+    both = got[got.held_out].merge(labels, on="doc_id")
+    assert len(got) == 1000 and (got.held_out == [brute.remainder(d, 4) == 2 for d in got.doc_id]).all()
+    assert got.score.between(0, 1).all() and ((got.score >= 0.7) == (got.predicted == 1)).all()
+    assert ((both.predicted == both.quality).mean()) > 0.93
+
+
+def test_languages(spark, sf_dir):
+    got = queries.op7_language_id(spark, "/root/testdata/sf0.01").toPandas()
+    docs = documents(spark, "/root/testdata/sf0.01").select("doc_id", "lang").toPandas()
+    both = got[got.held_out].merge(docs, on="doc_id")
+    assert len(got) == 1000 and (both.lang == both.lang_pred).mean() > 0.97 and got.rejected.mean() < 0.01
+
+
+def test_language_of_odd_rows(odd_documents):
+    got = language_id.identify(odd_documents, language_id.train(odd_documents), ["doc_id"]).collect()
+    assert all(r["lang_pred"] == "und" and r["score"] == 0 and r["rejected"] for r in got if r["doc_id"] in (1, 2, 3, 11))
+    assert all(r["lang_pred"] in ("en", "de", "fr") for r in got if r["doc_id"] not in (1, 2, 3, 11))
+
+
+def test_lm_scores(docs):
+    flagged = docs.select("doc_id", (id_remainder(10) != 0).alias("learned"), "text")
+    got = lm_score.score_texts(flagged).collect()
+    texts = [(d, brute.remainder(d, 10) != 0, [*brute.words(t), None]) for d, t in pairs(docs)]
+    one, two, learned = collections.Counter(), collections.Counter(), 0
+    for _, own, w in texts:
+        if own:
+            one.update(w)
+            two.update(zip([0, *w], w, strict=False))
+            learned += 1
+    tokens = sum(one.values())
+    mass = tokens + 0.1 * (len(one) + 1)
+
+    def scores(w):
+        base = sum(math.log10((one[x] + 0.1) / mass) for x in w)
+        mu = lm_score.MU
+        full = sum(math.log10((two[u, x] + mu * (one[x] + 0.1) / mass) / ((learned if u == 0 else one[u]) + mu)) for u, x in zip([0, *w], w, strict=False))
+        return base, full
+
+    want = sorted(((d, own, len(w), sum(one[x] > 0 for x in w), tokens, *scores(w)) for d, own, w in texts), key=repr)
+    got = sorted((tuple(r) for r in got), key=repr)
+    assert [r[:5] for r in sorted(got, key=lambda r: repr(r[:5]))] == [r[:5] for r in sorted(want, key=lambda r: repr(r[:5]))]
+    for column, error in ((5, 1e-9), (6, 0.06)):
+        for a, b in zip(sorted(r[column] for r in got), sorted(r[column] for r in want), strict=True):
+            assert a == pytest.approx(b, rel=error, abs=0.5 if column == 6 else 1e-9)
+
+
+def test_quality_rules_of_odd_rows(odd_documents):
+    got = quality_rules.clean_lines(odd_documents).toPandas()
+    assert len(got) == odd_documents.count() and not got[got.n_words < 50].kept.any()
+    whole = got[got.n_words == 120_000].iloc[0]
+    assert whole.n_repeat_words == 120_000 and whole.base_failed
+
+
+def test_empty_tables(spark, no_documents):
+    none, path = no_documents, queries.tokenizer()
+    items = spark.createDataFrame([], "item_id long, text string")
+    labels = spark.createDataFrame([], "doc_id long, quality int")
+    frames = [
+        secrets.scan(none, secrets.train(none), ["doc_id"]), packing.pack_documents(none, *path), sharding.shard_rows(none), jaccard_join.similar_documents(none), jaccard_join.one_of_each(none),
+        quality_model.score(none, quality_model.train(none, labels), ["doc_id"]), language_id.identify(none, language_id.train(none), ["doc_id"]), decontaminate.contamination(none, items),
+        lm_score.score_texts(none.withColumn("learned", F.lit(True))), quality_rules.clean_lines(none),
+    ]
+    assert [f.count() for f in frames] == [0] * len(frames)
+
+
+def test_scores_of_odd_rows(spark, odd_documents):
+    labels = spark.createDataFrame([(4, 1), (4, 0), (5, 0), (6, 1), (9, None), (7, 1)], "doc_id long, quality int")
+    for own in (labels, labels.where("quality = 1")):
+        got = quality_model.score(odd_documents, quality_model.train(odd_documents, own), ["doc_id"]).toPandas()
+        assert len(got) == odd_documents.count() and got.score.between(0, 1).all()
