@@ -7,7 +7,7 @@ from marketlake.functions.numbers import number
 
 # How the marketplace writes brands, ranks, sizes, weights and dates.
 BRAND_PREFIX = r"^Brand:\s*"
-RANK_IN_CATEGORY = r"#?([\d,]+)\s+in\s*(.*)$"
+RANK_IN_CATEGORY = r"#?([\d,]+)\s+in\s*([^\r\n]*)"
 SIDES_AND_UNIT = r"^([\d.]+)\s*x\s*([\d.]+)(?:\s*x\s*([\d.]+))?(?:\s*([A-Za-z]\w*))?"
 WEIGHT_AND_UNIT = r"^([\d.]+)\s+(.+)$"
 LISTING_DATES = {r"^[A-Za-z]{3} ": "MMM d, yyyy", r"^[A-Za-z]{4,} ": "MMMM d, yyyy", r"^\d{4}-": "yyyy-MM-dd"}
@@ -20,7 +20,10 @@ def brand_name(c: Column) -> Column:
 
 
 def seller_ranks(c: Column) -> Column:
-    """Each "#1,234 in Toys" as {rank, category}; any number of entries, "in" may touch the category."""
+    """Each "#1,234 in Toys" as {rank, category}; any number of entries, "in" may touch the category.
+
+    The first rank of an entry counts; a line break ends its category.
+    """
 
     def entry(text: Column) -> Column:
         rank = F.replace(F.regexp_extract(text, RANK_IN_CATEGORY, 1), F.lit(","), F.lit(""))

@@ -1,5 +1,6 @@
 """From raw feed to marts: one day, or a whole range of days as a few large Spark jobs."""
 
+from collections.abc import Iterable
 from dataclasses import dataclass
 from datetime import date, timedelta
 
@@ -11,11 +12,15 @@ from marketlake.operators.quality import dim_totals
 from marketlake.operators.scd2 import rewind, valid_between
 from marketlake.plans import dimension, facts, marts, silver
 from marketlake.sources import dim_store
-from marketlake.sources.feeds import FEEDS, Feed, flatten, is_bad, quarantined, read_envelopes
+from marketlake.sources.feeds import FEEDS, Feed, feed_days, flatten, is_bad, quarantined, read_envelopes
 from marketlake.sources.files import delete
 from marketlake.sources.tables import RunReport, publish_days, read_days, stored_days
 
 
+# Runs of the dimension that readers may still be using when a new one ends.
+KEPT_RUNS = 2
+
+
 @dataclass(frozen=True)
 class Table:
     path: str
@@ -40,16 +45,27 @@ def tables(lake: str) -> dict[str, Table]:
     }
 
 
-def run_day(spark: SparkSession, feeds: str, lake: str, day: str, multi_line: bool = True) -> list[RunReport]:
-    """Builds every table for one day, in dependency order. Running a day again gives the same tables."""
+def run_day(
+    spark: SparkSession, feeds: str, lake: str, day: str, multi_line: bool = True, kept_runs: int = KEPT_RUNS
+) -> list[RunReport]:
+    """Builds every table for one day, in dependency order. Running a day again gives the same tables.
+
+    The dimension keeps what readers of its newest ``kept_runs`` runs need.
+    """
     newest = dim_store.newest_day(spark, tables(lake)["dim_product"].path)
     if newest and day < newest:
         raise ValueError(f"{newest} is already loaded: use backfill to rebuild from {day} on")
-    return _run(spark, feeds, lake, day, day, multi_line, "current")
+    return _run(spark, feeds, lake, day, day, multi_line, "current", kept_runs)
 
 
 def backfill(
-    spark: SparkSession, feeds: str, lake: str, start: str, end: str, multi_line: bool = True
+    spark: SparkSession,
+    feeds: str,
+    lake: str,
+    start: str,
+    end: str,
+    multi_line: bool = True,
+    kept_runs: int = KEPT_RUNS,
 ) -> list[RunReport]:
     """Builds every table for all days of a range at once: one job per table, not one per day.
 
@@ -58,11 +74,11 @@ def backfill(
     newest = dim_store.newest_day(spark, tables(lake)["dim_product"].path)
     if newest and newest > end:
         raise ValueError(f"days up to {newest} are loaded: a rebuild from {start} must reach that day")
-    return _run(spark, feeds, lake, start, end, multi_line, "asof")
+    return _run(spark, feeds, lake, start, end, multi_line, "asof", kept_runs)
 
 
 def _run(
-    spark: SparkSession, feeds: str, lake: str, start: str, end: str, multi_line: bool, mode: str
+    spark: SparkSession, feeds: str, lake: str, start: str, end: str, multi_line: bool, mode: str, kept_runs: int
 ) -> list[RunReport]:
     job = _Job(spark, lake, start, end)
     reports = [job.ingest(feeds, feed, multi_line) for feed in FEEDS]
@@ -84,6 +100,7 @@ def _run(
             "mart_brand_competitive", performance, lambda f: marts.mart_brand_competitive(f, dim, unique_grain=True)
         ),
     ]
+    dim_store.drop_old_runs(spark, job.tables["dim_product"].path, kept_runs)
     return reports
 
 
@@ -98,12 +115,12 @@ class _Job:
         return read_days(self.spark, table.path, table.schema, self.start, self.end)
 
     def build(self, name: str, source: DataFrame, transform) -> RunReport:
-        """Writes a table from a source; a source without rows writes nothing.
+        """Writes a table from a source; a source without rows writes nothing, a source's day without result is emptied.
 
         The source is a stored table, so counting it reads file footers only.
         """
         table, rows_in = self.tables[name], source.count()
-        rows_out = self._publish(name, transform(source)) if rows_in else 0
+        rows_out = self._publish(name, transform(source), covered=self._days_of(source)) if rows_in else 0
         return RunReport(name, table.path, "replace days", rows_in, rows_out)
 
     def ingest(self, feeds: str, feed: Feed, multi_line: bool) -> RunReport:
@@ -116,7 +133,8 @@ class _Job:
         counted = envelopes.observe(
             seen, F.count(F.lit(1)).alias("envelopes"), F.count_if(is_bad(feed)).alias("bad_envelopes")
         )
-        rows_out = self._publish(name, flatten(counted, feed), rebalance=True)
+        covered = feed_days(self.spark, feeds, feed, _days(self.start, self.end))
+        rows_out = self._publish(name, flatten(counted, feed), rebalance=True, covered=covered)
         counts = seen.get
         quarantine = self.tables[f"quarantine_{feed.name}"].path
         for day in stored_days(self.spark, quarantine, self.start, self.end):
@@ -143,9 +161,13 @@ class _Job:
         totals = dim_totals(dim_store.read_dim(self.spark, path)).first().asDict()
         return RunReport("dim_product", path, "new run", rows_in, totals["total_rows"], totals)
 
-    def _publish(self, name: str, df: DataFrame, rebalance: bool = False) -> int:
+    def _publish(self, name: str, df: DataFrame, rebalance: bool = False, covered: Iterable[str] = ()) -> int:
         table, many_days = self.tables[name], self.start < self.end
-        return publish_days(df, table.path, table.schema, self.start, self.end, rebalance or many_days)
+        return publish_days(df, table.path, table.schema, self.start, self.end, rebalance or many_days, covered)
+
+    def _days_of(self, source: DataFrame) -> list[str]:
+        """The days a stored table holds, as one row a day."""
+        return [str(r[0]) for r in source.select("ingested_at").distinct().collect()]
 
 
 def _days(start: str, end: str) -> list[str]:

@@ -8,12 +8,8 @@ from pyspark.sql import functions as F
 
 
 def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
-    """The wanted columns of one table. A table of fewer splits than cores is spread over them, as a small table
-    is often a single row group, which one task would read and then work on alone; larger ones stay as they are.
-    """
-    rows = spark.read.parquet(f"{sf_dir}/{name}.parquet").select(*columns)
-    cores = spark.sparkContext.defaultParallelism
-    return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows
+    """The wanted columns of one table."""
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet").select(*columns)
 
 
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -101,7 +97,7 @@ def raw_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         "concat('All > ', p_type) as category",
         """case p_size % 4 when 0 then null when 1 then cast(array() as array<string>)
                 when 2 then array(concat('#', q, ' in ', p_type))
-                else array(concat('#1,', lpad(cast(q as string), 3, '0'), ' in ', p_type),
+                else array(concat('#1,', lpad(cast(q as string), 3, '0'), ' in ', p_type, chr(10), '(See Top 100 in ', p_name, ')'),
                            concat('#', q, ' in', p_name), 'no rank') end as best_seller_rank""",
         """case when p_size % 6 = 2 then null when p_size % 3 = 0 then concat(q, '.5 x ', p_size, ' x 3.25 inches')
                 when p_size % 3 = 1 then concat(q, ' x ', p_size, ' cm') else 'round' end as dimensions""",

@@ -161,7 +161,8 @@ def publish_day_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Typed cards of all days published, one day published again, and everything read back."""
     path = f"{scratch_dir(spark, 'publish')}/silver"
     rows = _search(spark, sf_dir)
-    tables.publish_days(rows, path, schemas.SILVER_SEARCH, "2024-01-01", "2024-12-31", rebalance=True)
+    first, last = inputs.raw_cards(spark, sf_dir).agg(F.min("ingested_at"), F.max("ingested_at")).first()
+    tables.publish_days(rows, path, schemas.SILVER_SEARCH, first, last, rebalance=True)
     again = tables.read_day(spark, path, schemas.SILVER_SEARCH, DAY).withColumn("title", F.upper("title"))
     copy = f"{path}_copy"
     tables.publish_day(again, copy, schemas.SILVER_SEARCH, DAY)
@@ -181,19 +182,24 @@ _LAKES: dict[tuple[str, str], str] = {}
 
 
 def _lake(spark: SparkSession, sf_dir: str) -> str:
-    """A lake built once per session and input by a backfill over all days of the events."""
+    """A lake built once per session and input, and never changed after that."""
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _LAKES:
-        root = scratch_dir(spark, "lake")
-        cards, pages = inputs.raw_cards(spark, sf_dir), inputs.raw_event_pages(spark, sf_dir)
-        _write_feed(cards, f"{root}/feeds", feeds.SEARCH)
-        _write_feed(pages, f"{root}/feeds", feeds.DETAILS)
-        span = cards.agg(F.min("ingested_at"), F.max("ingested_at")).first()
-        daily_run.backfill(spark, f"{root}/feeds", f"{root}/lake", span[0], span[1], multi_line=False)
-        _LAKES[key] = f"{root}/lake"
+        _LAKES[key] = _build_lake(spark, sf_dir)
     return _LAKES[key]
 
 
+def _build_lake(spark: SparkSession, sf_dir: str) -> str:
+    """A new lake, by a backfill over all days of the events."""
+    root = scratch_dir(spark, "lake")
+    cards, pages = inputs.raw_cards(spark, sf_dir), inputs.raw_event_pages(spark, sf_dir)
+    _write_feed(cards, f"{root}/feeds", feeds.SEARCH)
+    _write_feed(pages, f"{root}/feeds", feeds.DETAILS)
+    span = cards.agg(F.min("ingested_at"), F.max("ingested_at")).first()
+    daily_run.backfill(spark, f"{root}/feeds", f"{root}/lake", span[0], span[1], multi_line=False)
+    return f"{root}/lake"
+
+
 def _lake_table(name: str) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         table = daily_run.tables(_lake(spark, sf_dir))[name]
@@ -208,11 +214,12 @@ def backfill_dim_product(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def rerun_day_dim_product(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The newest day run once more: its versions are taken back and built again."""
-    lake = _lake(spark, sf_dir)
+    """The newest day of a lake of its own run once more: its versions are taken back and built again."""
+    lake = _build_lake(spark, sf_dir)
     newest = dim_store.newest_day(spark, daily_run.tables(lake)["dim_product"].path)
     daily_run.run_day(spark, f"{lake.rpartition('/')[0]}/feeds", lake, newest, multi_line=False)
-    return backfill_dim_product(spark, sf_dir)
+    dim = dim_store.read_dim(spark, daily_run.tables(lake)["dim_product"].path)
+    return _shown(dim).drop("_attr_hash")
 
 
 def serving_views(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -60,13 +60,13 @@ def write_run(spark: SparkSession, versions: DataFrame, path: str, day: str, reb
     )
 
 
-def drop_old_runs(spark: SparkSession, path: str) -> None:
-    """Frees what no reader needs: older generations, and the current versions of all but the newest run."""
+def drop_old_runs(spark: SparkSession, path: str, kept: int = 1) -> None:
+    """Frees what no reader of the newest ``kept`` runs needs: older generations, and older runs' current versions."""
     newest, days = _newest_generation(spark, path)
     for generation in _numbers(spark, path):
-        if generation < newest:
+        if generation <= newest - kept:
             delete(spark, f"{path}/{GENERATION}={generation}")
-    for day in days[:-1]:
+    for day in days[:-kept]:
         delete(spark, f"{path}/{GENERATION}={newest}/{RUN}={day}/is_current=true")
 
 

@@ -44,9 +44,7 @@ def read_envelopes(
     written as one envelope per line (``multi_line=False``) are split like any other text. A day's folder is
     named after the day, alone or as ``<name>=<day>``.
     """
-    wanted = set(days)
-    names = child_names(spark, f"{root}/{feed.folder}")
-    folders = [f"{root}/{feed.folder}/{n}" for n in names if n.rpartition("=")[2] in wanted]
+    folders = [f"{root}/{feed.folder}/{n}" for n in _day_folders(spark, root, feed, days)]
     if not folders:
         return None
     return (
@@ -61,6 +59,16 @@ def read_envelopes(
     )
 
 
+def feed_days(spark: SparkSession, root: str, feed: Feed, days: list[str]) -> list[str]:
+    """Those of ``days`` that have a folder."""
+    return [n.rpartition("=")[2] for n in _day_folders(spark, root, feed, days)]
+
+
+def _day_folders(spark: SparkSession, root: str, feed: Feed, days: list[str]) -> list[str]:
+    wanted = set(days)
+    return [n for n in child_names(spark, f"{root}/{feed.folder}") if n.rpartition("=")[2] in wanted]
+
+
 def flatten(envelopes: DataFrame, feed: Feed) -> DataFrame:
     """One row per product, stamped with its envelope's metadata and its origin.
 

@@ -1,6 +1,5 @@
 """Directory questions answered by the Hadoop file system of a path, so that any store Spark reads works."""
 
-import os
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -30,12 +29,16 @@ def delete(spark: SparkSession, path: str) -> None:
 def scratch_dir(spark: SparkSession, purpose: str) -> str:
     """A new directory for written intermediate tables, under the shared folder in ``spark.checkpoint.dir``.
 
-    Without that setting a local session gets a temporary folder; a cluster must name a shared one.
+    A session without that setting, as in tests, gets one of its own; a cluster must name a shared folder. The
+    directory goes when the driver ends.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared:
-        unique = spark._jvm.java.util.UUID.randomUUID().toString()
-        return f"{shared.rstrip('/')}/{purpose}-{unique}"
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that every executor reaches")
-    return os.path.join(tempfile.mkdtemp(prefix="marketlake-"), purpose)
+    if not shared:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that every executor reaches")
+        shared = tempfile.mkdtemp(prefix="marketlake-")
+        spark.conf.set("spark.checkpoint.dir", shared)
+    path = f"{shared.rstrip('/')}/{purpose}-{spark._jvm.java.util.UUID.randomUUID()}"
+    fs, folder = _file_system(spark, path)
+    fs.deleteOnExit(folder)
+    return path

@@ -1,5 +1,6 @@
 """Tables as Parquet directories partitioned by day: read some days, replace some days, append a day."""
 
+from collections.abc import Iterable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -7,7 +8,7 @@ from pyspark.sql import functions as F
 
 from marketlake import schemas
 from marketlake.operators.quality import schema_differences
-from marketlake.sources.files import child_names
+from marketlake.sources.files import child_names, delete
 
 DAY = "ingested_at"
 
@@ -49,9 +50,13 @@ def read_day(spark: SparkSession, path: str, schema: str, day: str) -> DataFrame
     return read_days(spark, path, schema, day, day)
 
 
-def publish_days(df: DataFrame, path: str, schema: str, start: str, end: str, rebalance: bool = False) -> int:
-    """Replaces exactly the days found in ``df`` and returns the rows written; other days stay as they are.
+def publish_days(
+    df: DataFrame, path: str, schema: str, start: str, end: str, rebalance: bool = False, covered: Iterable[str] = ()
+) -> int:
+    """Replaces the days found in ``df`` and the ``covered`` ones; returns the rows written. Other days stay as they are.
 
+    ``covered`` names the days that the source of ``df`` held: one that gave no row is emptied, as its rows of an
+    earlier run are no longer true. They go after the write, so a run that fails leaves them.
     A row of a day outside ``start``..``end`` fails the write instead of replacing that day. ``rebalance``
     evens out the files: a large day is split over several tasks, small days do not get a file from each task.
     """
@@ -65,11 +70,15 @@ def publish_days(df: DataFrame, path: str, schema: str, start: str, end: str, re
     )
     if rebalance:
         checked = checked.hint("rebalance") if start == end else checked.hint("rebalance", F.col(DAY))
-    return _write(checked, path, "overwrite")
+    written, days = _write(checked, path, "overwrite")
+    for day in sorted(set(covered) & set(stored_days(df.sparkSession, path, start, end)) - days):
+        delete(df.sparkSession, f"{path}/{DAY}={day}")
+    return written
 
 
 def publish_day(df: DataFrame, path: str, schema: str, day: str, rebalance: bool = False) -> int:
-    return publish_days(df, path, schema, day, day, rebalance)
+    """Replaces one day, with nothing if ``df`` is empty."""
+    return publish_days(df, path, schema, day, day, rebalance, covered=[day])
 
 
 def append_day(df: DataFrame, path: str, schema: str, mode: str = "append") -> int:
@@ -78,18 +87,17 @@ def append_day(df: DataFrame, path: str, schema: str, mode: str = "append") -> i
         raise ValueError(f"unknown write mode {mode!r}")
     if df.isEmpty():
         return 0
-    return _write(df.select(*schemas.column_names(schema)), path, mode)
+    return _write(df.select(*schemas.column_names(schema)), path, mode)[0]
 
 
-def _write(df: DataFrame, path: str, mode: str) -> int:
-    """Writes once and counts while writing: the count sits in the writing stage, so a retried task is not
-    counted twice."""
+def _write(df: DataFrame, path: str, mode: str) -> tuple[int, set[str]]:
+    """Writes once; rows and days written. Both are taken in the writing stage, so a retried task is not counted twice."""
     written = Observation()
     (
-        df.observe(written, F.count(F.lit(1)).alias("rows"))
+        df.observe(written, F.count(F.lit(1)).alias("rows"), F.collect_set(F.col(DAY).cast("string")).alias("days"))
         .write.mode(mode)
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(DAY)
         .parquet(path)
     )
-    return written.get["rows"]
+    return written.get["rows"], set(written.get["days"] or ())

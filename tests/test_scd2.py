@@ -112,5 +112,16 @@ def test_older_day_is_refused(spark, stored):
     day2 = START + timedelta(days=1)
     rows = stored([("a", "US", "t", "b", "i", day2)], SNAPSHOT)
     dim = fold(spark, rows, [day2])
-    with pytest.raises(PySparkException, match="later than"):
-        scd2_step(dim, versions(rows), START, KEYS).collect()
+    with pytest.raises(ValueError, match="later than"):
+        scd2_step(dim, versions(rows), START, KEYS)
+
+
+def test_later_version_in_a_file_of_its_own_is_refused(spark, stored, tmp_path):
+    days = [START, START + timedelta(days=4), START + timedelta(days=8)]
+    rows = stored([(f"a{n}", "US", "t", "b", "i", d) for n, d in enumerate(days)], SNAPSHOT)
+    for n in (0, 2):
+        only = rows.filter(F.col("day") == F.lit(days[n]))
+        fold(spark, only, [days[n]]).coalesce(1).write.mode("append").parquet(str(tmp_path / "dim"))
+    dim = spark.read.parquet(str(tmp_path / "dim"))
+    with pytest.raises(ValueError, match="later than"):
+        scd2_step(dim, versions(rows.filter(F.col("day") == F.lit(days[1]))), days[1], KEYS)

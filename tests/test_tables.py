@@ -53,10 +53,20 @@ def test_rebalanced_write_holds_every_row(spark, path):
     assert content(spark, path) == sorted((k, v) for k, v, _ in values)
 
 
-def test_empty_publish_changes_nothing(spark, path):
-    tables.publish_day(rows(spark, ("a", 1, "2026-03-04")), path, SCHEMA, "2026-03-04")
+def test_day_published_without_rows_is_emptied(spark, path):
+    tables.publish_days(rows(spark, ("a", 1, "2026-03-04"), ("b", 2, "2026-03-05")), path, SCHEMA, "2026-03-04", "2026-03-05")
     assert tables.publish_day(rows(spark).limit(0), path, SCHEMA, "2026-03-04") == 0
-    assert content(spark, path) == [("a", 1)]
+    assert content(spark, path) == [("b", 2)]
+    assert tables.publish_day(rows(spark).limit(0), path, SCHEMA, "2026-03-06") == 0
+    assert content(spark, path) == [("b", 2)]
+
+
+def test_only_covered_days_are_emptied(spark, path):
+    days = [f"2026-03-0{n}" for n in (4, 5, 6)]
+    tables.publish_days(rows(spark, *[(d[-1], 1, d) for d in days]), path, SCHEMA, days[0], days[2])
+    again = rows(spark, ("x", 9, days[0]))
+    assert tables.publish_days(again, path, SCHEMA, days[0], days[2], covered=days[:2]) == 1
+    assert content(spark, path) == [("6", 1), ("x", 9)]
 
 
 def test_schema_is_enforced(spark, path):

@@ -116,7 +116,7 @@ def test_brand(stored):
 def test_seller_ranks(stored):
     rows = stored(
         [
-            (0, ["#364 in Clothing, Shoes & Jewelry", "#1 inWomen's Fashion Sweatshirts", "#1,234 in Toys"]),
+            (0, ["#364 in Clothing, Shoes & Jewelry", "#1 inWomen's Fashion Sweatshirts", "#1,234 in Toys\n(See Top 100 in Games)"]),
             (1, ["in X", None]),
             (2, []),
             (3, None),
