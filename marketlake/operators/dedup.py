@@ -15,8 +15,8 @@ def dedup_latest(df: DataFrame, keys: list[str], order_by: list[Column]) -> Data
 
 
 def newest_first(time: str, columns: list[str]) -> list[Column]:
-    """Newest first; rows of equal time in the order of their other columns, so that every run keeps the same one.
+    """Newest first; rows of equal time in the order of ``columns``, which should tell them apart.
 
-    The sort compares those columns only where all before them are equal, so they cost nothing elsewhere.
+    Every column named here is read, shuffled and sorted, whatever a later step selects: name few.
     """
     return [F.col(c).desc() for c in dict.fromkeys([time, *columns])]

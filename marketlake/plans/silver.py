@@ -68,8 +68,8 @@ def _latest_rows(bronze: DataFrame, keys: list[str]) -> DataFrame:
             "ingested_at": F.col("ingested_at").try_cast("date"),
         }
     )
-    rest = [c for c in ["source_file", *bronze.columns] if c not in keys]
-    return dedup_latest(dated, keys, newest_first("source_extracted_at", rest))
+    # a product's file and place in it are unique, so that no other column takes part in the sort and its shuffle
+    return dedup_latest(dated, keys, newest_first("source_extracted_at", ["source_file", "source_position"]))
 
 
 def _typed(latest: DataFrame, derived: dict, schema: str) -> DataFrame:

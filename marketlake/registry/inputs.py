@@ -25,6 +25,7 @@ def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
         "if(user_id % 2 = 0, 'US', 'DE') as marketplace",
         "date_format(ts, \"yyyy-MM-dd'T'HH:mm:ss.SSSSSS\") as source_extracted_at",
         "concat('page_', lpad(cast(event_id as string), 12, '0')) as source_file",
+        "0 as source_position",
         "cast(cast(ts as date) as string) as ingested_at",
     )
 
@@ -61,6 +62,7 @@ def raw_cards(spark: SparkSession, sf_dir: str) -> DataFrame:
         "marketplace",
         "source_extracted_at",
         "source_file",
+        "source_position",
         "ingested_at",
     )
 
@@ -79,6 +81,7 @@ def raw_event_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         "marketplace",
         "source_extracted_at",
         "source_file",
+        "source_position",
         "ingested_at",
     )
 
@@ -133,6 +136,7 @@ def raw_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         """concat_ws('_', lpad(cast(l_orderkey as string), 12, '0'),
                 lpad(cast(cast(floor(l_extendedprice * 100 + 0.5) as bigint) as string), 12, '0'),
                 l_suppkey, q, l_returnflag) as source_file""",
+        "0 as source_position",
         "cast(cast(l_shipdate as date) as string) as ingested_at",
     )
 

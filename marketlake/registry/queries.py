@@ -15,7 +15,7 @@ from marketlake.operators.lookup import resolve_sk
 from marketlake.plans import daily_run, dimension, facts, marts, research, silver, views
 from marketlake.registry import inputs
 from marketlake.sources import dim_store, feeds, tables
-from marketlake.sources.files import child_names, scratch_dir
+from marketlake.sources.files import child_names, delete, scratch_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -132,9 +132,9 @@ def _nested_columns():
 # --- raw feed and storage -------------------------------------------------------------------------------------
 
 
-def _write_feed(rows: DataFrame, root: str, feed: feeds.Feed, with_companion: bool = False) -> None:
+def _write_feed(rows: DataFrame, root: str, feed: feeds.Feed, with_companion: bool = False, mode: str = "error") -> None:
     """The rows as JSON envelopes, one per line and row, in one folder per day."""
-    fields = [c for c in rows.columns if c not in {*feed.metadata, "source_file", "ingested_at"}]
+    fields = [c for c in rows.columns if c not in {*feed.metadata, "source_file", "source_position", "ingested_at"}]
     products = [F.struct(*fields)]
     if with_companion:
         products.append(products[0].withField("asin", F.concat(F.lit("C"), "asin")))
@@ -142,7 +142,8 @@ def _write_feed(rows: DataFrame, root: str, feed: feeds.Feed, with_companion: bo
     (
         rows.select(metadata.alias("metadata"), F.array(*products).alias("products"), F.col("ingested_at").alias("day"))
         .hint("rebalance", F.col("day"))
-        .write.partitionBy("day")
+        .write.mode(mode)
+        .partitionBy("day")
         .json(f"{root}/{feed.folder}")
     )
 
@@ -154,7 +155,7 @@ def ingest_explode(spark: SparkSession, sf_dir: str) -> DataFrame:
     _write_feed(rows, root, feeds.SEARCH, with_companion=True)
     days = [name.rpartition("=")[2] for name in child_names(spark, f"{root}/{feeds.SEARCH.folder}")]
     envelopes = feeds.read_envelopes(spark, root, feeds.SEARCH, days, multi_line=False)
-    return feeds.flatten(envelopes, feeds.SEARCH).drop("source_file")
+    return feeds.flatten(envelopes, feeds.SEARCH).drop("source_file", "source_position")
 
 
 def publish_day_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -222,6 +223,19 @@ def rerun_day_dim_product(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _shown(dim).drop("_attr_hash")
 
 
+def rerun_day_shrinks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Brand figures after the newest day is run again with no brand known: that day has none left."""
+    lake = _build_lake(spark, sf_dir)
+    root, dim = lake.rpartition("/")[0], daily_run.tables(lake)["dim_product"].path
+    newest = dim_store.newest_day(spark, dim)
+    delete(spark, f"{root}/feeds/{feeds.DETAILS.folder}/day={newest}")
+    pages = inputs.raw_event_pages(spark, sf_dir).filter(F.col("ingested_at") == newest)
+    _write_feed(pages.withColumn("brand", F.lit(None).cast("string")), f"{root}/feeds", feeds.DETAILS, mode="append")
+    daily_run.run_day(spark, f"{root}/feeds", lake, newest, multi_line=False)
+    table = daily_run.tables(lake)["mart_brand_competitive"]
+    return _shown(tables.read_days(spark, table.path, table.schema))
+
+
 def serving_views(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The views registered over a built lake, asked in SQL with bound parameters."""
     views.register_views(spark, _lake(spark, sf_dir))
@@ -259,15 +273,26 @@ def scd2_current(spark: SparkSession, sf_dir: str) -> DataFrame:
     return views.current_products(history).select(*CUSTOMER, *STATUS, "effective_date", "version_sk")
 
 
-def scd2_one_step(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """History up to a day, then one step with each customer's newest later snapshot."""
+def _customer_step(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """The history after one step from the cut day, and the rows of that step."""
     days = _customer_days(spark, sf_dir)
     cut = scd2.day_literal(CUT_DAY)
     dim = _customer_history(days.filter(F.col("day") < cut))
     newest = dedup_latest(days.filter(F.col("day") >= cut), CUSTOMER, [F.col("day").desc()])
     incoming = scd2.as_new_versions(newest, STATUS, cut).drop("day")
     incoming = incoming.withColumn("version_sk", sha_key(*CUSTOMER, "effective_date"))
-    return scd2.scd2_step(dim, incoming, CUT_DAY, CUSTOMER).drop("_attr_hash")
+    return scd2.scd2_step(_stored(dim), incoming, CUT_DAY, CUSTOMER), incoming
+
+
+def scd2_one_step(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """History up to a day, then one step with each customer's newest later snapshot."""
+    return _customer_step(spark, sf_dir)[0].drop("_attr_hash")
+
+
+def scd2_rerun_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same, with the step taken twice."""
+    stepped, incoming = _customer_step(spark, sf_dir)
+    return scd2.scd2_step(_stored(stepped), incoming, CUT_DAY, CUSTOMER).drop("_attr_hash")
 
 
 def asof_sk_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -386,8 +411,9 @@ def quality_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def current_uniqueness(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Keys current more than once in the products' history: there must be none."""
-    return quality.current_duplicates(_product_history(spark, sf_dir), dimension.KEYS)
+    """Keys current more than once, in a history of which a part is repeated."""
+    history = _product_history(spark, sf_dir)
+    return quality.current_duplicates(history.unionByName(history.filter(F.col("asin").endswith("7"))), dimension.KEYS)
 
 
 def null_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -422,6 +448,7 @@ def queries() -> dict[str, Query]:
         "scd2_history": scd2_history,
         "scd2_current": scd2_current,
         "scd2_one_step": scd2_one_step,
+        "scd2_rerun_day": scd2_rerun_day,
         "asof_sk_lookup": asof_sk_lookup,
         "dim_product": dim_product,
         "fact_search_ranking": fact_search_ranking,
@@ -433,6 +460,7 @@ def queries() -> dict[str, Query]:
         "backfill_keyword_mart": _lake_table("mart_keyword_daily"),
         "backfill_brand_mart": _lake_table("mart_brand_competitive"),
         "rerun_day_dim_product": rerun_day_dim_product,
+        "rerun_day_shrinks": rerun_day_shrinks,
         "serving_views": serving_views,
         "keyword_list": keyword_list,
         "keyword_topk": keyword_topk,

@@ -37,11 +37,12 @@ DETAILS_ENVELOPE = f"""
 
 BRONZE_SEARCH = f"""
     {_SEARCH_RECORD}, keyword string, marketplace string, source_extracted_at string,
-    source_file string, ingested_at string
+    source_file string, source_position int, ingested_at string
 """
 
 BRONZE_DETAILS = f"""
-    {_DETAILS_RECORD}, marketplace string, source_extracted_at string, source_file string, ingested_at string
+    {_DETAILS_RECORD}, marketplace string, source_extracted_at string, source_file string, source_position int,
+    ingested_at string
 """
 
 QUARANTINE = "source_file string, reason string, raw string, ingested_at string"

@@ -70,7 +70,7 @@ def _day_folders(spark: SparkSession, root: str, feed: Feed, days: list[str]) ->
 
 
 def flatten(envelopes: DataFrame, feed: Feed) -> DataFrame:
-    """One row per product, stamped with its envelope's metadata and its origin.
+    """One row per product, stamped with its envelope's metadata, its origin and its place in the envelope.
 
     A file that does not parse has no products and drops out here; ``quarantined`` reports it.
     """
@@ -78,8 +78,8 @@ def flatten(envelopes: DataFrame, feed: Feed) -> DataFrame:
     origin = ["source_file", "ingested_at"]
     return (
         envelopes.filter(_complete(feed))
-        .select(*stamps, *origin, F.explode("products").alias("product"))
-        .select("product.*", *feed.metadata, *origin)
+        .select(*stamps, *origin, F.posexplode("products").alias("source_position", "product"))
+        .select("product.*", *feed.metadata, "source_file", "source_position", "ingested_at")
     )
 
 

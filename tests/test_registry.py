@@ -4,12 +4,13 @@ import duckdb
 import pytest
 
 import __spark_entry__ as registered
+from marketlake.registry import oracle, queries
 
 SF_DIR = "/root/testdata/sf0.001"
 TABLES = """region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels
     conversations""".split()
 SQL_TYPES = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN", "date": "DATE"}
-QUERIES, ORACLES = registered.queries(), registered.oracle_sql()
+QUERIES, ORACLES = queries.queries(), oracle.oracle_sql()
 
 
 @pytest.fixture(scope="module")
