@@ -5,7 +5,7 @@ the broadcast limit a hot product may sit on the left side of the sort-merge joi
 per key (and day), so adaptive execution splits that product's rows over many tasks and copies one row to each.
 """
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -16,11 +16,16 @@ def resolve_sk(
     mode: str = "current",
     day: str = "ingested_at",
     sk: str = "product_sk",
+    unique_days: bool = False,
 ) -> DataFrame:
     """Adds the surrogate key of each row's product; a product without a version keeps its row with NULL.
 
     ``current`` takes today's current version, ``asof`` the version valid on the row's own day (backfills).
+    ``unique_days`` says that ``df`` holds a key once a day, as facts by product and day do: its rows then stand on
+    the time line themselves, which saves the distinct and the join back.
     """
+    if mode == "asof" and unique_days:
+        return _carried(df, dim, keys, day, sk)
     if mode == "current":
         found, on = dim.filter("is_current").select(sk, *keys), keys
     elif mode == "asof":
@@ -37,17 +42,29 @@ def valid_versions(dim: DataFrame, asked: DataFrame, keys: list[str], day: str,
     sort, where a join on the validity range would compare every day of a key with every version of it. A time
     line holds at most one version and one asked row per day, so it is bounded by the number of days.
     """
+    return _time_line(asked.dropna(subset=keys), dim, keys, day, sk).filter(_valid(day)).select(*keys, day, F.col(f"newest.{sk}").alias(sk))
+
+
+def _time_line(asked: DataFrame, dim: DataFrame, keys: list[str], day: str, sk: str) -> DataFrame:
+    """The asked rows, each with the ``newest`` version that starts on its day or before."""
     version = F.struct(F.col(sk), F.col("expiry_date"))
     starts = dim.dropna(subset=keys).select(*keys, F.col("effective_date").alias(day), version.alias("version"))
-    line = starts.unionByName(asked.dropna(subset=keys), allowMissingColumns=True)
+    line = starts.unionByName(asked, allowMissingColumns=True)
     so_far = (
         Window.partitionBy(*keys)
         .orderBy(day, F.col("version").isNull())
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    newest = F.last("version", ignorenulls=True).over(so_far)
-    return (
-        line.withColumn("newest", newest)
-        .filter(F.col("version").isNull() & (F.col("newest.expiry_date").isNull() | (F.col(day) <= F.col("newest.expiry_date"))))
-        .select(*keys, day, F.col(f"newest.{sk}").alias(sk))
-    )
+    return line.withColumn("newest", F.last("version", ignorenulls=True).over(so_far)).filter(F.col("version").isNull())
+
+
+def _valid(day: str) -> Column:
+    return F.col("newest.expiry_date").isNull() | (F.col(day) <= F.col("newest.expiry_date"))
+
+
+def _carried(df: DataFrame, dim: DataFrame, keys: list[str], day: str, sk: str) -> DataFrame:
+    """``df`` through the time line itself; rows without a key, which match nothing, go round it."""
+    asked = df.dropna(subset=keys).select(*keys, day, F.struct(*df.columns).alias("row"))
+    found = _time_line(asked, dim, keys, day, sk).select(F.when(_valid(day), F.col(f"newest.{sk}")).alias(sk), "row.*")
+    keyless = df.filter(" or ".join(f"{k} is null" for k in keys))
+    return found.unionByName(keyless.select(F.lit(None).cast(dim.schema[sk].dataType).alias(sk), *df.columns))

@@ -3,13 +3,14 @@
 The declared schema of a fact picks and orders its columns; the surrogate key is looked up last.
 """
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from marketlake import schemas
+from marketlake.functions.keys import change_hash, sha_key
 from marketlake.functions.numbers import settled
 from marketlake.operators.lookup import resolve_sk
-from marketlake.plans.dimension import KEYS
+from marketlake.plans.dimension import KEYS, TRACKED
 
 PRICE_KEYS = ["asin", "marketplace", "ingested_at"]
 
@@ -54,12 +55,7 @@ def price_snapshot(search: DataFrame, unique_grain: bool = False) -> DataFrame:
 
 def product_performance(details: DataFrame) -> DataFrame:
     """Product pages with their first two best-seller ranks side by side, before the key is looked up."""
-    places = {
-        f"bsr_{name}_{part}": F.get("best_seller_ranks", F.lit(position))[part]
-        for position, name in enumerate(("primary", "secondary"))
-        for part in ("rank", "category")
-    }
-    return details.withColumns(places).select(*_measures(schemas.FACT_PRODUCT_PERFORMANCE))
+    return details.withColumns(_places()).select(*_measures(schemas.FACT_PRODUCT_PERFORMANCE))
 
 
 def fact_search_ranking(search: DataFrame, dim: DataFrame, mode: str = "current") -> DataFrame:
@@ -71,12 +67,40 @@ def fact_price_snapshot(
     search: DataFrame, dim: DataFrame, mode: str = "current", unique_grain: bool = False
 ) -> DataFrame:
     """One row per product, marketplace and day."""
-    return _keyed(price_snapshot(search, unique_grain), dim, mode)
+    return _keyed(price_snapshot(search, unique_grain), dim, mode, unique_days=True)
 
 
 def fact_product_performance(details: DataFrame, dim: DataFrame, mode: str = "current") -> DataFrame:
     """One row per product, marketplace and day."""
-    return _keyed(product_performance(details), dim, mode)
+    return _keyed(product_performance(details), dim, mode, unique_days=True)
+
+
+def performance_with_versions(details: DataFrame) -> DataFrame:
+    """The fact over a whole history, with the brand and leaf category of each row's version beside it.
+
+    Equal to ``fact_product_performance(details, dim_history(details), "asof")`` joined to that dimension, for
+    pages unique per product and day: one window per product finds where versions start and carries the start
+    forward, so keys, versions and fact come from one shuffle. Brand and leaf category are tracked, so within a
+    version each page has the version's own.
+    """
+    by_day = Window.partitionBy(*KEYS).orderBy("ingested_at")
+    before = F.lag("_hash").over(by_day)
+    starts = F.when(before.isNull() | (before != F.col("_hash")), F.col("ingested_at"))
+    paged = details.withColumn("_hash", change_hash(TRACKED)).withColumn("_starts", starts)
+    newest = F.last("_starts", ignorenulls=True).over(by_day.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    paged = paged.withColumn("effective_date", newest)
+    known = F.col(KEYS[0]).isNotNull() & F.col(KEYS[1]).isNotNull()
+    places = _places() | {"product_sk": F.when(known, sha_key(*KEYS, "effective_date"))}
+    measures = [c for c in schemas.column_names(schemas.FACT_PRODUCT_PERFORMANCE) if c != "gold_processed_at"]
+    return paged.withColumns(places).select(*measures, "brand", "category_leaf").withColumn("gold_processed_at", F.current_timestamp())
+
+
+def _places() -> dict[str, Column]:
+    return {
+        f"bsr_{name}_{part}": F.get("best_seller_ranks", F.lit(position))[part]
+        for position, name in enumerate(("primary", "secondary"))
+        for part in ("rank", "category")
+    }
 
 
 def _measures(schema: str) -> list[str]:
@@ -84,5 +108,5 @@ def _measures(schema: str) -> list[str]:
     return [c for c in schemas.column_names(schema) if c not in ("product_sk", "gold_processed_at")]
 
 
-def _keyed(rows: DataFrame, dim: DataFrame, mode: str) -> DataFrame:
-    return resolve_sk(rows, dim, KEYS, mode).withColumn("gold_processed_at", F.current_timestamp())
+def _keyed(rows: DataFrame, dim: DataFrame, mode: str, unique_days: bool = False) -> DataFrame:
+    return resolve_sk(rows, dim, KEYS, mode, unique_days=unique_days).withColumn("gold_processed_at", F.current_timestamp())

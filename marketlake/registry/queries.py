@@ -308,11 +308,6 @@ def _product_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dimension.dim_history(_details(spark, sf_dir))
 
 
-def _pages_and_history(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    details = _stored(_details(spark, sf_dir))
-    return details, dimension.dim_history(details)
-
-
 def dim_product(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _shown(_product_history(spark, sf_dir)).withColumnRenamed("_attr_hash", "attr_hash")
 
@@ -342,8 +337,7 @@ def fact_price_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def fact_product_performance(spark: SparkSession, sf_dir: str) -> DataFrame:
-    details, dim = _pages_and_history(spark, sf_dir)
-    return _shown(facts.fact_product_performance(details, dim, "asof"))
+    return _shown(facts.performance_with_versions(_details(spark, sf_dir))).drop("brand", "category_leaf")
 
 
 def mart_keyword_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -351,10 +345,8 @@ def mart_keyword_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def mart_brand_competitive(spark: SparkSession, sf_dir: str) -> DataFrame:
-    details, history = _pages_and_history(spark, sf_dir)
-    dim = _stored(history)
-    performance = facts.fact_product_performance(details, dim, "asof")
-    return _shown(marts.mart_brand_competitive(performance, dim, unique_grain=True))
+    performance = facts.performance_with_versions(_details(spark, sf_dir))
+    return _shown(marts.brand_figures(performance, unique_grain=True))
 
 
 # --- research questions ---------------------------------------------------------------------------------------
