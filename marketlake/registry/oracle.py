@@ -345,6 +345,28 @@ def _profile() -> str:
     return _with(EVENTS, CARDS, "\nUNION ALL ".join(rows))
 
 
+def _customer_step() -> str:
+    """History up to the cut day, and one step with the newest later rows; the step taken again changes nothing."""
+    return _with(
+        CUSTOMERS,
+        f"earlier AS (SELECT * FROM customer_days WHERE day < DATE '{CUT_DAY}')",
+        _history("earlier"),
+        f"""incoming AS (
+  SELECT * FROM customer_days WHERE day >= DATE '{CUT_DAY}'
+  QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY day DESC) = 1)""",
+        f"""SELECT h.o_custkey, h.o_orderkey, h.o_orderstatus, h.o_orderpriority, h.effective_date,
+  CASE WHEN h.is_current AND i.attr_hash <> h.attr_hash THEN CAST(DATE '{CUT_DAY}' - 1 AS DATE)
+    ELSE h.expiry_date END AS expiry_date,
+  h.is_current AND coalesce(i.attr_hash = h.attr_hash, true) AS is_current, h.version_sk, h.attr_hash
+FROM history h LEFT JOIN incoming i ON h.o_custkey = i.o_custkey
+UNION ALL
+SELECT i.o_custkey, i.o_orderkey, i.o_orderstatus, i.o_orderpriority, DATE '{CUT_DAY}', CAST(NULL AS DATE), true,
+  sha256(concat_ws('~', CAST(i.o_custkey AS VARCHAR), '{CUT_DAY}')), i.attr_hash
+FROM incoming i LEFT JOIN history h ON h.o_custkey = i.o_custkey AND h.is_current
+WHERE h.attr_hash IS DISTINCT FROM i.attr_hash""",
+    )
+
+
 def oracle_sql() -> dict[str, str]:
     cards = f"SELECT {CARD_COLUMNS} FROM cards"
     day = f"ingested_at = DATE '{DAY}'"
@@ -445,42 +467,8 @@ FROM cards""",
             """SELECT o_custkey, o_orderstatus, o_orderpriority, effective_date, version_sk
 FROM history WHERE is_current""",
         ),
-        "scd2_one_step": _with(
-            CUSTOMERS,
-            f"earlier AS (SELECT * FROM customer_days WHERE day < DATE '{CUT_DAY}')",
-            _history("earlier"),
-            f"""incoming AS (
-  SELECT * FROM customer_days WHERE day >= DATE '{CUT_DAY}'
-  QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY day DESC) = 1)""",
-            f"""SELECT h.o_custkey, h.o_orderkey, h.o_orderstatus, h.o_orderpriority, h.effective_date,
-  CASE WHEN h.is_current AND i.attr_hash <> h.attr_hash THEN CAST(DATE '{CUT_DAY}' - 1 AS DATE)
-    ELSE h.expiry_date END AS expiry_date,
-  h.is_current AND coalesce(i.attr_hash = h.attr_hash, true) AS is_current, h.version_sk
-FROM history h LEFT JOIN incoming i ON h.o_custkey = i.o_custkey
-UNION ALL
-SELECT i.o_custkey, i.o_orderkey, i.o_orderstatus, i.o_orderpriority, DATE '{CUT_DAY}', CAST(NULL AS DATE), true,
-  sha256(concat_ws('~', CAST(i.o_custkey AS VARCHAR), '{CUT_DAY}'))
-FROM incoming i LEFT JOIN history h ON h.o_custkey = i.o_custkey AND h.is_current
-WHERE h.attr_hash IS DISTINCT FROM i.attr_hash""",
-        ),
-        "scd2_rerun_day": _with(
-            CUSTOMERS,
-            f"earlier AS (SELECT * FROM customer_days WHERE day < DATE '{CUT_DAY}')",
-            _history("earlier"),
-            f"""incoming AS (
-  SELECT * FROM customer_days WHERE day >= DATE '{CUT_DAY}'
-  QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY day DESC) = 1)""",
-            f"""SELECT h.o_custkey, h.o_orderkey, h.o_orderstatus, h.o_orderpriority, h.effective_date,
-  CASE WHEN h.is_current AND i.attr_hash <> h.attr_hash THEN CAST(DATE '{CUT_DAY}' - 1 AS DATE)
-    ELSE h.expiry_date END AS expiry_date,
-  h.is_current AND coalesce(i.attr_hash = h.attr_hash, true) AS is_current, h.version_sk
-FROM history h LEFT JOIN incoming i ON h.o_custkey = i.o_custkey
-UNION ALL
-SELECT i.o_custkey, i.o_orderkey, i.o_orderstatus, i.o_orderpriority, DATE '{CUT_DAY}', CAST(NULL AS DATE), true,
-  sha256(concat_ws('~', CAST(i.o_custkey AS VARCHAR), '{CUT_DAY}'))
-FROM incoming i LEFT JOIN history h ON h.o_custkey = i.o_custkey AND h.is_current
-WHERE h.attr_hash IS DISTINCT FROM i.attr_hash""",
-        ),
+        "scd2_one_step": _customer_step(),
+        "scd2_rerun_day": _customer_step(),
         "asof_sk_lookup": _with(
             CUSTOMERS,
             _history("customer_days"),

@@ -286,13 +286,13 @@ def _customer_step(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFra
 
 def scd2_one_step(spark: SparkSession, sf_dir: str) -> DataFrame:
     """History up to a day, then one step with each customer's newest later snapshot."""
-    return _customer_step(spark, sf_dir)[0].drop("_attr_hash")
+    return _customer_step(spark, sf_dir)[0].withColumnRenamed("_attr_hash", "attr_hash")
 
 
 def scd2_rerun_day(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same, with the step taken twice."""
     stepped, incoming = _customer_step(spark, sf_dir)
-    return scd2.scd2_step(_stored(stepped), incoming, CUT_DAY, CUSTOMER).drop("_attr_hash")
+    return scd2.scd2_step(_stored(stepped), incoming, CUT_DAY, CUSTOMER).withColumnRenamed("_attr_hash", "attr_hash")
 
 
 def asof_sk_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
