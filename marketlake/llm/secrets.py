@@ -5,6 +5,10 @@ digits, a telling beginning), the same of its neighbours, and what its file hold
 sample are the training tags; the model adds the spans it finds beyond them, and base spans stay. Decoding is Viterbi over
 whole texts; words that every best path leaves outside cut a text into short stretches, so the result is exact.
 
+Each training window around a finding is also learned with its telling words hidden, and windows around numbers, addresses
+and the like that are no findings stand against them; so the model goes by the value's shape and place, and finds values
+whose names the base patterns do not list.
+
 The sample is SAMPLE_ROWS documents, and at most WINDOWS_A_TEXT windows of each. Cases: a null or empty text has no spans. If
 no sampled document has a base finding, nothing is added. Repeated rows are scanned each; long texts are read whole.
 """
@@ -31,7 +35,7 @@ KINDS = ("assign", "access", "hex", "crf")
 MIN_VALUE, MIN_ACCESS, MIN_HEX = 6, 20, 24
 
 SAMPLE_ROWS = 20_000
-WINDOWS_A_TEXT = 8
+WINDOWS_A_TEXT = 4
 WINDOW = 24
 STEPS = 150
 PENALTY = 1e-3
@@ -55,6 +59,8 @@ _TELLING = np.array([int.from_bytes(x, "little") for x in (b"pass", b"secr", b"t
 _LENGTHS = np.array([3, 6, 10, 15, 19, 24, 40])
 #: Sizes of the features: classes, length, digits, beginning, the neighbours' (two before, one after), and the file's.
 SIZES = (256, 8, 4, 2, 32, 16)
+#: Bits of each feature in a training window as it is, and without those that tell of telling words.
+SHOWN, HIDDEN = (255, 255, 255, 255, 255, 255), (255, 255, 255, 0, 2 + 8, 255 - 1)
 
 
 @dataclass
@@ -128,26 +134,28 @@ def tags(texts: W.Texts, found: W.Words, spans: list[list[tuple[int, int, int]]]
 
 
 def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Training windows: around base findings, and one somewhere in one text of eight."""
+    """Training windows: around base findings, as they are and with telling words hidden; else around a word with a digit,
+    and somewhere in one text of eight."""
     for batch in batches:
         for texts in W.chunks(batch.column(1)):
             found = W.words(texts)
             spans = base_spans(texts)
             tag, values = tags(texts, found, spans), features(texts, found)
+            digit = np.add.reduceat(_DIGIT[texts.data], found.start, dtype=np.int64) > 0 if len(found.start) else np.zeros(0, bool)
             out = []
             for r in range(texts.rows):
                 a, z = int(found.first[r]), int(found.first[r + 1])
-                doc = batch.column(0)[texts.first_row + r].as_py()
+                doc = batch.column(0)[texts.first_row + r].as_py() or 0
                 if spans[r]:
-                    middles = (a + np.flatnonzero(tag[a:z] == B))[:WINDOWS_A_TEXT]
-                elif z > a and (doc or 0) % 8 == 0:
-                    middles = [a + ((doc or 0) * 2654435761) % (z - a)]
+                    middles, forms = (a + np.flatnonzero(tag[a:z] == B))[: WINDOWS_A_TEXT // 2], (SHOWN, HIDDEN)
                 else:
-                    continue
+                    middles, forms = (a + np.flatnonzero(digit[a:z]))[:1].tolist(), (SHOWN,)
+                    middles += [a + (doc * 2654435761) % (z - a)] if z > a and doc % 8 == 0 else []
                 for m in middles:
                     start = max(a, min(int(m) - WINDOW // 2, z - WINDOW))
                     part = slice(start, min(z, start + WINDOW))
-                    out.append([*(v[part].tolist() for v in values), tag[part].tolist()])
+                    for form in forms:
+                        out.append([*((v[part] & bits).tolist() for v, bits in zip(values, form, strict=True)), tag[part].tolist()])
             for flat in out:
                 yield pa.RecordBatch.from_arrays([pa.array([sum(flat, [])], pa.list_(pa.int32()))], ["flat"])
 

@@ -6,11 +6,13 @@ import math
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 import brute
 from marketlake.llm import decontaminate, jaccard_join, language_id, lm_score, packing, quality_model, quality_rules, queries, secrets, sharding, tool_calls
+from marketlake.llm import words as words_
 from marketlake.llm.scratch import documents, id_remainder
 
 
@@ -68,6 +70,22 @@ def test_crf_finds_what_it_has_learned():
         assert (secrets.viterbi(own, model.moves, np.array([0, secrets.WINDOW])) == tag[k]).mean() > 0.9
 
 
+def test_crf_finds_values_under_names_that_the_patterns_do_not_list():
+    rng = np.random.default_rng(4)
+    word = lambda: "".join(rng.choice(list("aeinrst"), 5))
+    prose = lambda: " ".join(word() for _ in range(20))
+    value = lambda: "".join(rng.choice(list("0123456789abcdef"), 18))
+    plain = [f"{prose()} 555-{rng.integers(1000, 9999)} {word()}.{rng.integers(99)}@mail.example.com {prose()}" for _ in range(200)]
+    texts = plain + [f"{prose()} password={value()} {prose()}" for _ in range(200)]
+    batch = lambda x: pa.RecordBatch.from_arrays([pa.array(range(len(x))), pa.array(x)], ["doc_id", "text"])
+    model = secrets.fit_windows(pa.Table.from_batches(list(secrets._windows(iter([batch(texts)])))))
+    secret = value()
+    new = [f"{prose()} pwd={secret} {prose()}", f"{prose()} 555-1234 a.7@mail.example.com {prose()}", prose(), ""]
+    found = next(words_.chunks(pa.array(new)))
+    spans = secrets._added(found, model, secrets.base_spans(found))
+    assert [[found.text(r)[a:z].decode() for a, _, z in own] for r, own in enumerate(spans)] == [[f"pwd={secret}"], [], [], []]
+
+
 def test_packing(docs):
     from tokenizers import Tokenizer
 

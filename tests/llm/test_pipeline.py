@@ -1,3 +1,7 @@
+import os
+import subprocess
+import sys
+
 import duckdb
 import pytest
 
@@ -37,3 +41,15 @@ def test_run(spark, sf_dir):
     packed = corpus_pipeline.run(spark, sf_dir)
     assert packed.count() == packed.select("sequence_id", "offset").distinct().count()
     assert packed.groupBy("sequence_id").agg({"length": "sum"}).where("`sum(length)` > 2048").isEmpty()
+
+
+def test_workers_find_the_package_from_any_folder(sf_dir, tmp_path):
+    """A driver started elsewhere, with nothing on PYTHONPATH."""
+    code = f"""import sys; sys.path.insert(0, {os.path.dirname(os.path.abspath(corpus_pipeline.__file__))!r})
+import __spark_entry__
+from pyspark.sql import SparkSession
+spark = SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false").config("spark.checkpoint.dir", {str(tmp_path)!r}).getOrCreate()
+print("rows", __spark_entry__.queries()["op9_lm_score"](spark, {sf_dir!r}).count())"""
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH" and not k.startswith("PYSPARK_") and not k.startswith("SPARK_")}
+    out = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=300)
+    assert "rows 200" in out.stdout, out.stderr[-2000:]
