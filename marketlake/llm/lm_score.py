@@ -235,11 +235,12 @@ def build_trie(word: np.ndarray, before: np.ndarray, count: np.ndarray, share: n
     first = _changes(word)
     place = np.repeat(np.arange(len(first)), np.diff(np.append(first, len(word))))
     gain = np.log10(1 + count / (MU * share))
-    # 256 levels at the gains' quantiles, found on every n-th pair (pairs stand in the order of hashes); the ends are exact
+    # 256 levels: half at the gains' quantiles, found on every n-th pair (pairs stand in the order of hashes), and half evenly
+    # from the least to the greatest, which bounds the error of the rare ones
     levels = np.zeros(256)
     if len(gain):
-        levels = np.quantile(gain[:: 1 + len(gain) // LEVEL_SAMPLE], np.linspace(0, 1, 256))
-        levels[0], levels[-1] = gain.min(), gain.max()
+        common = np.quantile(gain[:: 1 + len(gain) // LEVEL_SAMPLE], np.linspace(0, 1, 128))
+        levels = np.sort(np.concatenate([common, np.linspace(gain.min(), gain.max(), 128)]))
     codes = np.searchsorted((levels[1:] + levels[:-1]) / 2, gain).astype(np.uint8)
     parts = [
         encode(word[first], 1 << 64),
