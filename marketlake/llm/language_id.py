@@ -2,8 +2,13 @@
 
 Subwords are the runs of 3 and 4 bytes of the lower-cased text, in which every ASCII byte but a letter is a space. A text
 is the mean of its subwords' embeddings. As softmax input is linear in that mean, scoring adds each subword's class
-scores directly. The softmax has a temperature fitted on texts kept out of training; a prediction below the score that
-all but a thousandth of those texts reach, or 1.5 times that of a blind guess if less, is rejected.
+scores directly. The softmax has a temperature fitted on texts kept out of training.
+
+A prediction is rejected on either of two grounds. Its score is below MIN_SCORE, so another language may well be meant.
+Or the text is unlike its language: the mean log-likelihood of its subwords under those learned of the language is below
+that which all but a thousandth of the learned texts reach, each with its own subwords taken out of the counts (of fewer
+than a thousand texts, the least). The second tells languages that were not learned, code, ids and gibberish apart, and
+needs no second language. A text too short for a subword is rejected.
 
 The model is fitted on at most ROWS_PER_LANG documents of each language. Cases: a text that is null or has no letter is
 `und` with score 0, and rejected. Documents without a language are not learned from; without any labelled document all are
@@ -31,7 +36,9 @@ ROWS_PER_LANG = 1000
 EPOCHS = 4
 BATCH = 8
 RATE = 0.5
+MIN_SCORE = 0.5
 MAX_REJECTED = 0.001
+SMOOTH = 0.1
 UNKNOWN = "und"
 _b = np.arange(256)
 _FOLD = np.where((_b >= 0x41) & (_b <= 0x5A), _b + 32, np.where(((_b >= 0x61) & (_b <= 0x7A)) | (_b >= 0x80), _b, 0x20)).astype(np.uint32)
@@ -45,6 +52,8 @@ class Model:
     bias: np.ndarray
     temperature: float
     reject_below: float
+    likely: np.ndarray  # log-likelihood of each subword bucket in each language
+    unlike_below: float
 
 
 def subwords(texts: W.Texts) -> tuple[np.ndarray, np.ndarray]:
@@ -90,7 +99,7 @@ def train(documents: DataFrame, rows_per_lang: int = ROWS_PER_LANG, seed: int =
     """Learns from (doc_id, text, lang) of a sample."""
     rows = documents.where("lang is not null").select("doc_id", "lang", "text")
     got = sampled(rows, "lang", rows_per_lang, seed).select("doc_id", "lang", "text").mapInArrow(_features, "doc_id long, lang string, bucket array<int>, count array<int>")
-    blank = Model([], np.zeros((BUCKETS, 0), np.float32), np.zeros(0, np.float32), 1.0, 1.0)
+    blank = Model([], np.zeros((BUCKETS, 0), np.float32), np.zeros(0, np.float32), 1.0, 1.0, np.zeros((BUCKETS, 1), np.float32), 0.0)
     return fitted(got, lambda sample: fit(sample, seed)) or blank
 
 
@@ -99,10 +108,11 @@ def fit(got: pa.Table, seed: int) -> Model:
     got = got.sort_by([("doc_id", "ascending"), ("lang", "ascending")]).combine_chunks()
     langs = sorted(set(got.column("lang").to_pylist()))
     y = np.array([langs.index(x) for x in got.column("lang").to_pylist()])
-    texts = []
+    texts, sizes = [], []
     for bucket, count in zip(got.column("bucket"), got.column("count"), strict=True):
         n = count.values.to_numpy().astype(np.float32)
         texts.append((bucket.values.to_numpy(), n / max(n.sum(), 1)))
+        sizes.append(float(n.sum()))
     rng = np.random.default_rng(seed)
     order = rng.permutation(len(texts))
     held, kept = order[: len(order) // 5], order[len(order) // 5 :]
@@ -128,8 +138,24 @@ def fit(got: pa.Table, seed: int) -> Model:
     heats = np.geomspace(0.05, 20, 60)
     loss = [-np.log(_softmax(raw / h)[np.arange(len(check)), y[check]] + 1e-12).mean() for h in heats]
     heat = float(heats[int(np.argmin(loss))])
-    sure = _softmax(raw / heat).max(axis=1)
-    return Model(langs, scores, bias, heat, float(min(1.5 / len(langs), np.quantile(sure, MAX_REJECTED, method="lower"))))
+    best = np.array([int((share @ scores[bucket] + bias).argmax()) for bucket, share in texts])
+    likely, like = _likelihood(texts, sizes, y, best, len(langs))
+    return Model(langs, scores, bias, heat, MIN_SCORE, likely, float(np.quantile(like, MAX_REJECTED, method="lower")) if len(like) else 0.0)
+
+
+def _likelihood(texts: list[tuple[np.ndarray, np.ndarray]], sizes: list[float], y: np.ndarray, best: np.ndarray, langs: int) -> tuple[np.ndarray, np.ndarray]:
+    """Log-likelihood of the subwords in each language, and its mean over each text that has any, in the language predicted for
+    it. A text's own subwords do not count in its mean."""
+    counts = np.zeros((BUCKETS, langs))
+    for (bucket, share), size, k in zip(texts, sizes, y, strict=True):
+        counts[bucket, k] += share * size
+    total, like = counts.sum(axis=0), []
+    for (bucket, share), size, k, guess in zip(texts, sizes, y, best, strict=True):
+        if size:
+            own = size if k == guess else 0.0
+            seen = np.maximum(counts[bucket, guess] - share * own, 0)
+            like.append(share @ np.log(seen + SMOOTH) - np.log(max(total[guess] - own, 0) + SMOOTH * BUCKETS))
+    return (np.log(counts + SMOOTH) - np.log(total + SMOOTH * BUCKETS)).astype(np.float32), np.array(like)
 
 
 def identify(documents: DataFrame, model: Model, keep: list[str]) -> DataFrame:
@@ -139,20 +165,23 @@ def identify(documents: DataFrame, model: Model, keep: list[str]) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = model.scores
         for batch in batches:
-            column, langs, scores = batch.column(0), [], []
+            column, langs, scores, unlike = batch.column(0), [], [], []
             for texts in W.chunks(column):
                 raw = np.zeros((texts.rows, max(1, len(model.langs))))
                 code, row = subwords(texts)
-                count = np.maximum(np.bincount(row, minlength=texts.rows), 1)
+                found = np.bincount(row, minlength=texts.rows)
+                count = np.maximum(found, 1)
                 for k in range(len(model.langs)):
                     raw[:, k] = np.bincount(row, weights=table[:, k][code], minlength=texts.rows) / count + model.bias[k]
                 share = _softmax(raw / model.temperature)
                 best = share.argmax(axis=1)
+                like = np.bincount(row, weights=model.likely[code, best[row]], minlength=texts.rows) / count
+                unlike.extend((found == 0) | (like < model.unlike_below))
                 for r in range(texts.rows):
                     known = model.langs and _LETTER.search(column[texts.first_row + r].as_py() or "")
                     langs.append(model.langs[best[r]] if known else UNKNOWN)
                     scores.append(float(share[r, best[r]]) if known else 0.0)
-            rejected = [lang == UNKNOWN or s < model.reject_below for lang, s in zip(langs, scores, strict=True)]
+            rejected = [lang == UNKNOWN or s < model.reject_below or bool(u) for lang, s, u in zip(langs, scores, unlike, strict=True)]
             yield pa.RecordBatch.from_arrays([*batch.columns[1:], pa.array(langs, pa.string()), pa.array(scores, pa.float64()), pa.array(rejected, pa.bool_())], names)
 
     kinds = ", ".join(f"`{c}` {t}" for c, t in documents.select(*keep).dtypes)

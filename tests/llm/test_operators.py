@@ -246,6 +246,23 @@ def test_language_of_odd_rows(odd_documents):
     assert all(r["lang_pred"] in ("en", "de", "fr") for r in got if r["doc_id"] not in (1, 2, 3, 11))
 
 
+def test_rejected_languages(spark):
+    """A language left out of the learning, code, ids and gibberish are rejected, held-out texts of the learned ones are not."""
+    docs = documents(spark, "/root/testdata/sf0.01").select("doc_id", "text", "lang")
+    held_out, rng = id_remainder(5) == 0, np.random.default_rng(5)
+    letters = lambda n: "".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz   "), n))
+    odd = ["x" + letters(int(n)) for n in rng.integers(40, 2000, 30)] + [" ".join(rng.bytes(8).hex() for _ in range(20)) for _ in range(30)]
+    odd += [open(m.__file__).read() for m in (language_id, lm_score, packing, secrets, sharding, tool_calls, jaccard_join)]
+    odd += ["Привет, это русский текст о погоде.", "これは日本語のテキストです。", "a"]
+    odd = spark.createDataFrame([(k, t) for k, t in enumerate(odd)], "doc_id long, text string")
+    for left_out in (["en"], ["de"], ["es"], ["fr"], ["de", "es", "fr"]):
+        learned = ~F.col("lang").isin(left_out)
+        model = language_id.train(docs.where(learned & ~held_out))
+        share = lambda rows: language_id.identify(rows, model, ["doc_id"]).agg(F.avg(F.col("rejected").cast("int"))).first()[0]  # noqa: B023, E731
+        assert share(docs.where(learned & held_out)) <= 0.02
+        assert share(docs.where(~learned)) >= 0.95 and share(odd) >= 0.95
+
+
 def test_lm_scores(docs):
     flagged = docs.select("doc_id", (id_remainder(10) != 0).alias("learned"), "text")
     got = lm_score.score_texts(flagged).collect()
