@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from marketlake.llm import license_scan as licenses
 from marketlake.llm import quality_rules as rules
 
 _PASSES = " AND ".join(
@@ -60,6 +61,46 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, c
 FROM d LEFT JOIN n USING (r) LEFT JOIN of USING (r)
 """
 
+_PHRASES = ", ".join(f"('{phrase}', '{label}', {len(phrase.split())})" for phrase, label in licenses.PHRASES.items())
+_GRAMS = ", ".join(f"({number}, '{label}', {size}, {at}, '{' '.join(gram)}')" for number, label, size, at, gram in licenses.template_grams())
+_K = licenses.GRAM_WORDS
+
+OP11 = rf"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_WORDS} AS w FROM documents),
+phrase(phrase, label, k) AS (VALUES {_PHRASES}),
+place AS (
+  SELECT r, i - 1 AS p, phrase, label FROM d, phrase, unnest(range(1, len(w) - k + 2)) AS u(i)
+  WHERE len(w) >= k AND contains(array_to_string(w, ' '), phrase) AND array_to_string(w[i : i + k - 1], ' ') = phrase
+),
+base AS (
+  SELECT r, count(*) AS n, min(p) AS first_word, max(p) AS last_word, list_sort(list_distinct(list(label))) AS labels FROM place GROUP BY r
+),
+gram(template, label, size, a, g) AS (VALUES {_GRAMS}),
+spread AS (SELECT r, i - 1 AS p, array_to_string(w[i : i + {_K - 1}], ' ') AS g FROM d, unnest(range(1, len(w) - {_K} + 2)) AS u(i) WHERE len(w) >= {_K}),
+hit AS (SELECT r, template, label, size, p, a, p - a AS diagonal FROM spread JOIN gram USING (g)),
+apart AS (
+  SELECT r, template, diagonal, coalesce(diagonal - lag(diagonal) OVER (PARTITION BY r, template ORDER BY diagonal) > {licenses.DIAGONAL_GAP}, false)::INT AS new
+  FROM (SELECT DISTINCT r, template, diagonal FROM hit)
+),
+numbered AS (SELECT r, template, diagonal, sum(new) OVER (PARTITION BY r, template ORDER BY diagonal) AS span FROM apart),
+extent AS (
+  SELECT r, template, label, size, span, max(p) + {_K} - min(p) AS words FROM hit JOIN numbered USING (r, template, diagonal) GROUP BY ALL
+),
+cover AS (
+  SELECT r, template, span, count(DISTINCT a + k) AS covered FROM hit JOIN numbered USING (r, template, diagonal), unnest(range(0, {_K})) AS u(k) GROUP BY ALL
+),
+verified AS (
+  SELECT r, label, covered / size AS share FROM extent JOIN cover USING (r, template, span)
+  WHERE 100 * covered >= {licenses.MIN_PERCENT} * greatest(size, words)
+),
+found AS (SELECT r, list(label) AS labels, max(share) AS share FROM verified GROUP BY r)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n, 0)::BIGINT AS n_base, first_word::BIGINT AS first_word, last_word::BIGINT AS last_word,
+       array_to_string(coalesce(base.labels, []::VARCHAR[]), ',') AS base_labels,
+       array_to_string(list_sort(list_distinct(list_concat(coalesce(base.labels, []::VARCHAR[]), coalesce(found.labels, []::VARCHAR[])))), ',') AS labels,
+       CASE WHEN n > 0 THEN 1.0::DOUBLE ELSE coalesce(share, 0.0)::DOUBLE END AS score
+FROM d LEFT JOIN base USING (r) LEFT JOIN found USING (r)
+"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"op8_decontamination": OP8, "op10_quality_rules": OP10}
+    return {"op8_decontamination": OP8, "op10_quality_rules": OP10, "op11_license_scan": OP11}
