@@ -101,6 +101,26 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n, 0)::BIGINT AS n_base, firs
 FROM d LEFT JOIN base USING (r) LEFT JOIN found USING (r)
 """
 
+_TERMS = r"list_transform(regexp_extract_all(coalesce(text, ''), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'), lambda x: translate(x, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'))"
+
+OP13 = rf"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_TERMS} AS w FROM documents),
+size AS (SELECT r, doc_id, len(w)::BIGINT AS n FROM d WHERE len(w) > 0),
+total AS (SELECT count(*)::BIGINT AS n_docs, sum(n)::BIGINT AS n_terms FROM size),
+asked AS (SELECT DISTINCT item_id, t FROM (SELECT item_id, {_TERMS} AS w FROM benchmark), unnest(w) AS u(t)),
+posting AS (SELECT r, t, count(*)::BIGINT AS tf FROM d, unnest(w) AS u(t) WHERE t IN (SELECT t FROM asked) GROUP BY r, t),
+weight AS (
+  SELECT t, floor(1000 * ln((2 * any_value(n_docs) + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w FROM posting, total GROUP BY t
+),
+impact AS (
+  SELECT r, doc_id, t, w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 90 + (90 * n * n_docs) // n_terms))) AS i
+  FROM posting JOIN size USING (r) JOIN weight USING (t), total
+),
+scored AS (SELECT item_id, r, doc_id, sum(i)::BIGINT AS score FROM impact JOIN asked USING (t) GROUP BY item_id, r, doc_id),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST) AS k FROM scored WHERE score > 0)
+SELECT item_id, k::INT AS rank, doc_id, score FROM ranked WHERE k <= 10
+"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"op8_decontamination": OP8, "op10_quality_rules": OP10, "op11_license_scan": OP11}
+    return {"op8_decontamination": OP8, "op10_quality_rules": OP10, "op11_license_scan": OP11, "op13_lexical_search": OP13}

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from marketlake.llm import language_id, quality_model, secrets
 from marketlake.llm.decontaminate import contamination
 from marketlake.llm.jaccard_join import similar_documents
+from marketlake.llm.lexical_search import search
 from marketlake.llm.license_scan import license_labels
 from marketlake.llm.lm_score import score_texts
 from marketlake.llm.packing import pack_documents
@@ -79,5 +80,9 @@ def op11_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_labels(documents(spark, sf_dir))
 
 
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"), "item_id")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
