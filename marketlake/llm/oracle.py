@@ -121,6 +121,46 @@ ranked AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC
 SELECT item_id, k::INT AS rank, doc_id, score FROM ranked WHERE k <= 10
 """
 
+#: crc32 of a decimal number, a bit at a time: each character, then its eight steps.
+_CRC = """list_reduce(list_concat([4294967295::BIGINT], flatten(list_transform(string_split(conv_id::VARCHAR, ''), lambda c: [ascii(c)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1]))),
+  lambda x, y: CASE WHEN y >= 0 THEN xor(x, y) WHEN x % 2 = 1 THEN xor(x // 2, 3988292384::BIGINT) ELSE x // 2 END)"""
+
+OP12 = rf"""
+WITH turns AS (
+  SELECT conv_id, md5(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS digest, length(coalesce(text, ''))::BIGINT AS chars,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, md5(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, ''))) AS place
+  FROM conversations WHERE conv_id IS NOT NULL
+),
+convs AS (SELECT conv_id, conv_id - conv_id % 100 AS base, xor({_CRC}, 4294967295::BIGINT) % 6 AS h FROM (SELECT DISTINCT conv_id FROM turns)),
+parts AS (
+  SELECT c.conv_id, 0 AS part, place, digest, chars FROM convs c JOIN turns t ON t.conv_id = c.base WHERE place <= h
+  UNION ALL SELECT c.conv_id, 1, place, digest, chars FROM convs c JOIN turns t ON t.conv_id = c.conv_id WHERE place > h
+),
+rebuilt AS (SELECT conv_id, digest, chars, row_number() OVER (PARTITION BY conv_id ORDER BY part, place) AS depth FROM parts),
+member AS (
+  SELECT conv_id, depth, chars, md5(string_agg(digest, ',') OVER (PARTITION BY conv_id ORDER BY depth)) AS prefix FROM rebuilt
+  UNION ALL SELECT conv_id, 0, 0, '' FROM convs
+),
+ended AS (SELECT *, depth = max(depth) OVER (PARTITION BY conv_id) AS last FROM member),
+node AS (
+  SELECT depth, prefix, min(conv_id) AS conv_id, count(*) AS n_convs, (count(*) - 1) * max(chars) AS saved,
+         sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (last), '')) AS ends
+  FROM ended GROUP BY depth, prefix
+),
+linked AS (
+  SELECT n.*, p.conv_id AS parent FROM node n LEFT JOIN member m ON m.conv_id = n.conv_id AND m.depth = n.depth - 1 LEFT JOIN node p ON p.depth = m.depth AND p.prefix = m.prefix
+),
+children AS (SELECT parent AS conv_id, depth - 1 AS depth, count(*) AS n FROM linked WHERE parent IS NOT NULL GROUP BY 1, 2),
+full_node AS (SELECT l.*, coalesce(c.n, 0) AS n_children FROM linked l LEFT JOIN children c USING (conv_id, depth)),
+below AS (
+  SELECT m.depth, m.prefix, sum((f.n_children = 0)::INT) AS n_leaves, sum(f.saved) AS saved
+  FROM full_node f JOIN member m ON m.conv_id = f.conv_id AND m.depth <= f.depth GROUP BY m.depth, m.prefix
+)
+SELECT f.conv_id::BIGINT AS conv_id, f.depth::BIGINT AS depth, f.parent::BIGINT AS parent_conv_id, f.n_convs::BIGINT AS n_convs, f.n_children::BIGINT AS n_children,
+       b.n_leaves::BIGINT AS n_leaves, b.saved::BIGINT AS saved_tokens, f.ends AS ends_sha256
+FROM full_node f JOIN below b USING (depth, prefix)
+"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"op8_decontamination": OP8, "op10_quality_rules": OP10, "op11_license_scan": OP11, "op13_lexical_search": OP13}
+    return {"op8_decontamination": OP8, "op10_quality_rules": OP10, "op11_license_scan": OP11, "op12_prefix_trie": OP12, "op13_lexical_search": OP13}

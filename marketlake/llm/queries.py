@@ -14,6 +14,7 @@ from marketlake.llm.lexical_search import search
 from marketlake.llm.license_scan import license_labels
 from marketlake.llm.lm_score import score_texts
 from marketlake.llm.packing import pack_documents
+from marketlake.llm.prefix_trie import prefix_trie
 from marketlake.llm.quality_rules import clean_lines
 from marketlake.llm.scratch import documents, id_remainder
 from marketlake.llm.sharding import shard_rows
@@ -80,6 +81,10 @@ def op11_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_labels(documents(spark, sf_dir))
 
 
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
 def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"), "item_id")
 
