@@ -1,8 +1,9 @@
 """Product history as a type-2 dimension: one row per version, with its first and last valid day.
 
-Two ways give the same table: ``scd2_step`` adds one day to an existing dimension, ``scd2_history`` builds all
-days in one pass. Both expect at most one row per key and day, which the silver tables guarantee; a key's
-group is therefore never larger than the number of days, whatever the skew of the raw feed.
+Three ways give the same table: ``scd2_step`` adds one day to an existing dimension, ``scd2_history`` builds all
+days in one pass, and ``scd2_splice`` puts a day that comes late, or comes again, into the middle of a history. All
+expect at most one row per key and day, which the silver tables guarantee; a key's group is therefore never larger
+than the number of days, whatever the skew of the raw feed.
 
 A row with a NULL in its key matches nothing: it always starts a version of its own and is never closed.
 """
@@ -38,16 +39,16 @@ def scd2_history(versions: DataFrame, keys: list[str]) -> DataFrame:
 
     A row equal to the one before it is dropped; each remaining row ends the day before the next one starts.
     """
-    by_day = Window.partitionBy(*keys).orderBy("effective_date")
-    keyless = _any_null(keys)
+    by_day = Window.partitionBy(*keys, "_alone").orderBy("effective_date")
     before = F.lag("_attr_hash").over(by_day)
     starts = (
-        versions.withColumn("_before", before)
-        .filter(keyless | F.col("_before").isNull() | (F.col("_before") != F.col("_attr_hash")))
+        versions.withColumn("_alone", alone(keys))
+        .withColumn("_before", before)
+        .filter(F.col("_before").isNull() | (F.col("_before") != F.col("_attr_hash")))
         .drop("_before")
     )
-    end = F.when(~keyless, F.date_sub(F.lead("effective_date").over(by_day), 1))
-    return starts.withColumn("expiry_date", end).withColumn("is_current", F.col("expiry_date").isNull())
+    end = F.date_sub(F.lead("effective_date").over(by_day), 1)
+    return starts.withColumn("expiry_date", end).withColumn("is_current", F.col("expiry_date").isNull()).drop("_alone")
 
 
 def scd2_merge(current: DataFrame, incoming: DataFrame, day: str | date, keys: list[str]) -> DataFrame:
@@ -97,12 +98,102 @@ def scd2_step(dim: DataFrame, incoming: DataFrame, day: str | date, keys: list[s
     return closed.unionByName(scd2_merge(prior.filter("is_current"), incoming, day, keys))
 
 
+def first_after(snapshots: DataFrame, day: str | date, keys: list[str], asked: DataFrame) -> DataFrame:
+    """The first of the versions (see ``as_new_versions``) that start after ``day``, of each asked key."""
+    later = snapshots.filter(F.col("effective_date") > day_literal(day)).join(asked.select(*keys).distinct(), keys, "left_semi")
+    first = F.min_by(F.struct(*snapshots.columns), "effective_date")
+    return later.groupBy(*keys).agg(first.alias("first")).select("first.*")
+
+
+def splice_keys(dim: DataFrame, incoming: DataFrame, day: str | date, keys: list[str]) -> DataFrame:
+    """The keys whose history a day's rows may change: those of the rows, and those with a version that starts on it."""
+    started = dim.filter(F.col("effective_date") == day_literal(day))
+    return incoming.select(*keys).union(started.select(*keys)).dropna().distinct()
+
+
+def splice_changes(dim: DataFrame, incoming: DataFrame, following: DataFrame, day: str | date, keys: list[str]) -> DataFrame:
+    """What ``day``'s rows change in a history that reaches beyond it: versions with ``removed`` true or false.
+
+    ``incoming`` holds all rows of the day, as it now is, and ``following`` the first row after it (``first_after``) of
+    every key of ``splice_keys``, both as versions. Of a key's history only the version before the day, one that
+    starts on it and the next one can change: the day's row splits the version that covers it, which goes on where
+    it was next seen; a row equal to what is before it is no version; and a version equal to the day's row now starts on it.
+    Other keys, and a key's other versions, do not occur in the result. A version that keeps its start but changes occurs
+    as removed and as not removed.
+    """
+    d, columns = day_literal(day), dim.columns
+    row = F.struct(*columns)
+    touched = splice_keys(dim, incoming, day, keys)
+    known = dim.join(touched, keys, "left_semi")
+    covers = (F.col("effective_date") < d) & (F.col("expiry_date").isNull() | (F.col("expiry_date") >= F.date_sub(d, 1)))
+    first_later = F.min_by(F.when(F.col("effective_date") > d, row), F.when(F.col("effective_date") > d, F.col("effective_date")))
+    chain = known.groupBy(*keys).agg(
+        F.max_by(F.when(covers, row), F.when(covers, F.col("effective_date"))).alias("before"),
+        F.max(F.when(F.col("effective_date") == d, row)).alias("at"),
+        first_later.alias("later"),
+    )
+    chain = touched.join(chain, keys, "left")
+    chain = chain.join(incoming.select(*keys, row.alias("new")), keys, "left")
+    chain = chain.join(following.select(*keys, row.alias("next")), keys, "left")
+    before, at, new, next_ = (F.col(c) for c in ("before", "at", "new", "next"))
+    later = F.when(F.col("later.effective_date") == next_["effective_date"], F.col("later"))
+    chain = chain.select(before.alias("before"), at.alias("at"), new.alias("new"), F.coalesce(later, next_).alias("next"), later.alias("later"))
+    state = F.coalesce(new["_attr_hash"], before["_attr_hash"])
+    starts_here = new.isNotNull() & ~new["_attr_hash"].eqNullSafe(before["_attr_hash"])
+    starts_next = next_.isNotNull() & ~next_["_attr_hash"].eqNullSafe(state)
+    covering = F.coalesce(F.col("later"), at, before)  # the version that holds the following row, or the last one
+    ends = covering["expiry_date"]
+    next_start = F.when(starts_next, F.date_sub(next_["effective_date"], 1))
+    after_here = F.when(starts_next, next_start).otherwise(ends)
+    after_before = F.when(starts_here, F.date_sub(d, 1)).otherwise(after_here)
+
+    def ending(version: Column, end: Column) -> Column:
+        return version.withField("expiry_date", end).withField("is_current", end.isNull())
+
+    old = F.array_compact(F.array(before, at, F.col("later")))
+    now = F.array_compact(
+        F.array(
+            F.when(before.isNotNull(), ending(before, after_before)),
+            F.when(starts_here, ending(new, after_here)),
+            F.when(starts_next, ending(next_, ends)),
+        )
+    )
+    shape = lambda versions: F.transform(versions, lambda v: F.struct(v["effective_date"], v["expiry_date"], v["_attr_hash"]))
+    chain = chain.select(old.alias("old"), now.alias("now"), (at.isNull() & (shape(old) == shape(now))).alias("same")).filter("not same")
+    both = F.concat(
+        F.transform("old", lambda v: F.struct(v.alias("version"), F.lit(True).alias("removed"))),
+        F.transform("now", lambda v: F.struct(v.alias("version"), F.lit(False).alias("removed"))),
+    )
+    changed = chain.select(F.inline(both)).select("version.*", "removed")
+    keyless = _any_null(keys)
+    gone = dim.filter(keyless & (F.col("effective_date") == d)).withColumn("removed", F.lit(True))
+    come = incoming.filter(keyless).select(*columns).withColumn("removed", F.lit(False))
+    return changed.unionByName(gone).unionByName(come)
+
+
+def scd2_splice(dim: DataFrame, incoming: DataFrame, following: DataFrame, day: str | date, keys: list[str]) -> DataFrame:
+    """The whole dimension with a late or repeated day in it: what ``scd2_history`` gives for all days together.
+
+    ``dim`` is read several times: pass a stored table.
+    """
+    changes = splice_changes(dim, incoming, following, day, keys)
+    removed = changes.filter("removed").select(*keys, "effective_date").dropna()
+    kept = dim.join(removed, [*keys, "effective_date"], "left_anti")
+    kept = kept.filter(~(_any_null(keys) & (F.col("effective_date") == day_literal(day))))
+    return kept.unionByName(changes.filter(~F.col("removed")).drop("removed"))
+
+
 def valid_between(dim: DataFrame, start: str | date, end: str | date) -> DataFrame:
     """The versions valid on at least one day of a range; on a single day at most one per key."""
     still_valid = F.col("expiry_date").isNull() | (F.col("expiry_date") >= day_literal(start))
     return dim.filter((F.col("effective_date") <= day_literal(end)) & still_valid)
 
 
+def alone(keys: list[str]) -> Column:
+    """Tells every row without a complete key from all others, so that such rows never meet in one window."""
+    return F.when(_any_null(keys), F.monotonically_increasing_id())
+
+
 def _any_null(keys: list[str]) -> Column:
     missing = F.lit(False)
     for k in keys:

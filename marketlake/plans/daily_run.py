@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from marketlake import schemas
 from marketlake.operators.quality import dim_totals
-from marketlake.operators.scd2 import rewind, valid_between
+from marketlake.operators.scd2 import first_after, rewind, splice_changes, splice_keys, valid_between
 from marketlake.plans import dimension, facts, marts, silver
 from marketlake.sources import dim_store
 from marketlake.sources.feeds import FEEDS, Feed, feed_days, flatten, is_bad, quarantined, read_envelopes
@@ -54,10 +54,27 @@ def run_day(
     """
     newest = dim_store.newest_day(spark, tables(lake)["dim_product"].path)
     if newest and day < newest:
-        raise ValueError(f"{newest} is already loaded: use backfill to rebuild from {day} on")
+        raise ValueError(f"{newest} is already loaded: use backfill to rebuild from {day} on, or run_late_day for that day alone")
     return _run(spark, feeds, lake, day, day, multi_line, "current", kept_runs)
 
 
+def run_late_day(spark: SparkSession, feeds: str, lake: str, day: str, multi_line: bool = True) -> list[RunReport]:
+    """Builds one day before the newest one, for the first time or again after late files; the lake is then what a
+    backfill over all days gives.
+
+    Product history is spliced: only versions that the day changes are written. Facts and marts are built again from the
+    typed tables for the day and for the days on which a changed version was or is valid, as their surrogate keys follow.
+    """
+    path = tables(lake)["dim_product"].path
+    newest = dim_store.newest_day(spark, path)
+    if newest is None or day >= newest:
+        return run_day(spark, feeds, lake, day, multi_line)
+    job = _Job(spark, lake, day, day)
+    reports = job.typed(feeds, multi_line)
+    report, last = job.splice_dim(newest)
+    return [*reports, report, *_Job(spark, lake, day, last).facts_and_marts("asof")]
+
+
 def backfill(
     spark: SparkSession,
     feeds: str,
@@ -81,25 +98,7 @@ def _run(
     spark: SparkSession, feeds: str, lake: str, start: str, end: str, multi_line: bool, mode: str, kept_runs: int
 ) -> list[RunReport]:
     job = _Job(spark, lake, start, end)
-    reports = [job.ingest(feeds, feed, multi_line) for feed in FEEDS]
-    reports.append(job.build("silver_search_results", job.read("bronze_search_results"), silver.clean_search))
-    reports.append(job.build("silver_product_details", job.read("bronze_product_details"), silver.clean_products))
-    reports.append(job.update_dim())
-
-    search, details = job.read("silver_search_results"), job.read("silver_product_details")
-    dim = valid_between(dim_store.read_dim(spark, job.tables["dim_product"].path, since=start), start, end)
-    reports += [
-        job.build("fact_search_ranking", search, lambda s: facts.fact_search_ranking(s, dim, mode)),
-        job.build("fact_price_snapshot", search, lambda s: facts.fact_price_snapshot(s, dim, mode, unique_grain=True)),
-        job.build("fact_product_performance", details, lambda d: facts.fact_product_performance(d, dim, mode)),
-    ]
-    ranking, performance = job.read("fact_search_ranking"), job.read("fact_product_performance")
-    reports += [
-        job.build("mart_keyword_daily", ranking, lambda f: marts.mart_keyword_daily(f, unique_grain=True)),
-        job.build(
-            "mart_brand_competitive", performance, lambda f: marts.mart_brand_competitive(f, dim, unique_grain=True)
-        ),
-    ]
+    reports = [*job.typed(feeds, multi_line), job.update_dim(), *job.facts_and_marts(mode)]
     dim_store.drop_old_runs(spark, job.tables["dim_product"].path, kept_runs)
     return reports
 
@@ -143,6 +142,50 @@ class _Job:
             self._publish(f"quarantine_{feed.name}", quarantined(envelopes, feed))
         return RunReport(name, self.tables[name].path, "replace days", counts["envelopes"], rows_out, counts)
 
+    def typed(self, feeds: str, multi_line: bool) -> list[RunReport]:
+        """The raw and the typed tables, from the feeds."""
+        reports = [self.ingest(feeds, feed, multi_line) for feed in FEEDS]
+        reports.append(self.build("silver_search_results", self.read("bronze_search_results"), silver.clean_search))
+        reports.append(self.build("silver_product_details", self.read("bronze_product_details"), silver.clean_products))
+        return reports
+
+    def facts_and_marts(self, mode: str) -> list[RunReport]:
+        """The facts and marts, from the typed tables and the dimension."""
+        search, details = self.read("silver_search_results"), self.read("silver_product_details")
+        dim = dim_store.read_dim(self.spark, self.tables["dim_product"].path, since=self.start)
+        dim = valid_between(dim, self.start, self.end)
+        reports = [
+            self.build("fact_search_ranking", search, lambda s: facts.fact_search_ranking(s, dim, mode)),
+            self.build("fact_price_snapshot", search, lambda s: facts.fact_price_snapshot(s, dim, mode, unique_grain=True)),
+            self.build("fact_product_performance", details, lambda d: facts.fact_product_performance(d, dim, mode)),
+        ]
+        ranking, performance = self.read("fact_search_ranking"), self.read("fact_product_performance")
+        brands = lambda f: marts.mart_brand_competitive(f, dim, unique_grain=True)
+        return [
+            *reports,
+            self.build("mart_keyword_daily", ranking, lambda f: marts.mart_keyword_daily(f, unique_grain=True)),
+            self.build("mart_brand_competitive", performance, brands),
+        ]
+
+    def splice_dim(self, newest: str) -> tuple[RunReport, str]:
+        """Puts the day into the product history; also the last day on which a version that changed was or is valid."""
+        path, day = self.tables["dim_product"].path, self.start
+        details, last = self.read("silver_product_details"), day
+        rows_in = details.count()
+        if rows_in:
+            dim, incoming = dim_store.read_dim(self.spark, path), dimension.dim_incoming(details, day)
+            table = self.tables["silver_product_details"]
+            later = read_days(self.spark, table.path, table.schema, _days(day, newest)[1], newest)
+            asked = splice_keys(dim, incoming, day, dimension.KEYS)
+            following = first_after(dimension.dim_incoming(later), day, dimension.KEYS, asked)
+            seen = Observation()
+            changes = splice_changes(dim, incoming, following, day, dimension.KEYS)
+            until = F.max(F.coalesce("expiry_date", F.lit(newest).cast("date"))).alias("until")
+            dim_store.write_patch(self.spark, changes.observe(seen, until), path)
+            last = max(day, min(newest, str(seen.get["until"] or day)))
+        totals = dim_totals(dim_store.read_dim(self.spark, path)).first().asDict()
+        return RunReport("dim_product", path, "new patch", rows_in, totals["total_rows"], totals), last
+
     def update_dim(self) -> RunReport:
         """Adds the range's days to the product history, or rebuilds it from the first of them on."""
         path, details = self.tables["dim_product"].path, self.read("silver_product_details")

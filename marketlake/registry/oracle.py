@@ -469,6 +469,11 @@ FROM history WHERE is_current""",
         ),
         "scd2_one_step": _customer_step(),
         "scd2_rerun_day": _customer_step(),
+        "scd2_late_day": _with(
+            CUSTOMERS.replace("CAST(o_orderdate AS DATE)", "CAST(date_trunc('quarter', o_orderdate) AS DATE)"),
+            _history("customer_days"),
+            "SELECT * FROM history",
+        ),
         "asof_sk_lookup": _with(
             CUSTOMERS,
             _history("customer_days"),
@@ -509,6 +514,23 @@ LEFT JOIN current_products p ON c.asin = p.asin AND c.marketplace = p.marketplac
             EVENT_PERFORMANCE,
             f"""SELECT * FROM ({_brand_mart("event_performance", "event_products")}) m
 WHERE ingested_at < (SELECT max(CAST(ts AS DATE)) FROM events)""",
+        ),
+        "late_day_dim_product": _with(
+            *event_dim,
+            """SELECT *, sha256(concat_ws('~', title, brand, category_path, category_leaf, CAST(category_depth AS VARCHAR),
+  CAST(is_fba AS VARCHAR), CAST(variation_count AS VARCHAR))) AS attr_hash FROM event_products""",
+        ),
+        "late_day_performance": _with(
+            *event_dim,
+            """SELECT v.product_sk, p.asin, p.marketplace, p.ingested_at, k + 1 AS bsr_primary_rank,
+  'Things' AS bsr_primary_category, CAST(NULL AS INTEGER) AS bsr_secondary_rank,
+  CAST(NULL AS VARCHAR) AS bsr_secondary_category, CAST(NULL AS DOUBLE) AS rating_weighted_avg,
+  CAST(0 AS DOUBLE) AS rating_pct_5, CAST(0 AS DOUBLE) AS rating_pct_4, CAST(0 AS DOUBLE) AS rating_pct_3,
+  CAST(0 AS DOUBLE) AS rating_pct_2, CAST(0 AS DOUBLE) AS rating_pct_1, CAST(NULL AS BOOLEAN) AS in_stock,
+  CAST(NULL AS VARCHAR) AS buybox_seller, p.is_fba, p.variation_count, CAST(NULL AS INTEGER) AS size_count,
+  CAST(NULL AS INTEGER) AS color_count, CAST(NULL AS INTEGER) AS image_count
+FROM event_pages p JOIN event_products v ON p.asin = v.asin AND p.marketplace = v.marketplace
+  AND p.ingested_at >= v.effective_date AND (v.expiry_date IS NULL OR p.ingested_at <= v.expiry_date)""",
         ),
         "serving_views": _with(
             EVENTS,

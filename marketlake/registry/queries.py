@@ -21,6 +21,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 DAY, MARKETPLACE = "2024-01-15", "US"
 CUT_DAY = "1998-08-02"
+LATE_DAY, WRONG_DAY = "1995-04-01", "1996-01-01"
 CUSTOMER = ["o_custkey"]
 STATUS = ["o_orderstatus", "o_orderpriority"]
 TIME_TEXT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
@@ -190,17 +191,44 @@ def _lake(spark: SparkSession, sf_dir: str) -> str:
     return _LAKES[key]
 
 
-def _build_lake(spark: SparkSession, sf_dir: str) -> str:
-    """A new lake, by a backfill over all days of the events."""
+def _build_lake(spark: SparkSession, sf_dir: str, late: str = "") -> str:
+    """A new lake, by a backfill over all days of the events. The feeds of a ``late`` day come after it."""
     root = scratch_dir(spark, "lake")
     cards, pages = inputs.raw_cards(spark, sf_dir), inputs.raw_event_pages(spark, sf_dir)
-    _write_feed(cards, f"{root}/feeds", feeds.SEARCH)
-    _write_feed(pages, f"{root}/feeds", feeds.DETAILS)
+    _write_feed(cards.filter(F.col("ingested_at") != late), f"{root}/feeds", feeds.SEARCH)
+    _write_feed(pages.filter(F.col("ingested_at") != late), f"{root}/feeds", feeds.DETAILS)
     span = cards.agg(F.min("ingested_at"), F.max("ingested_at")).first()
     daily_run.backfill(spark, f"{root}/feeds", f"{root}/lake", span[0], span[1], multi_line=False)
+    if late:
+        _write_feed(cards.filter(F.col("ingested_at") == late), f"{root}/feeds", feeds.SEARCH, mode="append")
+        _write_feed(pages.filter(F.col("ingested_at") == late), f"{root}/feeds", feeds.DETAILS, mode="append")
     return f"{root}/lake"
 
 
+_LATE_LAKES: dict[tuple[str, str], str] = {}
+
+
+def _late_lake(spark: SparkSession, sf_dir: str) -> str:
+    """A lake into which one day in the middle of its history was put after all others."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _LATE_LAKES:
+        lake = _build_lake(spark, sf_dir, late=DAY)
+        daily_run.run_late_day(spark, f"{lake.rpartition('/')[0]}/feeds", lake, DAY, multi_line=False)
+        _LATE_LAKES[key] = lake
+    return _LATE_LAKES[key]
+
+
+def late_day_dim_product(spark: SparkSession, sf_dir: str) -> DataFrame:
+    dim = dim_store.read_dim(spark, daily_run.tables(_late_lake(spark, sf_dir))["dim_product"].path)
+    return _shown(dim).withColumnRenamed("_attr_hash", "attr_hash")
+
+
+def late_day_performance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The page fact of all days, with the surrogate keys of a history into which a day was spliced."""
+    table = daily_run.tables(_late_lake(spark, sf_dir))["fact_product_performance"]
+    return _shown(tables.read_days(spark, table.path, table.schema))
+
+
 def _lake_table(name: str) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         table = daily_run.tables(_lake(spark, sf_dir))[name]
@@ -295,6 +323,28 @@ def scd2_rerun_day(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scd2.scd2_step(_stored(stepped), incoming, CUT_DAY, CUSTOMER).withColumnRenamed("_attr_hash", "attr_hash")
 
 
+def scd2_late_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """History by quarter without one quarter, and with wrong rows of another, into which the right rows are spliced."""
+    days = inputs.order_snapshots(spark, sf_dir).withColumn("day", F.trunc("day", "quarter"))
+    days = _stored(dedup_latest(days, [*CUSTOMER, "day"], [F.col("o_orderkey").desc()]))
+    late, wrong = F.col("day") == scd2.day_literal(LATE_DAY), F.col("day") == scd2.day_literal(WRONG_DAY)
+    others = days.filter(wrong).withColumn("o_custkey", F.col("o_custkey") + F.col("o_custkey") % 3 - 1)
+    others = others.withColumn("o_orderstatus", F.lit("?")).dropDuplicates(CUSTOMER)
+    dim = _customer_history(days.filter(~late & ~wrong).unionByName(others))
+    snapshots = scd2.as_new_versions(days, STATUS, F.col("day")).drop("day")
+    snapshots = snapshots.withColumn("version_sk", sha_key(*CUSTOMER, "effective_date"))
+    for day in (LATE_DAY, WRONG_DAY):
+        dim = _stored(dim)
+        incoming = snapshots.filter(F.col("effective_date") == scd2.day_literal(day))
+        seen = snapshots if day == WRONG_DAY else snapshots.filter(F.col("effective_date") != scd2.day_literal(WRONG_DAY))
+        if day == LATE_DAY:
+            wrong_versions = scd2.as_new_versions(others, STATUS, F.col("day")).drop("day")
+            seen = seen.unionByName(wrong_versions.withColumn("version_sk", sha_key(*CUSTOMER, "effective_date")))
+        following = scd2.first_after(seen, day, CUSTOMER, scd2.splice_keys(dim, incoming, day, CUSTOMER))
+        dim = scd2.scd2_splice(dim, incoming, following, day, CUSTOMER)
+    return dim.withColumnRenamed("_attr_hash", "attr_hash")
+
+
 def asof_sk_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The version valid ten days after each order, and none for ten days before the first."""
     orders = inputs.order_snapshots(spark, sf_dir).select(
@@ -441,6 +491,7 @@ def queries() -> dict[str, Query]:
         "scd2_current": scd2_current,
         "scd2_one_step": scd2_one_step,
         "scd2_rerun_day": scd2_rerun_day,
+        "scd2_late_day": scd2_late_day,
         "asof_sk_lookup": asof_sk_lookup,
         "dim_product": dim_product,
         "fact_search_ranking": fact_search_ranking,
@@ -453,6 +504,8 @@ def queries() -> dict[str, Query]:
         "backfill_brand_mart": _lake_table("mart_brand_competitive"),
         "rerun_day_dim_product": rerun_day_dim_product,
         "rerun_day_shrinks": rerun_day_shrinks,
+        "late_day_dim_product": late_day_dim_product,
+        "late_day_performance": late_day_performance,
         "serving_views": serving_views,
         "keyword_list": keyword_list,
         "keyword_topk": keyword_topk,

@@ -21,6 +21,12 @@ def child_names(spark: SparkSession, path: str) -> list[str]:
     return sorted(s.getPath().getName() for s in fs.listStatus(p)) if fs.exists(p) else []
 
 
+def matching(spark: SparkSession, pattern: str) -> list[str]:
+    """Sorted paths that match a glob pattern, by one listing."""
+    fs, p = _file_system(spark, pattern)
+    return sorted(s.getPath().toString() for s in fs.globStatus(p) or [])
+
+
 def delete(spark: SparkSession, path: str) -> None:
     fs, p = _file_system(spark, path)
     fs.delete(p, True)

@@ -273,3 +273,59 @@ def test_every_table_matches_its_declared_schema(spark, built):
         declared = schemas.parse(daily_run.tables(daily)[name].schema)
         assert {f.name: f.dataType for f in table(spark, daily, name).schema} == {f.name: f.dataType for f in declared}
     assert "source_file" not in table(spark, daily, "silver_search_results").columns
+
+
+LATE_TABLES = [n for n in TABLES if not n.startswith("quarantine")]
+
+
+@pytest.mark.parametrize("late", DAYS)
+def test_a_late_day_gives_the_lake_of_a_backfill(spark, tmp_path, built, late):
+    """One day's folders come after all others; the newest day is a plain run."""
+    _, _, whole, _ = built
+    write_feeds(tmp_path / "feeds")
+    (tmp_path / "kept").mkdir()
+    for folder in ("search", "details"):
+        os.rename(tmp_path / "feeds" / folder / late, tmp_path / "kept" / folder)
+    feeds, lake = str(tmp_path / "feeds"), str(tmp_path / "lake")
+    for day in DAYS:
+        if day != late:
+            daily_run.run_day(spark, feeds, lake, day)
+    closed = set(Path(lake).glob("gold/dim_product/*/run_day=*/*/*.parquet"))
+    for folder in ("search", "details"):
+        os.rename(tmp_path / "kept" / folder, tmp_path / "feeds" / folder / late)
+    daily_run.run_late_day(spark, feeds, lake, late)
+    for name in LATE_TABLES:
+        assert content(spark, lake, name) == content(spark, whole, name), name
+    assert late == DAYS[-1] or set(Path(lake).glob("gold/dim_product/*/run_day=*/*/*.parquet")) == closed
+    path = daily_run.tables(lake)["dim_product"].path
+    for start in DAYS:
+        needed = valid_between(dim_store.read_dim(spark, path), start, DAYS[-1])
+        found = valid_between(dim_store.read_dim(spark, path, since=start), start, DAYS[-1])
+        assert sorted(map(str, found.collect())) == sorted(map(str, needed.collect()))
+
+
+def test_days_and_late_days_after_a_late_day(spark, tmp_path):
+    """A patch is taken into the next day's run and into later patches and reruns."""
+    write_feeds(tmp_path / "feeds")
+    feeds, lake, whole = (str(tmp_path / n) for n in ("feeds", "lake", "whole"))
+    page = tmp_path / "feeds" / "details" / DAYS[0] / "d.json"
+    first = page.read_text()
+    page.write_text(first.replace("Lamp", "Lantern"))
+    daily_run.run_day(spark, feeds, lake, DAYS[0])
+    (tmp_path / "feeds" / "details" / DAYS[1]).rename(tmp_path / "details1")
+    daily_run.run_day(spark, feeds, lake, DAYS[1])
+    (tmp_path / "details1").rename(tmp_path / "feeds" / "details" / DAYS[1])
+    page.write_text(first)
+    daily_run.run_day(spark, feeds, lake, DAYS[2])
+    daily_run.run_late_day(spark, feeds, lake, DAYS[0])
+    daily_run.run_late_day(spark, feeds, lake, DAYS[1])
+    meta = {"marketplace": "US", "extracted_at": "2026-03-07T09:00:00"}
+    for day, title in (("2026-03-07", "Newest lamp"), ("2026-03-08", "Newest lamp")):
+        (tmp_path / "feeds" / "details" / day).mkdir()
+        (tmp_path / "feeds" / "details" / day / "d.json").write_text(json.dumps({"metadata": meta, "products": [detail("A1", title), detail("A2", "Sofa 2", variation_count=2)]}))
+        daily_run.run_day(spark, feeds, lake, day)
+    daily_run.run_late_day(spark, feeds, lake, DAYS[1])
+    daily_run.run_day(spark, feeds, lake, "2026-03-08")
+    daily_run.backfill(spark, feeds, whole, DAYS[0], "2026-03-08")
+    for name in LATE_TABLES:
+        assert content(spark, lake, name) == content(spark, whole, name), name

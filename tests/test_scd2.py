@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from marketlake.functions.keys import sha_key
 from marketlake.operators.quality import current_duplicates
-from marketlake.operators.scd2 import as_new_versions, scd2_history, scd2_step, valid_between
+from marketlake.operators.scd2 import as_new_versions, first_after, scd2_history, scd2_splice, scd2_step, splice_changes, splice_keys, valid_between
 
 KEYS, TRACKED = ["asin", "marketplace"], ["title", "brand"]
 START = date(2026, 3, 4)
@@ -125,3 +125,59 @@ def test_later_version_in_a_file_of_its_own_is_refused(spark, stored, tmp_path):
     dim = spark.read.parquet(str(tmp_path / "dim"))
     with pytest.raises(ValueError, match="later than"):
         scd2_step(dim, versions(rows.filter(F.col("day") == F.lit(days[1]))), days[1], KEYS)
+
+
+def spliced(dim, rows, day):
+    """`dim` with the day's rows put in; `rows` are all days as they now are."""
+    snapshots = versions(rows)
+    incoming = snapshots.filter(F.col("effective_date") == F.lit(day))
+    following = first_after(snapshots, day, KEYS, splice_keys(dim, incoming, day, KEYS))
+    return scd2_splice(dim, incoming, following, day, KEYS), splice_changes(dim, incoming, following, day, KEYS)
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3, 4])
+def test_a_late_day_gives_the_history_of_all_days(spark, stored, seed):
+    days = [START + timedelta(days=2 * n) for n in range(6)]
+    rows = stored(random_snapshots(seed, days), SNAPSHOT, "all")
+    for n, day in enumerate(days):
+        without = rows.filter(F.col("day") != F.lit(day))
+        dim = spark.createDataFrame(scd2_history(versions(without), KEYS).collect(), versions(rows).schema)
+        assert as_set(spliced(dim, rows, day)[0]) == as_set(scd2_history(versions(rows), KEYS)), n
+
+
+@pytest.mark.parametrize("seed", [5, 6])
+def test_a_day_that_comes_again_takes_its_old_rows_place(spark, stored, seed):
+    """Rows of the day change, vanish and appear; also a day without any row left."""
+    days = [START + timedelta(days=n) for n in range(5)]
+    old = stored(random_snapshots(seed, days), SNAPSHOT, "old")
+    dim = spark.createDataFrame(scd2_history(versions(old), KEYS).collect(), versions(old).schema)
+    other = stored(random_snapshots(seed + 10, days), SNAPSHOT, "other")
+    for day in days:
+        for now in (other.filter(F.col("day") == F.lit(day)), other.limit(0)):
+            rows = old.filter(F.col("day") != F.lit(day)).unionByName(now)
+            assert as_set(spliced(dim, rows, day)[0]) == as_set(scd2_history(versions(rows), KEYS))
+
+
+def test_a_late_day_touches_only_versions_that_change(spark, stored):
+    days = [START + timedelta(days=n) for n in range(5)]
+    rows = [(a, "US", "t" if n < 4 else "end", "b", "i", d) for a in ("same", "split", "new", "far") for n, d in enumerate(days) if n != 2]
+    rows = [r for r in rows if r[0] != "new"] + [("same", "US", "t", "b", "late", days[2]), ("split", "US", "x", "b", "i", days[2]), ("new", "US", "n", "b", "i", days[2])]
+    rows = stored(rows, SNAPSHOT)
+    dim = scd2_history(versions(rows.filter(F.col("day") != F.lit(days[2]))), KEYS)
+    dim = spark.createDataFrame(dim.collect(), dim.schema)
+    changed = spliced(dim, rows, days[2])[1].collect()
+    assert {r.asin for r in changed} == {"split", "new"}
+    shown = sorted((r.asin, r.title, r.effective_date, r.expiry_date, r.removed) for r in changed)
+    assert shown == [
+        ("new", "n", days[2], None, False),
+        ("split", "t", days[0], days[1], False),
+        ("split", "t", days[0], days[3], True),
+        ("split", "t", days[3], days[3], False),
+        ("split", "x", days[2], days[2], False),
+    ]
+
+
+def test_rows_without_a_key_do_not_meet_in_one_window(spark, stored):
+    rows = stored([(None, "US", "t", "b", "i", START)] * 50 + [("a", None, "t", "b", "i", START)] * 50, SNAPSHOT)
+    history = scd2_history(versions(rows), KEYS)
+    assert history.count() == 100 and history.filter("is_current").count() == 100
