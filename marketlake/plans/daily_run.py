@@ -12,6 +12,7 @@ from marketlake.operators.quality import dim_totals
 from marketlake.operators.scd2 import first_after, rewind, splice_changes, splice_keys, valid_between
 from marketlake.plans import dimension, facts, marts, silver
 from marketlake.sources import dim_store
+from marketlake.sources.drift import DRIFT, drifted
 from marketlake.sources.feeds import FEEDS, Feed, feed_days, flatten, is_bad, quarantined, read_envelopes
 from marketlake.sources.files import delete
 from marketlake.sources.tables import RunReport, publish_days, read_days, stored_days
@@ -103,6 +104,30 @@ def _run(
     return reports
 
 
+def drift_tables(lake: str) -> dict[str, Table]:
+    """Where fields beyond the declared schemas are kept, by feed."""
+    return {f"drift_{feed.name}": Table(f"{lake}/drift/{feed.name}", DRIFT) for feed in FEEDS}
+
+
+def record_drift(
+    spark: SparkSession, feeds: str, lake: str, start: str, end: str, multi_line: bool = True
+) -> list[RunReport]:
+    """Keeps what the feeds of a range of days hold beyond their declared schemas; a day that is clean again is emptied.
+
+    A job of its own, as it parses the files once more: run it beside ``run_day`` or ``backfill``, whose tables it
+    does not touch. ``drift_report`` counts what it kept.
+    """
+    reports = []
+    for feed in FEEDS:
+        name, table = f"drift_{feed.name}", drift_tables(lake)[f"drift_{feed.name}"]
+        days = _days(start, end)
+        rows = drifted(spark, feeds, feed, days, multi_line)
+        covered = feed_days(spark, feeds, feed, days)
+        rows_out = 0 if rows is None else publish_days(rows, table.path, table.schema, start, end, True, covered)
+        reports.append(RunReport(name, table.path, "replace days", rows_out, rows_out))
+    return reports
+
+
 class _Job:
     """One run over a range of days. Each table is read back from disk, which cuts the lineage between steps."""
 

@@ -452,6 +452,19 @@ FROM latest WHERE position = 1""",
   '/img/' || asin || '.jpg' AS image_url, keyword, marketplace,
   strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') AS source_extracted_at, CAST(ingested_at AS VARCHAR) AS ingested_at
 FROM ev CROSS JOIN (VALUES (0), (1)) sides(side)""",
+        ),
+        "feed_drift": _with(
+            EVENTS,
+            f"""seen AS (
+  SELECT ingested_at, unnest([
+    CASE WHEN (k + 1) % 3 = 0 THEN {{'f': 'badge', 'd': NULL, 'o': 'STRING'}} END,
+    CASE WHEN (k + 1) % 4 = 0 THEN {{'f': 'rating_overview.0', 'd': NULL, 'o': 'BIGINT'}} END,
+    CASE WHEN (k + 1) % 5 = 0 THEN {{'f': 'categories[].score', 'd': NULL, 'o': 'DECIMAL'}} END,
+    CASE WHEN ingested_at >= DATE '{DAY}' THEN {{'f': 'variation_count', 'd': 'int', 'o': 'STRING'}} END]) AS x
+  FROM ev)""",
+            """SELECT 'product_details' AS feed, ingested_at, x.f AS field,
+  CASE WHEN x.d IS NULL THEN 'new' ELSE 'retyped' END AS change, x.d AS declared, x.o AS observed, count(*) AS seen
+FROM seen WHERE x IS NOT NULL GROUP BY ingested_at, x""",
         ),
         "publish_day_roundtrip": _with(
             EVENTS,

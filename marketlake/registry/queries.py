@@ -14,7 +14,7 @@ from marketlake.operators.dedup import dedup_latest
 from marketlake.operators.lookup import resolve_sk
 from marketlake.plans import daily_run, dimension, facts, marts, research, silver, views
 from marketlake.registry import inputs
-from marketlake.sources import dim_store, feeds, tables
+from marketlake.sources import dim_store, drift, feeds, tables
 from marketlake.sources.files import child_names, delete, scratch_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -159,6 +159,25 @@ def ingest_explode(spark: SparkSession, sf_dir: str) -> DataFrame:
     return feeds.flatten(envelopes, feeds.SEARCH).drop("source_file", "source_position")
 
 
+def feed_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fields of product pages that are new or of another type from some day on, kept by a run and reported by day."""
+    root = scratch_dir(spark, "drift")
+    pages = inputs.raw_event_pages(spark, sf_dir).withColumn("k", F.regexp_extract(F.get("best_seller_rank", F.lit(0)), r"\d+", 0).cast("int"))
+    stars = F.when(F.col("k") % 4 == 0, F.struct(F.col("k").alias("5"), F.lit(1).alias("0")))
+    scored = F.transform("categories", lambda c: c.withField("score", F.when(F.col("k") % 5 == 0, F.lit(0.5))))
+    badge = F.when(F.col("k") % 3 == 0, F.lit("new"))
+    pages = pages.withColumns({"rating_overview": stars, "categories": scored, "badge": badge}).drop("k")
+    earlier = F.col("ingested_at") < DAY
+    _write_feed(pages.filter(earlier), root, feeds.DETAILS)
+    later = pages.filter(~earlier).withColumn("variation_count", F.col("variation_count").cast("string"))
+    _write_feed(later, root, feeds.DETAILS, mode="append")
+    span = inputs.raw_event_pages(spark, sf_dir).agg(F.min("ingested_at"), F.max("ingested_at")).first()
+    daily_run.record_drift(spark, root, f"{root}/lake", span[0], span[1], multi_line=False)
+    table = daily_run.drift_tables(f"{root}/lake")[f"drift_{feeds.DETAILS.name}"]
+    report = drift.drift_report(tables.read_days(spark, table.path, table.schema), feeds.DETAILS)
+    return report.withColumn("ingested_at", F.col("ingested_at").cast("date"))
+
+
 def publish_day_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Typed cards of all days published, one day published again, and everything read back."""
     path = f"{scratch_dir(spark, 'publish')}/silver"
@@ -485,6 +504,7 @@ def queries() -> dict[str, Query]:
         "nested_counts": _page_columns(_nested_columns),
         "clean_products": clean_products,
         "ingest_explode": ingest_explode,
+        "feed_drift": feed_drift,
         "publish_day_roundtrip": publish_day_roundtrip,
         "append_then_clean": append_then_clean,
         "scd2_history": scd2_history,

@@ -1,8 +1,9 @@
 """Raw feeds: JSON envelopes ``{metadata, products: [...]}`` under ``<root>/<feed>/<yyyy-mm-dd>/*.json``."""
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 
 from marketlake import schemas
@@ -44,15 +45,31 @@ def read_envelopes(
     written as one envelope per line (``multi_line=False``) are split like any other text. A day's folder is
     named after the day, alone or as ``<name>=<day>``.
     """
+    return scan(
+        spark,
+        root,
+        feed,
+        days,
+        multi_line,
+        lambda r: r.schema(feed.envelope).option("columnNameOfCorruptRecord", "_corrupt_record"),
+    )
+
+
+def scan(
+    spark: SparkSession,
+    root: str,
+    feed: Feed,
+    days: list[str],
+    multi_line: bool,
+    shaped: Callable[[DataFrameReader], DataFrameReader],
+) -> DataFrame | None:
+    """The JSON files of the given days with their origin, as the reader's options shape the records."""
     folders = [f"{root}/{feed.folder}/{n}" for n in _day_folders(spark, root, feed, days)]
     if not folders:
         return None
+    reader = spark.read.option("multiLine", multi_line).option("mode", "PERMISSIVE").option("pathGlobFilter", "*.json")
     return (
-        spark.read.schema(feed.envelope)
-        .option("multiLine", multi_line)
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", "_corrupt_record")
-        .option("pathGlobFilter", "*.json")
+        shaped(reader)
         .json(folders)
         .withColumn("source_file", F.col("_metadata.file_name"))
         .withColumn("ingested_at", F.regexp_extract("_metadata.file_path", r"(\d{4}-\d{2}-\d{2})/[^/]+$", 1))

@@ -4,7 +4,7 @@ import json
 
 import pytest
 
-from marketlake.sources import feeds
+from marketlake.sources import drift, feeds
 
 DAY = "2026-03-04"
 
@@ -112,3 +112,33 @@ def test_envelope_per_line_and_named_day_folders(spark, root):
     (folder / "part.json").write_text("\n".join(lines))
     rows = feeds.flatten(feeds.read_envelopes(spark, str(root), feeds.SEARCH, [DAY], multi_line=False), feeds.SEARCH)
     assert {(r.asin, r.ingested_at) for r in rows.collect()} == {("A0", DAY), ("A1", DAY), ("A2", DAY)}
+
+
+def test_fields_beyond_the_declared_schema(spark, tmp_path):
+    """New and retyped fields at every depth, NULLs, numbers where texts are declared, unreadable records."""
+    folder = tmp_path / "details" / "2026-03-04"
+    folder.mkdir(parents=True)
+    clean = {"asin": "a", "title": None, "variation_count": 2, "categories": [{"name": "n", "url": None, "level": 1}], "rating_overview": {"5": 1}}
+    odd = {
+        "asin": 5, "variation_count": 2.5, "is_fba": "yes", "images": ["x", 3, None], "categories": {"name": "n"}, "extra": {"deep": [1, {"x": True}]},
+        "rating_overview": {"5": "many", "0": 1}, "available_dimensions": {"size_name": "s"}, "variations": [{"asin": "v", "odd": [1]}, 7],
+    }
+    meta = {"type": "t", "marketplace": "US", "total_products": 2, "extracted_at": "2026-03-04T00:00:00"}
+    (folder / "a.json").write_text(json.dumps({"metadata": meta, "products": [clean, odd, clean]}))
+    (folder / "b.json").write_text(json.dumps({"metadata": meta | {"version": 3}, "products": "none", "more": []}))
+    (folder / "c.json").write_text('{"metadata": {"type": "t", "type": "u"}, "products": []}')
+    (folder / "d.json").write_text(json.dumps({"metadata": meta, "products": [clean]}))
+    rows = drift.drifted(spark, str(tmp_path), feeds.DETAILS, ["2026-03-04"])
+    found = {(r.source_file, r.source_position): {(f.field, f.declared, f.observed, f.value) for f in r.fields} for r in rows.collect()}
+    assert found == {
+        ("a.json", 1): {
+            ("asin", "string", "BIGINT", "5"), ("variation_count", "int", "DECIMAL", "2.5"), ("is_fba", "boolean", "STRING", '"yes"'), ("images[]", "string", "BIGINT", "3"),
+            ("categories", "array", "OBJECT", '{"name":"n"}'), ("extra", None, "OBJECT", '{"deep":[1,{"x":true}]}'), ("rating_overview.5", "int", "STRING", '"many"'),
+            ("rating_overview.0", None, "BIGINT", "1"), ("available_dimensions.size_name", "array", "STRING", '"s"'), ("variations[].odd", None, "ARRAY", "[1]"), ("variations[]", "struct", "BIGINT", "7"),
+        },
+        ("b.json", None): {("metadata.version", None, "BIGINT", "3"), ("products", "array", "STRING", '"none"'), ("more", None, "ARRAY", "[]")},
+        ("c.json", None): {("$", "struct", "UNREADABLE", None)},
+    }
+    report = {(r.field, r.change, r.seen) for r in drift.drift_report(rows, feeds.DETAILS).collect()}
+    assert {("extra", "new", 1), ("asin", "retyped", 1), ("$", "unreadable", 1)} <= report
+    assert drift.drifted(spark, str(tmp_path), feeds.SEARCH, ["2026-03-04"]) is None
