@@ -16,50 +16,51 @@ def percent_ranks(df: DataFrame, group: list[str], metrics: list[str]) -> DataFr
     A hot value is one counted row, a hot group is spread over its buckets. The join back to the rows has
     unique values on its right, so a value shared by very many rows is split by adaptive execution.
 
-    ``df`` is read once per metric and once for the result: pass a published table.
+    All metrics go through one chain, as rows of (metric, value), and through one join back. ``df`` is read twice: pass a
+    published table.
     """
-    ranked = df
-    for metric in metrics:
-        ranks = _ranks_of_values(df, group, metric)
-        ranked = _join_null_safe(ranked.withColumn("value", _value(metric)), ranks, [*group, "value"]).drop("value")
-    return ranked
-
-
-def _ranks_of_values(df: DataFrame, group: list[str], metric: str) -> DataFrame:
-    counts = (
-        df.groupBy(*group, _value(metric).alias("value"))
-        .agg(F.count(F.lit(1)).alias("n"))
-        .withColumn("bucket", _bucket(F.col("value")))
-    )
-    whole = Window.partitionBy(*group)
-    buckets = (
-        counts.groupBy(*group, "bucket")
-        .agg(F.sum("n").alias("bucket_rows"))
-        .withColumn("below_bucket", _running_before("bucket_rows", whole.orderBy("bucket")))
-        .withColumn("group_rows", F.sum("bucket_rows").over(whole))
-    )
-    in_bucket = Window.partitionBy(*group, "bucket").orderBy("value")
-    values = _join_null_safe(
-        counts.withColumn("below_in_bucket", _running_before("n", in_bucket)), buckets, [*group, "bucket"]
+    named = [F.struct(F.lit(n).alias("metric"), _value(m).alias("value")) for n, m in enumerate(metrics)]
+    ranks = _ranks_of_values(df.select(*group, F.inline(F.array(*named))), [*group, "metric"])
+    none = F.lit(None).cast(df.schema)
+    rows = [s.withField("row", F.struct(*df.columns) if n == 0 else none) for n, s in enumerate(named)]  # a row travels once
+    rows = df.withColumn("_row", F.monotonically_increasing_id()).select("_row", *group, F.inline(F.array(*rows)))
+    found = join_null_safe(rows, ranks, [*group, "metric", "value"]).groupBy("_row")
+    own = [F.max(F.when(F.col("metric") == n, F.col("rank"))).alias(f"{m}_rank") for n, m in enumerate(metrics)]
+    return found.agg(F.first("row", ignorenulls=True).alias("row"), *own).select("row.*", *[f"{m}_rank" for m in metrics])
+
+
+def _ranks_of_values(rows: DataFrame, key: list[str]) -> DataFrame:
+    """Rank of every ``value`` within its key."""
+    counts = rows.groupBy(*key, "value").agg(F.count(F.lit(1)).alias("n")).withColumn("bucket", value_bucket(F.col("value")))
+    in_bucket = Window.partitionBy(*key, "bucket")
+    counts = counts.withColumn("below_in_bucket", running_before("n", in_bucket.orderBy("value")))
+    whole = Window.partitionBy(*key)
+    buckets = counts.groupBy(*key, "bucket").agg(F.sum("n").alias("bucket_rows"))
+    buckets = buckets.select(
+        *key,
+        "bucket",
+        running_before("bucket_rows", whole.orderBy("bucket")).alias("below_bucket"),
+        F.sum("bucket_rows").over(whole).alias("group_rows"),
     )
+    values = join_null_safe(counts, buckets, [*key, "bucket"])
     below = F.col("below_bucket") + F.col("below_in_bucket")
     rank = F.when(F.col("group_rows") > 1, below / (F.col("group_rows") - 1)).otherwise(0.0)
-    return values.select(*group, "value", rank.alias(f"{metric}_rank"))
+    return values.select(*key, "value", rank.alias("rank"))
 
 
 def _value(metric: str) -> Column:
     return F.coalesce(F.col(metric).cast("double"), F.lit(0.0))
 
 
-def _bucket(value: Column) -> Column:
+def value_bucket(value: Column) -> Column:
     """A bucket number that never falls as the value grows, and is the same on every run."""
     return (F.signum(value) * F.floor(F.log1p(F.abs(value)) * BUCKETS_PER_LOG_UNIT)).cast("int")
 
 
-def _running_before(rows: str, window) -> Column:
+def running_before(rows: str, window) -> Column:
     return F.coalesce(F.sum(rows).over(window.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
 
 
-def _join_null_safe(left: DataFrame, right: DataFrame, on: list[str]) -> DataFrame:
+def join_null_safe(left: DataFrame, right: DataFrame, on: list[str]) -> DataFrame:
     right = right.withColumnsRenamed({c: f"_r_{c}" for c in on})
     return left.join(right, [F.col(c).eqNullSafe(F.col(f"_r_{c}")) for c in on]).drop(*[f"_r_{c}" for c in on])

@@ -3,7 +3,7 @@
 Expected values come from the driver's tables by plain arithmetic: no text is put together and parsed again.
 """
 
-from marketlake.registry.queries import CUT_DAY, DAY, MARKETPLACE
+from marketlake.registry.queries import CUT_DAY, DAY, MARKETPLACE, WEEK_START
 
 
 def _row_round(x: str, places: int) -> str:
@@ -367,6 +367,24 @@ WHERE h.attr_hash IS DISTINCT FROM i.attr_hash""",
     )
 
 
+HOT_EVENTS = EVENTS.replace("event_type || CASE", "CASE WHEN event_id % 3 = 0 THEN 'everything' ELSE event_type || CASE").replace(
+    "ELSE '  SETS' END AS keyword", "ELSE '  SETS' END END AS keyword"
+)
+
+
+def _products_between() -> str:
+    """Distinct products counted from the cards of each range of days."""
+    first, last, day, week = "min(ingested_at)", "max(ingested_at)", f"DATE '{DAY}'", f"DATE '{WEEK_START}'"
+    ranges = ((first, last), (first, day), (week, day), (day, day))
+    spans = "\n  UNION ALL ".join(f"SELECT {a} AS first_day, {b} AS last_day FROM ev" for a, b in ranges)
+    return _with(
+        HOT_EVENTS,
+        f"spans AS (SELECT DISTINCT * FROM ({spans}) s)",
+        """SELECT keyword, marketplace, count(DISTINCT asin)::BIGINT AS total_products, first_day, last_day
+FROM ev JOIN spans ON ingested_at BETWEEN first_day AND last_day GROUP BY keyword, marketplace, first_day, last_day""",
+    )
+
+
 def oracle_sql() -> dict[str, str]:
     cards = f"SELECT {CARD_COLUMNS} FROM cards"
     day = f"ingested_at = DATE '{DAY}'"
@@ -518,6 +536,15 @@ LEFT JOIN current_products p ON c.asin = p.asin AND c.marketplace = p.marketplac
         "fact_product_performance": _with(*pages, PERFORMANCE, "SELECT * FROM performance"),
         "mart_keyword_daily": _with(EVENTS, CARDS, KEYWORD_MART, "SELECT * FROM keyword_mart"),
         "mart_brand_competitive": _with(*pages, PERFORMANCE, _brand_mart("performance", "products")),
+        "keyword_products_over_days": _products_between(),
+        "mart_keyword_exact": _with(HOT_EVENTS, CARDS, KEYWORD_MART, "SELECT * FROM keyword_mart"),
+        "keyword_median_exact": """
+WITH lines AS (
+  SELECT CASE WHEN l_linenumber <= 4 THEN 'lamp' ELSE 'desk' END AS keyword, l_linenumber, CAST(l_quantity AS INTEGER) AS q,
+    CAST(floor(l_extendedprice * 100 + 0.5) AS BIGINT) AS cents FROM lineitem)
+SELECT keyword, quantile_disc(CASE WHEN q IN (7, 11) THEN NULL WHEN l_linenumber = 1 THEN CAST(cents AS DOUBLE) ELSE cents / 100 END, 0.5)
+  AS median_price
+FROM lines GROUP BY keyword""",
         "backfill_dim_product": _with(*event_dim, "SELECT * FROM event_products"),
         "rerun_day_dim_product": _with(*event_dim, "SELECT * FROM event_products"),
         "backfill_keyword_mart": _with(EVENTS, CARDS, KEYWORD_MART, "SELECT * FROM keyword_mart"),

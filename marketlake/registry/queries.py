@@ -1,5 +1,6 @@
 """One query per operator, over whole tables. Audit stamps are left out: they differ on every run."""
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,10 +10,10 @@ from marketlake import schemas
 from marketlake.functions import card_text as card
 from marketlake.functions import page_text as page
 from marketlake.functions.keys import sha_key
-from marketlake.operators import quality, scd2
+from marketlake.operators import medians, quality, scd2
 from marketlake.operators.dedup import dedup_latest
 from marketlake.operators.lookup import resolve_sk
-from marketlake.plans import daily_run, dimension, facts, marts, research, silver, views
+from marketlake.plans import daily_run, dimension, distinct_days, facts, marts, research, silver, views
 from marketlake.registry import inputs
 from marketlake.sources import dim_store, drift, feeds, tables
 from marketlake.sources.files import child_names, delete, scratch_dir
@@ -20,6 +21,7 @@ from marketlake.sources.files import child_names, delete, scratch_dir
 Query = Callable[[SparkSession, str], DataFrame]
 
 DAY, MARKETPLACE = "2024-01-15", "US"
+WEEK_START = "2024-01-09"
 CUT_DAY = "1998-08-02"
 LATE_DAY, WRONG_DAY = "1995-04-01", "1996-01-01"
 CUSTOMER = ["o_custkey"]
@@ -418,6 +420,41 @@ def mart_brand_competitive(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _shown(marts.brand_figures(performance, unique_grain=True))
 
 
+def _hot_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Search cards as facts, a third of them under one keyword."""
+    cards = inputs.raw_cards(spark, sf_dir)
+    hot = F.regexp_extract("title", r"\d+", 0).cast("bigint") % 3 == 0
+    cards = cards.withColumn("keyword", F.when(hot, F.lit("everything")).otherwise(F.col("keyword")))
+    return facts.search_ranking(silver.clean_search(cards))
+
+
+def keyword_products_over_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct products of keywords over ranges of days, from states written in two runs, of which one is repeated."""
+    root, fact = scratch_dir(spark, "states"), _stored(_hot_ranking(spark, sf_dir))
+    first, last = (str(d) for d in fact.agg(F.min("ingested_at"), F.max("ingested_at")).first())
+    for start, end in ((DAY, last), (first, DAY), (DAY, last)):
+        distinct_days.record_products(spark, fact, root, start, end)
+    asked = [
+        distinct_days.keyword_products(spark, root, start, end).withColumns({"first_day": scd2.day_literal(start), "last_day": scd2.day_literal(end)})
+        for start, end in ((first, last), (first, DAY), (WEEK_START, DAY), (DAY, DAY))
+    ]
+    return functools.reduce(DataFrame.unionByName, asked)
+
+
+def keyword_median_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Medians of two keywords over the prices of all order lines, cleaned from their texts."""
+    lines = inputs.line_texts(spark, sf_dir)
+    keyword = F.when(F.col("l_linenumber") <= 4, F.lit("lamp")).otherwise(F.lit("desk")).alias("keyword")
+    prices = _stored(lines.select(keyword, card.price_columns(F.col("price"))["amount"].alias("price_amount")))
+    return medians.exact_medians(prices, ["keyword"], "price_amount", "median_price")
+
+
+def mart_keyword_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The keyword mart with exact medians, over facts with one keyword in a third of the rows."""
+    fact = _stored(_hot_ranking(spark, sf_dir))
+    return _shown(marts.mart_keyword_daily(fact, unique_grain=True, exact_median=True))
+
+
 # --- research questions ---------------------------------------------------------------------------------------
 
 
@@ -519,6 +556,9 @@ def queries() -> dict[str, Query]:
         "fact_product_performance": fact_product_performance,
         "mart_keyword_daily": mart_keyword_daily,
         "mart_brand_competitive": mart_brand_competitive,
+        "keyword_products_over_days": keyword_products_over_days,
+        "keyword_median_exact": keyword_median_exact,
+        "mart_keyword_exact": mart_keyword_exact,
         "backfill_dim_product": backfill_dim_product,
         "backfill_keyword_mart": _lake_table("mart_keyword_daily"),
         "backfill_brand_mart": _lake_table("mart_brand_competitive"),
