@@ -12,7 +12,8 @@ needs no second language. A text too short for a subword is rejected.
 
 The model is fitted on at most ROWS_PER_LANG documents of each language. Cases: a text that is null or has no letter is
 `und` with score 0, and rejected. Documents without a language are not learned from; without any labelled document all are
-`und`. Texts of any length are read whole. Repeated rows are scored each.
+`und` with score 0, and none is rejected, as nothing is known to judge by. Texts of any length are read whole. Repeated rows
+are scored each, and learned once. An empty table gives an empty result; columns that are not asked for are dropped.
 """
 
 from __future__ import annotations
@@ -86,7 +87,7 @@ def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 at = texts.first_row + r
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(at, 1), batch.column(1).slice(at, 1), pa.array([bucket.astype(np.int32)], pa.list_(pa.int32())), pa.array([count.astype(np.int32)], pa.list_(pa.int32()))],
-                    ["doc_id", "lang", "bucket", "count"],
+                    ["key", "lang", "bucket", "count"],
                 )
 
 
@@ -98,14 +99,15 @@ def _softmax(x: np.ndarray) -> np.ndarray:
 def train(documents: DataFrame, rows_per_lang: int = ROWS_PER_LANG, seed: int = 7) -> Model:
     """Learns from (doc_id, text, lang) of a sample."""
     rows = documents.where("lang is not null").select("doc_id", "lang", "text")
-    got = sampled(rows, "lang", rows_per_lang, seed).select("doc_id", "lang", "text").mapInArrow(_features, "doc_id long, lang string, bucket array<int>, count array<int>")
+    rows = sampled(rows, "lang", rows_per_lang, seed, ["doc_id", "text"]).select("key", "lang", "text")
+    got = rows.mapInArrow(_features, "key long, lang string, bucket array<int>, count array<int>")
     blank = Model([], np.zeros((BUCKETS, 0), np.float32), np.zeros(0, np.float32), 1.0, 1.0, np.zeros((BUCKETS, 1), np.float32), 0.0)
     return fitted(got, lambda sample: fit(sample, seed)) or blank
 
 
 def fit(got: pa.Table, seed: int) -> Model:
     """Learns from a sample's subword counts; rows in any order give the same model."""
-    got = got.sort_by([("doc_id", "ascending"), ("lang", "ascending")]).combine_chunks()
+    got = got.sort_by([("key", "ascending"), ("lang", "ascending")]).combine_chunks()
     langs = sorted(set(got.column("lang").to_pylist()))
     y = np.array([langs.index(x) for x in got.column("lang").to_pylist()])
     texts, sizes = [], []
@@ -181,7 +183,7 @@ def identify(documents: DataFrame, model: Model, keep: list[str]) -> DataFrame:
                     known = model.langs and _LETTER.search(column[texts.first_row + r].as_py() or "")
                     langs.append(model.langs[best[r]] if known else UNKNOWN)
                     scores.append(float(share[r, best[r]]) if known else 0.0)
-            rejected = [lang == UNKNOWN or s < model.reject_below or bool(u) for lang, s, u in zip(langs, scores, unlike, strict=True)]
+            rejected = [bool(model.langs) and (lang == UNKNOWN or s < model.reject_below or bool(u)) for lang, s, u in zip(langs, scores, unlike, strict=True)]
             yield pa.RecordBatch.from_arrays([*batch.columns[1:], pa.array(langs, pa.string()), pa.array(scores, pa.float64()), pa.array(rejected, pa.bool_())], names)
 
     kinds = ", ".join(f"`{c}` {t}" for c, t in documents.select(*keep).dtypes)

@@ -7,7 +7,7 @@ blended with their mean size, and a sigmoid fitted on rows kept out turns margin
 
 Cases: a null or empty text has no n-gram and gets the score of the intercept. Labels that are null, or that contradict each
 other for a doc_id, are left out. With labels of one class only, or none, every score is 0.5. Texts are read whole;
-repeated rows are scored each; extra columns are dropped.
+repeated rows are scored each, and learned once; extra columns are dropped. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -81,7 +81,7 @@ def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             rows = slice(texts.first_row, texts.first_row + texts.rows)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).slice(rows.start, texts.rows), batch.column(1).slice(rows.start, texts.rows), W.lists(bucket.astype(np.int32), first, pa.int32())],
-                ["doc_id", "quality", "bucket"],
+                ["key", "quality", "bucket"],
             )
 
 
@@ -118,15 +118,17 @@ def _sigmoid(margin: np.ndarray, label: np.ndarray) -> tuple[float, float]:
 def train(documents: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, seed: int = 5) -> Model:
     """Learns from (doc_id, text) and (doc_id, quality) of a sample."""
     clear = labels.where("quality is not null and doc_id is not null").groupBy("doc_id").agg(F.min("quality").alias("quality"), F.max("quality").alias("_most"))
-    chosen = sampled(clear.where("quality = _most").select("doc_id", "quality"), "quality", sample_rows, seed)
-    chosen = F.broadcast(chosen)  # sample_rows of each class at most
-    got = documents.select("doc_id", "text").join(chosen, "doc_id").select("doc_id", F.col("quality").cast("int"), "text").mapInArrow(_features, "doc_id long, quality int, bucket array<int>")
+    chosen = sampled(clear.where("quality = _most").select("doc_id", "quality"), "quality", sample_rows, seed, ["doc_id"])
+    chosen = F.broadcast(chosen.select("doc_id", F.col("quality").cast("int")))  # sample_rows of each class at most
+    labelled = documents.select("doc_id", "text").join(chosen, "doc_id")
+    rows = sampled(labelled, "quality", sample_rows, seed, ["doc_id", "text"]).select("key", "quality", "text")
+    got = rows.mapInArrow(_features, "key long, quality int, bucket array<int>")
     return fitted(got, lambda sample: fit(sample, seed)) or Model(np.zeros(BUCKETS, np.float32), 0.0, 0.0, 0.0)
 
 
 def fit(got: pa.Table, seed: int) -> Model:
     """Learns from a sample's indicators; rows in any order give the same model."""
-    got = got.sort_by("doc_id").combine_chunks()
+    got = got.sort_by("key").combine_chunks()
     y = np.where(got.column("quality").to_numpy() > 0, 1.0, -1.0)
     flat = Model(np.zeros(BUCKETS, np.float32), 0.0, 0.0, 0.0)
     if len(np.unique(y)) < 2:

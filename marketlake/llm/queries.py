@@ -23,7 +23,8 @@ from marketlake.llm.tool_calls import CONVERSATION_SCHEMAS, conversation_calls,
 
 def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
-    return secrets.scan(docs, secrets.train(docs), ["doc_id"])
+    found = secrets.scan(docs, secrets.train(docs), ["doc_id"])
+    return found.select("doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans", "n_crf")
 
 
 def tokenizer() -> tuple[str, str]:
@@ -74,7 +75,8 @@ def op9_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return clean_lines(documents(spark, sf_dir)).drop("clean_text")
+    asked = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"]
+    return clean_lines(documents(spark, sf_dir)).select(*asked, "n_lines", "kept_lines", "kept_chars")
 
 
 def op11_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,4 +1,4 @@
-"""Bounded training samples: the rows with the smallest hashes, chosen on narrow columns before any text is read."""
+"""Bounded training samples: of each group the texts with the smallest hashes, one row for each."""
 
 from __future__ import annotations
 
@@ -9,20 +9,28 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from marketlake.llm.scratch import stored
 
-def sampled(rows: DataFrame, group: str, per_group: int, seed: int) -> DataFrame:
-    """Of each value of `group`, the rows whose id hash is among the `per_group` smallest.
+#: Of hashes in 53 bits, so many times the wanted number are ranked; a group's distinct hashes are counted to a few hundredths.
+SPARE, SPARE_ROWS = 4, 50
 
-    Groups are counted first, and only hashes low enough to hold about four times `per_group` ids are ranked, so the
-    ranking is as small for a group of any size. Rows that repeat an id are in or out together.
+
+def sampled(rows: DataFrame, group: str, per_group: int, seed: int, identity: list[str]) -> DataFrame:
+    """Of each value of `group`, the rows whose hash of `identity` is among the `per_group` smallest distinct ones, with
+    that hash as `key`; of rows alike in `identity`, one.
+
+    A group with any row gives a row, and none gives more than `per_group`, however often rows or ids repeat. Hashes are
+    written once; only those low enough to be among about SPARE times `per_group` distinct ones are ranked, so the ranking
+    is as small for a group of any size.
     """
-    key = F.shiftrightunsigned(F.xxhash64(F.lit(seed), "doc_id"), 11)
-    sizes = rows.groupBy(group).agg(F.count("*").alias("_n"))
-    narrow = rows.select(group, key.alias("key")).join(F.broadcast(sizes), group)  # one row for each group
-    narrow = narrow.where(F.col("key") <= F.lit(float(1 << 53)) * (4 * per_group + 50) / F.col("_n")).select(group, "key").distinct()
+    key = F.shiftrightunsigned(F.xxhash64(F.lit(seed), *identity), 11)
+    narrow = stored(rows.select(group, key.alias("key")), "sample-keys")
+    sizes = narrow.groupBy(group).agg(F.approx_count_distinct("key", 0.02).alias("_n"))
+    low = narrow.join(F.broadcast(sizes), group)  # one row for each group
+    low = low.where(F.col("key") <= F.lit(float(1 << 53)) * (SPARE * per_group + SPARE_ROWS) / F.col("_n")).select(group, "key").distinct()
     first = Window.partitionBy(group).orderBy("key")
-    bound = narrow.withColumn("n", F.row_number().over(first)).where(F.col("n") <= per_group).groupBy(group).agg(F.max("key").alias("_bound"))
-    return rows.join(F.broadcast(bound), group).where(key <= F.col("_bound")).drop("_bound")
+    bound = low.withColumn("n", F.row_number().over(first)).where(F.col("n") <= per_group).groupBy(group).agg(F.max("key").alias("_bound"))
+    return rows.withColumn("key", key).join(F.broadcast(bound), group).where("key <= _bound").drop("_bound").dropDuplicates([group, "key"])
 
 
 def fitted(sample: DataFrame, fit: Callable[[pa.Table], object]):
