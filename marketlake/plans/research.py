@@ -128,6 +128,56 @@ def demand_stability(mart: DataFrame) -> DataFrame:
     )
 
 
+def absent_ranges(mart: DataFrame, last_day: Column) -> DataFrame:
+    """Runs of days without a row, of each keyword and marketplace from its first day to ``last_day``.
+
+    A run is one row, however long; ``absent_days`` spreads it. A window holds one row per day of a keyword.
+    """
+    by_day = Window.partitionBy("keyword", "marketplace").orderBy("ingested_at")
+    following = F.coalesce(F.lead("ingested_at").over(by_day), F.date_add(last_day, 1))
+    ranges = mart.select("keyword", "marketplace", F.date_add("ingested_at", 1).alias("first_absent"), F.date_sub(following, 1).alias("last_absent"))
+    return ranges.filter("first_absent <= last_absent")
+
+
+def absent_days(ranges: DataFrame) -> DataFrame:
+    """One row per keyword, marketplace and day without a row."""
+    return ranges.select("keyword", "marketplace", F.explode(F.sequence("first_absent", "last_absent")).alias("ingested_at"))
+
+
+def demand_trend(mart: DataFrame, last_day: Column) -> DataFrame:
+    """Demand over all days from a keyword's first to ``last_day``, a day without a row counting as no demand.
+
+    The line is fitted by least squares in one aggregation: days without demand add nothing to the sums over demand, and
+    the sums over days follow from their number, so no calendar is built. The slope is demand per day; spread and mean
+    are over all days too, so that a spike followed by nothing is not stable.
+    """
+    key = ["keyword", "marketplace"]
+    first = F.min("ingested_at").over(Window.partitionBy(*key))
+    y = F.coalesce(F.col("total_monthly_sales_min"), F.lit(0)).cast("double")
+    rows = mart.select(*key, "ingested_at", y.alias("y"), first.alias("first_day"))
+    x = F.datediff("ingested_at", "first_day").cast("double")
+    sums = rows.groupBy(*key, "first_day").agg(
+        F.count(F.lit(1)).alias("seen_days"), F.max("ingested_at").alias("last_seen"), F.sum("y").alias("sy"), F.sum(x * F.col("y")).alias("sxy"), F.sum(F.col("y") * F.col("y")).alias("syy")
+    )
+    n = (F.datediff(last_day, "first_day") + 1).cast("double")
+    sums = sums.withColumn("n", n)
+    sums = sums.withColumns({"sx": F.col("n") * (F.col("n") - 1) / 2, "sxx": (F.col("n") - 1) * F.col("n") * (2 * F.col("n") - 1) / 6})
+    slope = F.try_divide(F.col("n") * F.col("sxy") - F.col("sx") * F.col("sy"), F.col("n") * F.col("sxx") - F.col("sx") * F.col("sx"))
+    mean = F.col("sy") / F.col("n")
+    spread = F.sqrt(F.try_divide(F.greatest(F.col("syy") - F.col("sy") * mean, F.lit(0.0)), F.col("n") - 1))
+    return sums.select(
+        *key,
+        "first_day",
+        "last_seen",
+        F.col("n").cast("bigint").alias("calendar_days"),
+        (F.col("n") - F.col("seen_days")).cast("bigint").alias("absent_days"),
+        settled(mean, 2).alias("avg_demand"),
+        settled(spread, 2).alias("stddev_demand"),
+        settled(slope, 4).alias("slope_per_day"),
+        settled(F.try_divide(mean, F.round(spread, 6)), 4).alias("stability_score"),
+    )
+
+
 def ad_saturation(mart: DataFrame) -> DataFrame:
     """How much of a keyword is paid placement, in three bands."""
     pct = F.col("sponsored_pct")

@@ -3,7 +3,7 @@
 Expected values come from the driver's tables by plain arithmetic: no text is put together and parsed again.
 """
 
-from marketlake.registry.queries import CUT_DAY, DAY, MARKETPLACE, WEEK_START
+from marketlake.registry.queries import CUT_DAY, DAY, DRIFT_EDGES, MARKETPLACE, SYNONYM_PERCENT, TREND_END, WEEK_START
 
 
 def _row_round(x: str, places: int) -> str:
@@ -372,6 +372,72 @@ HOT_EVENTS = EVENTS.replace("event_type || CASE", "CASE WHEN event_id % 3 = 0 TH
 )
 
 
+VANISHING = f"""vanishing AS (
+  SELECT * FROM keyword_mart WHERE NOT (keyword LIKE 'click%' AND ingested_at >= DATE '{DAY}')
+    AND NOT (keyword LIKE 'view%' AND day(ingested_at) % 3 = 0)),
+spans AS (
+  SELECT keyword, marketplace, min(ingested_at) AS first_day, max(ingested_at) AS last_seen FROM vanishing GROUP BY keyword, marketplace),
+calendar AS (
+  SELECT keyword, marketplace, first_day, last_seen, CAST(unnest(generate_series(first_day, DATE '{TREND_END}', INTERVAL 1 DAY)) AS DATE) AS ingested_at
+  FROM spans),
+filled AS (
+  SELECT c.*, v.keyword IS NOT NULL AS seen, CAST(coalesce(v.total_monthly_sales_min, 0) AS DOUBLE) AS y,
+    CAST(c.ingested_at - c.first_day AS DOUBLE) AS x
+  FROM calendar c LEFT JOIN vanishing v USING (keyword, marketplace, ingested_at))"""
+
+
+def _synonyms() -> str:
+    """All pairs of keywords that share a product, and what can be reached from each."""
+    return _with(
+        f"""named AS (
+  SELECT event_type || ' g' || (user_id % 40) AS keyword, user_id, user_id % 40 AS g FROM events),
+shown AS (
+  SELECT DISTINCT keyword, user_id FROM named UNION SELECT DISTINCT 'all ' || keyword, user_id FROM named WHERE g < 10),
+weighed AS (SELECT keyword, user_id, 1000000 // count(*) OVER (PARTITION BY user_id) AS weight FROM shown),
+totals AS (SELECT keyword, sum(weight) AS total FROM weighed GROUP BY keyword),
+shared AS (
+  SELECT a.keyword AS a, b.keyword AS b, sum(a.weight) AS in_both
+  FROM weighed a JOIN weighed b ON a.user_id = b.user_id AND a.keyword <> b.keyword GROUP BY a.keyword, b.keyword),
+links AS (
+  SELECT a, b FROM shared JOIN totals x ON x.keyword = a JOIN totals y ON y.keyword = b
+  WHERE 100 * in_both >= {SYNONYM_PERCENT} * (x.total + y.total - in_both)),
+reach(a, b) AS (SELECT keyword, keyword FROM totals UNION SELECT r.a, l.b FROM reach r JOIN links l ON l.a = r.b)""".replace(
+            "named AS", "RECURSIVE named AS", 1
+        ),
+        "SELECT a AS keyword, a AS keyword_normal, min(b) AS keyword_group FROM reach GROUP BY a",
+    )
+
+
+def _day_drift() -> str:
+    """Histograms of neighbouring days compared bin by bin."""
+    counted = []
+    for name, edges in DRIFT_EDGES.items():
+        bins = [f"{name} < {edges[0]}", *[f"{name} >= {a} AND {name} < {b}" for a, b in zip(edges, edges[1:], strict=False)], f"{name} >= {edges[-1]}", f"{name} IS NULL"]
+        listed = ", ".join(f"count(*) FILTER (WHERE {b})" for b in bins)
+        counted.append(f"SELECT ingested_at, '{name}' AS column_name, count(*) AS n_rows, [{listed}] AS bins FROM shifted GROUP BY ingested_at")
+    return _with(
+        EVENTS,
+        CARDS,
+        f"""shifted AS (
+  SELECT ingested_at, discount_pct, CASE WHEN ingested_at >= DATE '{DAY}' THEN price_amount * 3 ELSE price_amount END AS price_amount,
+    CASE WHEN ingested_at <> DATE '{WEEK_START}' THEN rating END AS rating FROM cards)""",
+        "counted AS (" + " UNION ALL ".join(counted) + ")",
+        """paired AS (
+  SELECT *, lag(bins) OVER w AS before, lag(n_rows) OVER w AS n_before, lag(ingested_at) OVER w AS previous_day
+  FROM counted WINDOW w AS (PARTITION BY column_name ORDER BY ingested_at)),
+binned AS (
+  SELECT column_name, ingested_at, previous_day, n_rows, (bins[i] + 0.5::DOUBLE) / (n_rows + len(bins) * 0.5::DOUBLE) AS p,
+    (before[i] + 0.5::DOUBLE) / (n_before + len(bins) * 0.5::DOUBLE) AS q,
+    abs(list_sum(bins[1:i]) / n_rows - list_sum(before[1:i]) / n_before) AS gap
+  FROM paired, unnest(range(1, len(bins) + 1)) AS u(i)),
+drift AS (
+  SELECT column_name, ingested_at, previous_day, n_rows, sum((p - q) * ln(p / q)) AS psi, max(gap) AS gap
+  FROM binned GROUP BY column_name, ingested_at, previous_day, n_rows)""",
+        f"""SELECT column_name, ingested_at, previous_day, n_rows, {_settled("psi", 6)} AS stability_index,
+  {_settled("gap", 6)} AS largest_gap, coalesce({_settled("psi", 6)} > 0.2 OR {_settled("gap", 6)} > 0.1, false) AS drifted FROM drift""",
+    )
+
+
 def _products_between() -> str:
     """Distinct products counted from the cards of each range of days."""
     first, last, day, week = "min(ingested_at)", "max(ingested_at)", f"DATE '{DAY}'", f"DATE '{WEEK_START}'"
@@ -663,7 +729,21 @@ FROM pages_latest""",
     || CASE WHEN user_id % 4 < 2 THEN ' kit' ELSE ' set' END AS keyword_group
 FROM ev""",
         ),
+        "keyword_synonyms": _synonyms(),
+        "demand_trend": _with(
+            EVENTS,
+            CARDS,
+            KEYWORD_MART,
+            VANISHING,
+            f"""SELECT keyword, marketplace, first_day, last_seen, count(*) AS calendar_days, count(*) FILTER (WHERE NOT seen) AS absent_days,
+  {_settled("avg(y)", 2)} AS avg_demand, {_settled("stddev_samp(y)", 2)} AS stddev_demand,
+  {_settled("regr_slope(y, x)", 4)} AS slope_per_day,
+  {_settled("avg(y) / nullif(round(stddev_samp(y), 6), 0)", 4)} AS stability_score
+FROM filled GROUP BY keyword, marketplace, first_day, last_seen""",
+        ),
+        "demand_absent_days": _with(EVENTS, CARDS, KEYWORD_MART, VANISHING, "SELECT keyword, marketplace, ingested_at FROM filled WHERE NOT seen"),
         "quality_profile": _profile(),
+        "profile_drift": _day_drift(),
         "current_uniqueness": _with(
             *pages,
             """SELECT asin, marketplace, count(*) AS current_rows

@@ -13,7 +13,7 @@ from marketlake.functions.keys import sha_key
 from marketlake.operators import medians, quality, scd2
 from marketlake.operators.dedup import dedup_latest
 from marketlake.operators.lookup import resolve_sk
-from marketlake.plans import daily_run, dimension, distinct_days, facts, marts, research, silver, views
+from marketlake.plans import daily_run, dimension, distinct_days, facts, marts, research, silver, synonyms, views
 from marketlake.registry import inputs
 from marketlake.sources import dim_store, drift, feeds, tables
 from marketlake.sources.files import child_names, delete, scratch_dir
@@ -22,6 +22,9 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 DAY, MARKETPLACE = "2024-01-15", "US"
 WEEK_START = "2024-01-09"
+TREND_END = "2024-02-15"
+SYNONYM_PERCENT = 50
+DRIFT_EDGES = {"price_amount": [10.0, 50.0, 100.0, 200.0, 500.0, 1000.0], "rating": [1.5, 2.5, 3.5, 4.5], "discount_pct": [0.0, 1.0, 5.0, 50.0]}
 CUT_DAY = "1998-08-02"
 LATE_DAY, WRONG_DAY = "1995-04-01", "1996-01-01"
 CUSTOMER = ["o_custkey"]
@@ -500,6 +503,33 @@ def keyword_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return research.dim_keyword(cards, synonyms)
 
 
+def keyword_synonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keywords by kind of event and group of products, a part of them under a second name too, put into groups."""
+    cards = inputs.raw_cards(spark, sf_dir)
+    user = (F.substring("asin", 2, 20).cast("bigint") / 17).cast("bigint")
+    name = F.concat(F.regexp_extract("keyword", "^[a-z]+", 0), F.lit(" g"), (user % 40).cast("string"))
+    second = F.when(user % 40 < 10, F.array(name, F.concat(F.lit("all "), name))).otherwise(F.array(name))
+    cards = cards.select(F.explode(second).alias("keyword"), "marketplace", "asin")
+    return research.dim_keyword(cards, synonyms.keyword_synonyms(cards, SYNONYM_PERCENT))
+
+
+def _vanishing_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The keyword mart without some keywords from a day on, and without others every third day of a month."""
+    day = F.col("ingested_at")
+    gone = F.col("keyword").startswith("click") & (day >= scd2.day_literal(DAY))
+    missing = F.col("keyword").startswith("view") & (F.dayofmonth(day) % 3 == 0)
+    return _keyword_mart(spark, sf_dir).filter(~gone & ~missing)
+
+
+def demand_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return research.demand_trend(_vanishing_mart(spark, sf_dir), scd2.day_literal(TREND_END))
+
+
+def demand_absent_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranges = research.absent_ranges(_vanishing_mart(spark, sf_dir), scd2.day_literal(TREND_END))
+    return research.absent_days(ranges)
+
+
 # --- checks ---------------------------------------------------------------------------------------------------
 
 
@@ -508,6 +538,15 @@ def quality_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_profile(cards, {"rating": (0, 5), "price_amount": (0, 100), "discount_pct": (0, 100)})
 
 
+def profile_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distances between days of the typed cards, with prices tripled from one day on and ratings lost on another."""
+    cards, day = _search(spark, sf_dir), F.col("ingested_at")
+    shifted = F.when(day >= scd2.day_literal(DAY), F.col("price_amount") * 3).otherwise(F.col("price_amount"))
+    lost = F.when(day != scd2.day_literal(WEEK_START), F.col("rating"))
+    cards = cards.withColumns({"price_amount": shifted, "rating": lost})
+    return quality.day_drift(quality.day_histograms(cards, "ingested_at", DRIFT_EDGES), "ingested_at")
+
+
 def current_uniqueness(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Keys current more than once, in a history of which a part is repeated."""
     history = _product_history(spark, sf_dir)
@@ -580,7 +619,11 @@ def queries() -> dict[str, Query]:
         "fragmentation": _on_mart(research.fragmentation, read_often=True),
         "rank_history": rank_history,
         "keyword_groups": keyword_groups,
+        "keyword_synonyms": keyword_synonyms,
+        "demand_trend": demand_trend,
+        "demand_absent_days": demand_absent_days,
         "quality_profile": quality_profile,
+        "profile_drift": profile_drift,
         "current_uniqueness": current_uniqueness,
         "null_keys": null_keys,
         "dim_totals": dim_totals,
