@@ -372,6 +372,27 @@ HOT_EVENTS = EVENTS.replace("event_type || CASE", "CASE WHEN event_id % 3 = 0 TH
 )
 
 
+HASHED_PRODUCTS = """SELECT *, sha256(concat_ws('~', title, brand, category_path, category_leaf, CAST(category_depth AS VARCHAR),
+  CAST(is_fba AS VARCHAR), CAST(variation_count AS VARCHAR))) AS attr_hash FROM event_products"""
+FIRST_EVENTS = EVENTS.replace("FROM events)", "FROM events WHERE CAST(ts AS DATE) <= (SELECT min(CAST(ts AS DATE)) + 2 FROM events))")
+_VALID = """LEFT JOIN event_products v ON c.asin = v.asin AND c.marketplace = v.marketplace
+  AND c.ingested_at >= v.effective_date AND (v.expiry_date IS NULL OR c.ingested_at <= v.expiry_date)"""
+MONTHLY_PAGES = (
+    PAGES.replace("CAST(l_shipdate AS DATE) AS ingested_at", "CAST(date_trunc('month', l_shipdate) AS DATE) AS ingested_at")
+    .replace(NESTED["category_leaf"], "'L' || (l_linenumber % 2)")
+    .replace(NESTED["category_depth"], "1")
+)
+
+
+def _event_ranking() -> str:
+    """Cards with the version of their product that was valid on their day."""
+    return _with(EVENTS, CARDS, EVENT_PRODUCTS, f"SELECT v.product_sk, {RANKING_COLUMNS} FROM cards c {_VALID}")
+
+
+def _event_prices(events: str) -> str:
+    return _with(events, CARDS, EVENT_PRODUCTS, PRICES, f"SELECT v.product_sk, c.* FROM prices c {_VALID}")
+
+
 VANISHING = f"""vanishing AS (
   SELECT * FROM keyword_mart WHERE NOT (keyword LIKE 'click%' AND ingested_at >= DATE '{DAY}')
     AND NOT (keyword LIKE 'view%' AND day(ingested_at) % 3 = 0)),
@@ -602,6 +623,8 @@ LEFT JOIN current_products p ON c.asin = p.asin AND c.marketplace = p.marketplac
         "fact_product_performance": _with(*pages, PERFORMANCE, "SELECT * FROM performance"),
         "mart_keyword_daily": _with(EVENTS, CARDS, KEYWORD_MART, "SELECT * FROM keyword_mart"),
         "mart_brand_competitive": _with(*pages, PERFORMANCE, _brand_mart("performance", "products")),
+        "fact_performance_lookup": _with(*pages, PERFORMANCE, "SELECT * FROM performance"),
+        "mart_brand_monthly": _with(LINES, MONTHLY_PAGES, PAGE_HISTORY, PERFORMANCE, _brand_mart("performance", "products")),
         "keyword_products_over_days": _products_between(),
         "mart_keyword_exact": _with(HOT_EVENTS, CARDS, KEYWORD_MART, "SELECT * FROM keyword_mart"),
         "keyword_median_exact": """
@@ -611,8 +634,8 @@ WITH lines AS (
 SELECT keyword, quantile_disc(CASE WHEN q IN (7, 11) THEN NULL WHEN l_linenumber = 1 THEN CAST(cents AS DOUBLE) ELSE cents / 100 END, 0.5)
   AS median_price
 FROM lines GROUP BY keyword""",
-        "backfill_dim_product": _with(*event_dim, "SELECT * FROM event_products"),
-        "rerun_day_dim_product": _with(*event_dim, "SELECT * FROM event_products"),
+        "backfill_dim_product": _with(*event_dim, HASHED_PRODUCTS),
+        "rerun_day_dim_product": _with(*event_dim, HASHED_PRODUCTS),
         "backfill_keyword_mart": _with(EVENTS, CARDS, KEYWORD_MART, "SELECT * FROM keyword_mart"),
         "backfill_brand_mart": _with(*event_dim, EVENT_PERFORMANCE, _brand_mart("event_performance", "event_products")),
         "rerun_day_shrinks": _with(
@@ -621,11 +644,12 @@ FROM lines GROUP BY keyword""",
             f"""SELECT * FROM ({_brand_mart("event_performance", "event_products")}) m
 WHERE ingested_at < (SELECT max(CAST(ts AS DATE)) FROM events)""",
         ),
-        "late_day_dim_product": _with(
-            *event_dim,
-            """SELECT *, sha256(concat_ws('~', title, brand, category_path, category_leaf, CAST(category_depth AS VARCHAR),
-  CAST(is_fba AS VARCHAR), CAST(variation_count AS VARCHAR))) AS attr_hash FROM event_products""",
-        ),
+        "late_day_dim_product": _with(*event_dim, HASHED_PRODUCTS),
+        "late_day_search_ranking": _event_ranking(),
+        "backfill_search_ranking": _event_ranking(),
+        "backfill_price_snapshot": _event_prices(EVENTS),
+        "daily_runs_dim_product": _with(FIRST_EVENTS, EVENT_PRODUCTS, HASHED_PRODUCTS),
+        "daily_runs_price_snapshot": _event_prices(FIRST_EVENTS),
         "late_day_performance": _with(
             *event_dim,
             """SELECT v.product_sk, p.asin, p.marketplace, p.ingested_at, k + 1 AS bsr_primary_rank,

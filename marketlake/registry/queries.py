@@ -2,6 +2,7 @@
 
 import functools
 from collections.abc import Callable
+from datetime import timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -242,20 +243,39 @@ def _late_lake(spark: SparkSession, sf_dir: str) -> str:
     return _LATE_LAKES[key]
 
 
-def late_day_dim_product(spark: SparkSession, sf_dir: str) -> DataFrame:
-    dim = dim_store.read_dim(spark, daily_run.tables(_late_lake(spark, sf_dir))["dim_product"].path)
+_DAILY_LAKES: dict[tuple[str, str], str] = {}
+
+
+def _daily_lake(spark: SparkSession, sf_dir: str) -> str:
+    """A lake of the first three days of the events, each built by a run of its own."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _DAILY_LAKES:
+        root = scratch_dir(spark, "daily")
+        cards, pages = inputs.raw_cards(spark, sf_dir), inputs.raw_event_pages(spark, sf_dir)
+        first = cards.agg(F.min("ingested_at").cast("date").alias("day")).first().day
+        days = [str(first + timedelta(days=n)) for n in range(3)]
+        _write_feed(cards.filter(F.col("ingested_at").isin(days)), f"{root}/feeds", feeds.SEARCH)
+        _write_feed(pages.filter(F.col("ingested_at").isin(days)), f"{root}/feeds", feeds.DETAILS)
+        for day in days:
+            daily_run.run_day(spark, f"{root}/feeds", f"{root}/lake", day, multi_line=False)
+        _DAILY_LAKES[key] = f"{root}/lake"
+    return _DAILY_LAKES[key]
+
+
+def daily_runs_dim_product(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Product history after three plain daily runs, of which the later two append."""
+    dim = dim_store.read_dim(spark, daily_run.tables(_daily_lake(spark, sf_dir))["dim_product"].path)
     return _shown(dim).withColumnRenamed("_attr_hash", "attr_hash")
 
 
-def late_day_performance(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The page fact of all days, with the surrogate keys of a history into which a day was spliced."""
-    table = daily_run.tables(_late_lake(spark, sf_dir))["fact_product_performance"]
-    return _shown(tables.read_days(spark, table.path, table.schema))
+def late_day_dim_product(spark: SparkSession, sf_dir: str) -> DataFrame:
+    dim = dim_store.read_dim(spark, daily_run.tables(_late_lake(spark, sf_dir))["dim_product"].path)
+    return _shown(dim).withColumnRenamed("_attr_hash", "attr_hash")
 
 
-def _lake_table(name: str) -> Query:
+def _lake_table(name: str, lake: Callable[[SparkSession, str], str] = _lake) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        table = daily_run.tables(_lake(spark, sf_dir))[name]
+        table = daily_run.tables(lake(spark, sf_dir))[name]
         return _shown(tables.read_days(spark, table.path, table.schema))
 
     return query
@@ -263,7 +283,7 @@ def _lake_table(name: str) -> Query:
 
 def backfill_dim_product(spark: SparkSession, sf_dir: str) -> DataFrame:
     dim = dim_store.read_dim(spark, daily_run.tables(_lake(spark, sf_dir))["dim_product"].path)
-    return _shown(dim).drop("_attr_hash")
+    return _shown(dim).withColumnRenamed("_attr_hash", "attr_hash")
 
 
 def rerun_day_dim_product(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -272,7 +292,7 @@ def rerun_day_dim_product(spark: SparkSession, sf_dir: str) -> DataFrame:
     newest = dim_store.newest_day(spark, daily_run.tables(lake)["dim_product"].path)
     daily_run.run_day(spark, f"{lake.rpartition('/')[0]}/feeds", lake, newest, multi_line=False)
     dim = dim_store.read_dim(spark, daily_run.tables(lake)["dim_product"].path)
-    return _shown(dim).drop("_attr_hash")
+    return _shown(dim).withColumnRenamed("_attr_hash", "attr_hash")
 
 
 def rerun_day_shrinks(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -414,6 +434,24 @@ def fact_product_performance(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _shown(facts.performance_with_versions(_details(spark, sf_dir))).drop("brand", "category_leaf")
 
 
+def fact_performance_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The page fact as the runs write it: surrogate keys looked up in the stored dimension as of each page's day."""
+    details = _stored(_details(spark, sf_dir))
+    return _shown(facts.fact_product_performance(details, _stored(dimension.dim_history(details)), "asof"))
+
+
+def mart_brand_monthly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The brand mart as the runs write it, over one page a month and product: most brands have several products."""
+    leaf = F.concat(F.lit("L"), (F.col("variation_count") % 2).cast("string"))
+    month = F.trunc(F.col("ingested_at").cast("date"), "month").cast("string")
+    category = F.array(F.struct(leaf.alias("name"), F.lit("/l").alias("url"), F.lit(1).alias("level")))
+    pages = inputs.raw_pages(spark, sf_dir).withColumns({"ingested_at": month, "categories": category})
+    details = _stored(silver.clean_products(pages))
+    dim = _stored(dimension.dim_history(details))
+    performance = facts.fact_product_performance(details, dim, "asof")
+    return _shown(marts.mart_brand_competitive(performance, dim, unique_grain=True))
+
+
 def mart_keyword_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _shown(_keyword_mart(spark, sf_dir))
 
@@ -593,6 +631,8 @@ def queries() -> dict[str, Query]:
         "fact_search_ranking": fact_search_ranking,
         "fact_price_snapshot": fact_price_snapshot,
         "fact_product_performance": fact_product_performance,
+        "fact_performance_lookup": fact_performance_lookup,
+        "mart_brand_monthly": mart_brand_monthly,
         "mart_keyword_daily": mart_keyword_daily,
         "mart_brand_competitive": mart_brand_competitive,
         "keyword_products_over_days": keyword_products_over_days,
@@ -604,7 +644,12 @@ def queries() -> dict[str, Query]:
         "rerun_day_dim_product": rerun_day_dim_product,
         "rerun_day_shrinks": rerun_day_shrinks,
         "late_day_dim_product": late_day_dim_product,
-        "late_day_performance": late_day_performance,
+        "late_day_performance": _lake_table("fact_product_performance", _late_lake),
+        "late_day_search_ranking": _lake_table("fact_search_ranking", _late_lake),
+        "daily_runs_dim_product": daily_runs_dim_product,
+        "daily_runs_price_snapshot": _lake_table("fact_price_snapshot", _daily_lake),
+        "backfill_search_ranking": _lake_table("fact_search_ranking"),
+        "backfill_price_snapshot": _lake_table("fact_price_snapshot"),
         "serving_views": serving_views,
         "keyword_list": keyword_list,
         "keyword_topk": keyword_topk,
