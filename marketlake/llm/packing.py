@@ -4,7 +4,8 @@ Pieces have at most `capacity` tokens, so the histogram has at most `capacity` e
 The covering program (ways to fill a sequence, so that every length is covered as often as it occurs) is solved
 approximately by multiplicative weights: lengths covered more lose price, and a knapsack table by dynamic programming
 finds the best-priced ways. The ways' counts are rounded down, and what they leave is packed best-fit decreasing, also by
-whole classes of equal sequences. Only the histogram and the plan pass the driver; each piece finds its place from its
+whole classes of equal sequences. The program is solved with ways that leave next to nothing free, and again with more
+slack as long as the plan needs more sequences than a lower bound by over MAX_GAP; the best plan is taken. Only the histogram and the plan pass the driver; each piece finds its place from its
 rank among the pieces of its length.
 
 Cases: a null or empty text is one piece of the end id alone. Repeated rows are packed each; a null doc_id is carried. A
@@ -32,7 +33,9 @@ END_ID = 0
 ROUNDS = 16
 TABLES_A_ROUND = 12
 WEIGHT_RATE = 1.0
-MAX_WASTE = 0.001
+#: Shares of a sequence that ways may leave free, one try after the other, and the gap to the lower bound that ends the tries.
+SLACKS = (0.001, 0.01, 0.1)
+MAX_GAP = 0.001
 _encoders: dict[str, tuple] = {}
 
 
@@ -100,11 +103,13 @@ def _knapsack(sizes: np.ndarray, price: np.ndarray, capacity: int) -> tuple[np.n
     return best, pick
 
 
-def _ways(counts: np.ndarray, capacity: int, rounds: int) -> dict[tuple[int, ...], float]:
+def _ways(counts: np.ndarray, capacity: int, rounds: int, slack: float) -> dict[tuple[int, ...], float]:
     """Fractional counts of ways to fill a sequence (each a descending tuple of lengths), by multiplicative weights.
 
     A length's dual price is its share of a sequence times a weight that falls by its coverage. Round t covers lengths up
-    to the share t / rounds of their counts, so that what is left at any time is like the whole.
+    to the share t / rounds of their counts, so that what is left at any time is like the whole. A round ends when all are
+    covered, when no way is left within `slack`, or after TABLES_A_ROUND tables; what it leaves open is priced higher in
+    the next, and what the last leaves goes to the rest.
     """
     sizes = np.flatnonzero(counts)
     need = counts[sizes].astype(float)
@@ -127,7 +132,7 @@ def _ways(counts: np.ndarray, capacity: int, rounds: int) -> dict[tuple[int, ...
                     else:
                         way.append(int(pick[c]))
                         c -= int(own[pick[c]])
-                if capacity - int(own[way].sum()) > MAX_WASTE * capacity:
+                if capacity - int(own[way].sum()) > slack * capacity:
                     continue
                 kinds, times = np.unique(open_[way], return_counts=True)
                 step = float(((need * t / rounds - done)[kinds] / times).min())
@@ -169,11 +174,38 @@ def _best_fit(counts: np.ndarray, capacity: int, classes: list[list]) -> list[li
     return [item for own in spaces.values() for item in own]
 
 
+def least_sequences(counts: np.ndarray, capacity: int = CAPACITY) -> int:
+    """A lower bound: no two lengths over half a sequence share one, and above a threshold k nothing over capacity - k
+    shares one with the lengths from k on; the best of all thresholds."""
+    length = np.arange(capacity + 1)
+    number, tokens = (np.concatenate([[0], np.cumsum(c)]) for c in (counts, counts * length))
+    best, half = -(-int(tokens[-1]) // capacity), capacity // 2
+    for k in range(1, half + 1):
+        alone, pairing = int(number[-1] - number[capacity - k + 1]), int(number[capacity - k + 1] - number[half + 1])
+        room = pairing * capacity - int(tokens[capacity - k + 1] - tokens[half + 1])
+        small = int(tokens[half + 1] - tokens[k])
+        best = max(best, alone + pairing + max(0, -(-(small - room) // capacity)))
+    return best
+
+
 def plan(counts: np.ndarray, capacity: int = CAPACITY, rounds: int = ROUNDS) -> list[tuple[tuple[int, ...], int]]:
     """Ways to fill a sequence and how often, covering exactly `counts` (by length, from 0 to `capacity`)."""
+    enough = (1 + MAX_GAP) * least_sequences(counts, capacity)
+    best: dict[tuple[int, ...], int] = {}
+    for slack in (*SLACKS, None):  # at last the rest alone: the program's plan is never worse than best fit
+        if best and sum(best.values()) <= enough:
+            break
+        found = _plan(counts, capacity, _ways(counts, capacity, rounds, slack) if slack else {})
+        if not best or sum(found.values()) < sum(best.values()):
+            best = found
+    return sorted(best.items())
+
+
+def _plan(counts: np.ndarray, capacity: int, ways: dict[tuple[int, ...], float]) -> dict[tuple[int, ...], int]:
+    """The ways' counts rounded down, and best fit for what they leave."""
     left = counts.astype(np.int64).copy()
     classes = []
-    for way, times in sorted(_ways(left, capacity, rounds).items(), key=lambda x: (-x[1], x[0])):
+    for way, times in sorted(ways.items(), key=lambda x: (-x[1], x[0])):
         kinds, many = np.unique(way, return_counts=True)
         n = int(min(int(times + 1e-6), (left[kinds] // many).min()))
         if n:
@@ -182,7 +214,7 @@ def plan(counts: np.ndarray, capacity: int = CAPACITY, rounds: int = ROUNDS) ->
     merged: dict[tuple[int, ...], int] = defaultdict(int)
     for way, _, times in _best_fit(left, capacity, classes):
         merged[tuple(sorted(way, reverse=True))] += times
-    return sorted(merged.items())
+    return merged
 
 
 def places(ways: list[tuple[tuple[int, ...], int]]) -> dict[int, tuple[np.ndarray, ...]]:
@@ -202,12 +234,13 @@ def places(ways: list[tuple[tuple[int, ...], int]]) -> dict[int, tuple[np.ndarra
 
 
 def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
-    """`pieces` with sequence_id and offset; `pieces` should be a written table, as it is read three times."""
+    """`pieces` with sequence_id and offset; `pieces` should be a written table, as it is read three times. Its column
+    `spread` tells rows that are alike apart, so that they do not meet in one bin."""
     counts = np.zeros(capacity + 1, np.int64)
     for row in pieces.groupBy("length").count().collect():  # `capacity` rows at most
         counts[row["length"]] = row["count"]
     table = places(plan(counts, capacity))
-    names = pieces.columns
+    names = [c for c in pieces.columns if c != "spread"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -222,11 +255,12 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
                 offset[at] = begin[seg] + nth % many[seg] * size
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), pa.array(sequence), pa.array(offset)], [*names, "sequence_id", "offset"])
 
-    drawn = pieces.withColumn("h", F.xxhash64("doc_id", "piece", "ids_crc32"))
+    drawn = pieces.withColumn("h", F.xxhash64("doc_id", "piece", "ids_crc32", "spread"))
     drawn = ranked(drawn, ["length"], hash_bin("h", bins(int(counts.sum()))), ["h", "doc_id", "piece"], "rank")
-    kinds = ", ".join(f"`{c}` {t}" for c, t in pieces.dtypes)
+    kinds = ", ".join(f"`{c}` {t}" for c, t in pieces.dtypes if c in names)
     return drawn.select(*names, "rank").mapInArrow(run, f"{kinds}, sequence_id long, offset long")
 
 
 def pack_documents(documents: DataFrame, path: str, pattern: str, capacity: int = CAPACITY, with_ids: bool = False) -> DataFrame:
-    return pack(stored(tokenize(documents, path, pattern, capacity, with_ids), "pieces"), capacity)
+    pieces = tokenize(documents, path, pattern, capacity, with_ids).withColumn("spread", F.monotonically_increasing_id())
+    return pack(stored(pieces, "pieces"), capacity)

@@ -28,7 +28,7 @@ def shard_rows(documents: DataFrame, shards: int = 24, seed: int = 17) -> DataFr
         (F.octet_length(text) + ROW_OVERHEAD).cast("long").alias("size"),
         F.crc32(text).alias("text_crc32"),
     )
-    slim = stored(slim.withColumn("h", F.xxhash64("doc_id", "size", "text_crc32", F.lit(seed))), "shard-rows")
+    slim = stored(slim.withColumn("h", F.xxhash64("doc_id", "size", "text_crc32", F.monotonically_increasing_id(), F.lit(seed))), "shard-rows")
     sources = slim.groupBy("src").agg(F.count("*").alias("n_src"))
     rows = slim.count()
     per_bin = bins(rows)

@@ -3,6 +3,7 @@
 import collections
 import json
 import math
+import zlib
 
 import numpy as np
 import pandas as pd
@@ -119,6 +120,32 @@ def test_packing_plan_covers_the_counts(top):
     assert sum(t for _, t in ways) <= least * 1.02 + 2
 
 
+def test_packing_plan_is_near_its_bound():
+    """Lengths that fill no sequence wholly, lengths over half a sequence, and random ones: within about a hundredth of the bound."""
+    odd = {1040: 6000, 548: 6000, 528: 6000, 468: 12000}
+    cases = [odd, {k + 4: n for k, n in odd.items()}, {1025: 1000, 1023: 900, 3: 5}]
+    rng = np.random.default_rng(1)
+    cases += [dict(zip(rng.choice(np.arange(1, 2049), k, replace=False).tolist(), rng.integers(1, 20_000, k).tolist(), strict=True)) for k in (5, 10, 30, 100)]
+    for case in cases:
+        counts = np.zeros(2049, np.int64)
+        counts[list(case)] = list(case.values())
+        ways = packing.plan(counts)
+        covered = np.zeros_like(counts)
+        for way, times in ways:
+            assert sum(way) <= 2048
+            np.add.at(covered, list(way), times)
+        assert (covered == counts).all()
+        assert sum(t for _, t in ways) <= 1.02 * packing.least_sequences(counts) + len(case)
+    assert sum(t for _, t in packing.plan(np.bincount([k for k, n in odd.items() for _ in range(n)], minlength=2049))) == 9000
+
+
+def test_rows_alike_do_not_meet_in_one_bin(spark):
+    """30,000 rows of which 10,000 are alike, in the hashes that deal rows to bins."""
+    docs = spark.range(30_000).selectExpr("if(id < 10000, 1L, id) as doc_id", "if(id < 10000, 'same', cast(id as string)) as text", "'s' as source")
+    got = sharding.shard_rows(docs).where("doc_id = 1").groupBy("shard").count().collect()
+    assert len(got) == 24 and max(r["count"] for r in got) < 2 * 10_000 / 24
+
+
 def test_special_strings_take_the_files_own_library():
     from tokenizers import Tokenizer
 
@@ -134,8 +161,9 @@ def test_sharding(docs):
     assert len(got) == docs.count() and counts.max() - counts.min() <= 1
     for _, part in got.groupby("shard"):
         assert sorted(part.slot) == list(range(len(part)))
-    sizes = sorted(len((t or "").encode()) + 8 for _, t in pairs(docs))
-    assert sorted(got["size"]) == sizes
+    rows = lambda own: sorted(map(repr, own))
+    ids = [None if pd.isna(d) else int(d) for d in got.doc_id]
+    assert rows(zip(ids, map(int, got["size"]), map(int, got.text_crc32), strict=True)) == rows((d, len((t or "").encode()) + 8, zlib.crc32((t or "").encode())) for d, t in pairs(docs))
 
 
 def test_shards_match_the_mixture(spark):
