@@ -5,9 +5,14 @@ from __future__ import annotations
 from marketlake.llm import license_scan as licenses
 from marketlake.llm import quality_rules as rules
 
+_quoted = lambda p: "'" + p.replace("'", "''") + "'"
+_LINE_WORDS = f"len(regexp_extract_all(x, '{rules.NOT_SPACE}+'))"
 _PASSES = " AND ".join(
-    [f"regexp_matches(x, '{rules.ENDS.replace(chr(39), chr(39) * 2)}')"]
-    + [f"NOT regexp_matches(x, '{p}')" for p in (rules.SHOUTS, rules.NAVIGATES, rules.SYMBOLIC)]
+    [f"greatest(1, {_LINE_WORDS}) <= {rules.WORDS_A_SENTENCE} * len(regexp_extract_all(x, {_quoted(rules.ENDS)}))"]
+    + [
+        f"NOT (len(regexp_extract_all(x, '{p}')) >= {rules.MARKS} AND {rules.WORDS_A_MARK} * len(regexp_extract_all(x, '{p}')) > {_LINE_WORDS})"
+        for p in (rules.SHOUTS, rules.NAVIGATES, rules.SYMBOLIC)
+    ]
     + [f"NOT (regexp_matches(x, '{rules.BOILERPLATE}') AND length(x) <= {rules.BOILERPLATE_CHARS})"]
 )
 

@@ -255,7 +255,8 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
                 offset[at] = begin[seg] + nth % many[seg] * size
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), pa.array(sequence), pa.array(offset)], [*names, "sequence_id", "offset"])
 
-    drawn = pieces.withColumn("h", F.xxhash64("doc_id", "piece", "ids_crc32", "spread"))
+    apart = ["spread"] if "spread" in pieces.columns else []
+    drawn = pieces.withColumn("h", F.xxhash64("doc_id", "piece", "ids_crc32", *apart))
     drawn = ranked(drawn, ["length"], hash_bin("h", bins(int(counts.sum()))), ["h", "doc_id", "piece"], "rank")
     kinds = ", ".join(f"`{c}` {t}" for c, t in pieces.dtypes if c in names)
     return drawn.select(*names, "rank").mapInArrow(run, f"{kinds}, sequence_id long, offset long")

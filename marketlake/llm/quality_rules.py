@@ -15,15 +15,19 @@ SPACE = r"[\x20\x09-\x0D]"
 NOT_SPACE = r"[^\x20\x09-\x0D]"
 SYMBOLS = "[#*$%&|<>]"
 
-#: Rules of a line, as patterns that mean the same to Java and RE2. A line fails if it neither ends nor holds a sentence,
-#: or if another pattern is found, boilerplate only in a line of at most BOILERPLATE_CHARS.
-ENDS = r"""[.!?:;…。！？]["')\]”’»]*([\x20\x09-\x0D]*\z|\x20)"""
-SHOUTS = r"""(?s)[!?]{2,}.*[!?]{2,}.*[!?]{2,}"""
-NAVIGATES = r"""(?s)(\||›|»|•|>).*(\||›|»|•|>).*(\||›|»|•|>)"""
-SYMBOLIC = r"""(?s)[#*$%&<>]{2,}.*[#*$%&<>]{2,}.*[#*$%&<>]{2,}"""
+#: Rules of a line, as patterns that mean the same to Java and RE2, judged by shares of the line's words. A line fails with
+#: fewer than one sentence end in WORDS_A_SENTENCE words, or none; with MARKS marks of a kind or more (repeated exclamation,
+#: separators of menus, runs of symbols) that are more than one in WORDS_A_MARK words; or as boilerplate, if it is short.
+ENDS = r"""[.!?:;…。！？]+["')\]”’»]*([\x20\x09-\x0D]|\z)"""
+WORDS_A_SENTENCE = 100
+SHOUTS, NAVIGATES, SYMBOLIC = r"[!?]{2,}", r"[|›•>]", r"[#*$%&<>]{2,}"
+MARKS, WORDS_A_MARK = 3, 4
 BOILERPLATE = (
     r"(?i)(all rights reserved|copyright \(c\)|cookie policy|privacy policy|terms of (use|service)|enable javascript|"
-    r"subscribe to our|sign up for|click here|read more|log ?in to|licensed under the|lorem ipsum|powered by)"
+    r"subscribe to our|sign up for|click here|read more|log ?in to|licensed under the|lorem ipsum|powered by|"
+    r"alle rechte vorbehalten|datenschutzerkl[äÄ]rung|cookie-richtlinie|hier klicken|mehr lesen|newsletter abonnieren|"
+    r"tous droits r[éÉ]serv[éÉ]s|politique de confidentialit[éÉ]|mentions l[éÉ]gales|cliquez ici|lire la suite|abonnez-vous|"
+    r"todos los derechos reservados|pol[íÍ]tica de (privacidad|cookies)|aviso legal|haga clic aqu[íÍ]|leer m[áÁ]s|suscr[íÍ]bete)"
 )
 BOILERPLATE_CHARS = 200
 MIN_KEPT = 0.5
@@ -57,7 +61,12 @@ def _windows(words: Column) -> Column:
 
 
 def line_passes(line: Column) -> Column:
-    return line.rlike(ENDS) & ~line.rlike(SHOUTS) & ~line.rlike(NAVIGATES) & ~line.rlike(SYMBOLIC) & ~(line.rlike(BOILERPLATE) & (F.length(line) <= BOILERPLATE_CHARS))
+    """Whether a line is kept. Words and ends are counted only where a text of that length could fail by their share."""
+    words = F.size(F.array_remove(F.split(line, f"{SPACE}+"), ""))
+    short = F.length(line) <= 2 * WORDS_A_SENTENCE  # as many words at most as one end is enough for
+    ends = line.rlike(ENDS) & (short | (WORDS_A_SENTENCE * F.regexp_count(line, F.lit(ENDS)) >= words))
+    marked = [line.rlike(f"(?s)({p})(.*({p})){{{MARKS - 1}}}") & (WORDS_A_MARK * F.regexp_count(line, F.lit(p)) > words) for p in (SHOUTS, NAVIGATES, SYMBOLIC)]
+    return ends & ~marked[0] & ~marked[1] & ~marked[2] & ~((F.length(line) <= BOILERPLATE_CHARS) & line.rlike(BOILERPLATE))
 
 
 def clean_lines(documents: DataFrame, min_kept: float = MIN_KEPT, min_words: int = MIN_WORDS) -> DataFrame:
