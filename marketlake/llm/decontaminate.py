@@ -6,7 +6,8 @@ fixed size, the rest are joined by hash, and each pair of document and item is e
 than a window are looked for whole, at every place.
 
 Cases: a null or empty text has no words and is never hit; an item without words occurs nowhere. Rows of one item_id count
-as one item. Repeated documents are judged row by row. Extra columns are dropped; with no items no document is hit.
+as one item; a null item_id is the item of the empty id. Repeated documents are judged row by row. Extra columns are dropped;
+with no items no document is hit, and without documents the result is empty.
 """
 
 from __future__ import annotations

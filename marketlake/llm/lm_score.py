@@ -13,7 +13,8 @@ words, whose counts are known from a first pass, are dealt to all shards by pair
 before they are sent, so a word or pair of any frequency costs a shard a few bytes for a document that holds it.
 
 Cases: a null or empty text is one end token. Without training documents every probability is that of an unknown word.
-Repeated rows are scored, and learned from, each. Words are told apart by 64-bit hashes, predecessors of a word by 32 bits.
+Repeated rows are scored, and learned from, each. Extra columns are dropped; an empty table gives an empty result. Words are
+told apart by 64-bit hashes, predecessors of a word by 32 bits.
 """
 
 from __future__ import annotations

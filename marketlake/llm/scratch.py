@@ -10,9 +10,12 @@ from pyspark.sql import functions as F
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder of `spark.checkpoint.dir`. Only where it is unset, as in tests, one is made and set."""
+    """The folder of `spark.checkpoint.dir`. Only where it is unset in a local session, as in tests, one is made and set; on a
+    cluster executors would each write to a folder of their own, so it has to be set there."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that every executor reaches")
         folder = tempfile.mkdtemp(prefix="marketlake-")
         spark.sparkContext.setCheckpointDir(folder)
         spark.conf.set("spark.checkpoint.dir", folder)

@@ -14,7 +14,7 @@ from marketlake.llm.scratch import documents
 @pytest.mark.parametrize("name", sorted(oracle.oracle_sql()))
 def test_query_equals_its_sql(spark, sf_dir, name):
     base = duckdb.connect()
-    for table in ("documents", "benchmark"):
+    for table in ("documents", "benchmark", "conversations"):
         base.sql(f"CREATE VIEW {table} AS SELECT * FROM '{sf_dir}/{table}.parquet'")
     want = base.sql(oracle.oracle_sql()[name])
     got = queries.queries()[name](spark, sf_dir).select(*want.columns)
@@ -37,6 +37,24 @@ def test_stages(spark, sf_dir):
     assert all(len(words(kept[3][d])) <= len(words(kept[2][d])) for d in kept[3])
 
 
+@pytest.mark.parametrize("empty", [False, True])
+def test_stages_of_odd_rows(spark, sf_dir, odd_documents, no_documents, empty):
+    """Nulls in every column, blank and very long texts, repeated rows, clashing extra columns; an empty table."""
+    docs = no_documents if empty else odd_documents
+    asked = {r["doc_id"] for r in docs.collect()}
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        got = stage(spark, docs, sf_dir)
+        assert got.columns == corpus_pipeline.COLUMNS, name
+        rows = got.collect()
+        assert {r["doc_id"] for r in rows} <= asked and (len(rows) == 0) == empty, name
+        if name == "secret_scan" and not empty:
+            assert len(rows) == docs.count() and not any(sum(base_spans(r["text"])[:3]) for r in rows)
+        if name == "decontamination":
+            assert len(rows) == docs.count()
+    packed = corpus_pipeline.packed(spark, docs, sf_dir)
+    assert {r["doc_id"] for r in packed.collect()} == asked
+
+
 def test_run(spark, sf_dir):
     packed = corpus_pipeline.run(spark, sf_dir)
     assert packed.count() == packed.select("sequence_id", "offset").distinct().count()
