@@ -1,4 +1,9 @@
-"""From raw documents to packed training sequences, one written table a stage."""
+"""From raw documents to packed training sequences, one written table a stage.
+
+Cases, of every stage: a null in any column is carried; an empty table gives an empty table; texts are read whole; columns
+beyond those of `documents` are dropped, whatever their names. Rows that repeat are judged row by row but where a stage says
+otherwise.
+"""
 
 from __future__ import annotations
 
@@ -16,22 +21,28 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language the model, learned from the labelled ones, does not reject."""
+    """Documents whose language the model, learned from the labelled ones, does not reject.
+
+    A null text, or one without letters, is rejected. Without any labelled document nothing is.
+    """
     return language_id.identify(docs, language_id.train(docs), COLUMNS).where("not rejected").select(*COLUMNS)
 
 
 def one_of_similar(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each class of near duplicates."""
+    """One document of each class of near duplicates: of the rows that repeat too.
+
+    It is the one of the smallest doc_id. Documents without words are near duplicates of nothing and stay.
+    """
     return one_of_each(docs.select(*COLUMNS))
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no window of a benchmark item."""
+    """Documents that hold no window of a benchmark item; those without words stay."""
     return drop_contaminated(docs.select(*COLUMNS), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def masked_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, with secrets masked in their texts and the length put right."""
+    """All documents, with secrets masked in their texts and the length put right; other rows keep their n_chars."""
     found = secrets.scan(docs, secrets.train(docs), COLUMNS, mask=True)
     masked = F.coalesce("masked", "text")
     length = F.when(F.col("masked").isNotNull(), F.length("masked").cast("long")).otherwise(F.col("n_chars"))
@@ -39,7 +50,7 @@ def masked_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of the documents and their places in sequences."""
+    """Pieces of the documents and their places in sequences; a null text is the end id alone."""
     return pack_documents(docs, *tokenizer())
 
 
