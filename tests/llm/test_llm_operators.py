@@ -291,31 +291,51 @@ def test_rejected_languages(spark):
         assert share(docs.where(~learned)) >= 0.95 and share(odd) >= 0.95
 
 
-def test_lm_scores(docs):
+@pytest.mark.parametrize("order", [2, 3, 4])
+def test_lm_scores(docs, order):
     flagged = docs.select("doc_id", (id_remainder(10) != 0).alias("learned"), "text")
-    got = lm_score.score_texts(flagged).collect()
+    got = lm_score.score_texts(flagged, order).collect()
     texts = [(d, brute.remainder(d, 10) != 0, [*brute.words(t), None]) for d, t in pairs(docs)]
-    one, two, learned = collections.Counter(), collections.Counter(), 0
+    begin = (0,) * (order - 1)
+    grams, one = collections.Counter(), collections.Counter()
     for _, own, w in texts:
         if own:
             one.update(w)
-            two.update(zip([0, *w], w, strict=False))
-            learned += 1
+            for k in range(len(w)):
+                for n in range(2, order + 1):
+                    grams[tuple([*begin, *w][order + k - n : order + k])] += 1
+    contexts = collections.Counter()
+    for g, n in grams.items():
+        contexts[g[:-1]] += n
     tokens = sum(one.values())
     mass = tokens + 0.1 * (len(one) + 1)
 
     def scores(w):
-        base = sum(math.log10((one[x] + 0.1) / mass) for x in w)
-        mu = lm_score.MU
-        full = sum(math.log10((two[u, x] + mu * (one[x] + 0.1) / mass) / ((learned if u == 0 else one[u]) + mu)) for u, x in zip([0, *w], w, strict=False))
+        base, full, padded = sum(math.log10((one[x] + 0.1) / mass) for x in w), 0.0, [*begin, *w]
+        for k, x in enumerate(w):
+            a, d = lm_score.MU * (one[x] + 0.1) / mass, lm_score.MU
+            for n in range(2, order + 1):
+                g = tuple(padded[order + k - n : order + k])
+                keep = 1 if n == 2 else lm_score.KEEP
+                a, d = keep * a + grams[g], keep * d + contexts[g[:-1]]
+            full += math.log10(a / d)
         return base, full
 
-    want = sorted(((d, own, len(w), sum(one[x] > 0 for x in w), tokens, *scores(w)) for d, own, w in texts), key=repr)
-    got = sorted((tuple(r) for r in got), key=repr)
-    assert [r[:5] for r in sorted(got, key=lambda r: repr(r[:5]))] == [r[:5] for r in sorted(want, key=lambda r: repr(r[:5]))]
-    for column, error in ((5, 1e-9), (6, 0.06)):
-        for a, b in zip(sorted(r[column] for r in got), sorted(r[column] for r in want), strict=True):
-            assert a == pytest.approx(b, rel=error, abs=0.5 if column == 6 else 1e-9)
+    by_row = lambda r: (repr(r[:5]), r[6])
+    want = sorted(((d, own, len(w), sum(one[x] > 0 for x in w), tokens, *scores(w)) for d, own, w in texts), key=by_row)
+    got = sorted((tuple(r) for r in got), key=by_row)
+    assert [r[:5] for r in got] == [r[:5] for r in want]
+    pair, deeper = math.log10(1 + mass / lm_score.MU) / 510, math.log10(1 + 1 / lm_score.KEEP) / 510
+    off = [abs(a[6] - b[6]) / b[2] for a, b in zip(got, want, strict=True)]
+    assert max(off) <= pair + (2 * order - 4) * deeper + 1e-5  # half a step of every stored value
+    assert sum(off) / len(off) < 0.006
+    assert sorted(r[5] for r in got) == pytest.approx(sorted(r[5] for r in want), rel=1e-9)
+
+
+def test_lm_scores_do_not_depend_on_shards(docs):
+    flagged = docs.select("doc_id", (id_remainder(10) != 0).alias("learned"), "text")
+    few, many = (sorted(r["score"] for r in lm_score.score_texts(flagged, shards=n).collect()) for n in (4, 40))
+    assert few == pytest.approx(many, rel=1e-6)
 
 
 def test_quality_rules_of_odd_rows(odd_documents):
