@@ -64,7 +64,7 @@ def scan(
     shaped: Callable[[DataFrameReader], DataFrameReader],
 ) -> DataFrame | None:
     """The JSON files of the given days with their origin, as the reader's options shape the records."""
-    folders = [f"{root}/{feed.folder}/{n}" for n in _day_folders(spark, root, feed, days)]
+    folders = [f"{root}/{feed.folder}/{n}" for n in day_folders(spark, root, feed, days)]
     if not folders:
         return None
     reader = spark.read.option("multiLine", multi_line).option("mode", "PERMISSIVE").option("pathGlobFilter", "*.json")
@@ -78,10 +78,10 @@ def scan(
 
 def feed_days(spark: SparkSession, root: str, feed: Feed, days: list[str]) -> list[str]:
     """Those of ``days`` that have a folder."""
-    return [n.rpartition("=")[2] for n in _day_folders(spark, root, feed, days)]
+    return [n.rpartition("=")[2] for n in day_folders(spark, root, feed, days)]
 
 
-def _day_folders(spark: SparkSession, root: str, feed: Feed, days: list[str]) -> list[str]:
+def day_folders(spark: SparkSession, root: str, feed: Feed, days: list[str]) -> list[str]:
     wanted = set(days)
     return [n for n in child_names(spark, f"{root}/{feed.folder}") if n.rpartition("=")[2] in wanted]
 
