@@ -47,7 +47,7 @@ BLOCK_TOKENS = 2_000_000
 BLOCK_DOCS = 8192
 WORD_SHARDS_A_TASK = 4
 LEVELS = 256
-SHARD_TOKENS = 3_000_000
+SHARD_TOKENS = 2_000_000
 ADDED = 0.1
 END, BEGIN = np.uint64(0x5E5E5E5E5E5E5E5E), np.uint64(0x1B1B1B1B1B1B1B1B)
 _SCORE = "doc_id long, learned boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
