@@ -472,6 +472,30 @@ FROM ev JOIN spans ON ingested_at BETWEEN first_day AND last_day GROUP BY keywor
     )
 
 
+#: Cards of two products each, as they are sent.
+CARDS_SENT = f"""SELECT CASE side WHEN 0 THEN asin ELSE 'C' || asin END AS asin, '  Card ' || event_id || ' ' AS title,
+  CASE WHEN k % 11 = 0 THEN NULL WHEN k % 13 = 0 THEN 'N/A'
+    WHEN k % 3 = 0 THEN 'VND ' || format('{{:,}}', cents * 10)
+    ELSE '$' || (cents // 100) || '.' || lpad(CAST(cents % 100 AS VARCHAR), 2, '0') END AS price,
+  CASE WHEN k % 4 <> 0 THEN '$' || ((cents + k * 7) // 100) || '.' ||
+    lpad(CAST((cents + k * 7) % 100 AS VARCHAR), 2, '0') END AS original_price,
+  CASE WHEN k % 10 <> 0 THEN (k % 4 + 1) || '.' || (k % 10) || ' out of 5 stars' END AS rating,
+  CASE WHEN k % 9 = 0 THEN NULL WHEN k % 3 = 0 THEN '(' || k || '.' || (event_id % 10) || 'K)'
+    WHEN k % 7 = 0 THEN '(1,' || lpad(CAST(k AS VARCHAR), 3, '0') || ')'
+    ELSE '(' || (event_id % 1000) || ')' END AS ratings_count,
+  CASE WHEN k % 5 = 0 THEN NULL WHEN k % 2 = 0 THEN (k % 9 + 1) || 'K+ bought in past month'
+    WHEN k % 3 = 0 THEN '1,' || lpad(CAST(k AS VARCHAR), 3, '0') || '+ bought in past month'
+    ELSE (k * 10 + 50) || '+ bought in past month' END AS monthly_sales,
+  CASE WHEN k % 17 <> 0 THEN k % 4 = 0 END AS is_sponsored, k % 3 = 0 AS is_prime,
+  k % 23 = 0 AS is_best_seller, k % 19 = 0 AS is_amazons_choice,
+  CASE k % 6 WHEN 0 THEN 'Save ' || (5 + k % 20) || '%with coupon (some sizes/colors)'
+    WHEN 1 THEN 'Save $' || k || ' with coupon' END AS coupon,
+  'FREE delivery in ' || (k % 7) || ' days' AS delivery, '/dp/' || asin AS url,
+  '/img/' || asin || '.jpg' AS image_url, keyword, marketplace,
+  strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') AS source_extracted_at, CAST(ingested_at AS VARCHAR) AS ingested_at
+FROM ev CROSS JOIN (VALUES (0), (1)) sides(side)"""
+
+
 def oracle_sql() -> dict[str, str]:
     cards = f"SELECT {CARD_COLUMNS} FROM cards"
     day = f"ingested_at = DATE '{DAY}'"
@@ -534,29 +558,12 @@ FROM latest WHERE position = 1""",
             f"""SELECT * EXCLUDE (rank_0, rank_1, rank_2, category_0, category_1, category_2, source_file, ts),
   strftime(ts, {TIME_FORMAT}) AS source_extracted_at FROM pages_latest""",
         ),
-        "ingest_explode": _with(
+        "ingest_explode": _with(EVENTS, CARDS_SENT),
+        "ingest_split": _with(
             EVENTS,
-            f"""SELECT CASE side WHEN 0 THEN asin ELSE 'C' || asin END AS asin, '  Card ' || event_id || ' ' AS title,
-  CASE WHEN k % 11 = 0 THEN NULL WHEN k % 13 = 0 THEN 'N/A'
-    WHEN k % 3 = 0 THEN 'VND ' || format('{{:,}}', cents * 10)
-    ELSE '$' || (cents // 100) || '.' || lpad(CAST(cents % 100 AS VARCHAR), 2, '0') END AS price,
-  CASE WHEN k % 4 <> 0 THEN '$' || ((cents + k * 7) // 100) || '.' ||
-    lpad(CAST((cents + k * 7) % 100 AS VARCHAR), 2, '0') END AS original_price,
-  CASE WHEN k % 10 <> 0 THEN (k % 4 + 1) || '.' || (k % 10) || ' out of 5 stars' END AS rating,
-  CASE WHEN k % 9 = 0 THEN NULL WHEN k % 3 = 0 THEN '(' || k || '.' || (event_id % 10) || 'K)'
-    WHEN k % 7 = 0 THEN '(1,' || lpad(CAST(k AS VARCHAR), 3, '0') || ')'
-    ELSE '(' || (event_id % 1000) || ')' END AS ratings_count,
-  CASE WHEN k % 5 = 0 THEN NULL WHEN k % 2 = 0 THEN (k % 9 + 1) || 'K+ bought in past month'
-    WHEN k % 3 = 0 THEN '1,' || lpad(CAST(k AS VARCHAR), 3, '0') || '+ bought in past month'
-    ELSE (k * 10 + 50) || '+ bought in past month' END AS monthly_sales,
-  CASE WHEN k % 17 <> 0 THEN k % 4 = 0 END AS is_sponsored, k % 3 = 0 AS is_prime,
-  k % 23 = 0 AS is_best_seller, k % 19 = 0 AS is_amazons_choice,
-  CASE k % 6 WHEN 0 THEN 'Save ' || (5 + k % 20) || '%with coupon (some sizes/colors)'
-    WHEN 1 THEN 'Save $' || k || ' with coupon' END AS coupon,
-  'FREE delivery in ' || (k % 7) || ' days' AS delivery, '/dp/' || asin AS url,
-  '/img/' || asin || '.jpg' AS image_url, keyword, marketplace,
-  strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') AS source_extracted_at, CAST(ingested_at AS VARCHAR) AS ingested_at
-FROM ev CROSS JOIN (VALUES (0), (1)) sides(side)""",
+            f"""SELECT * REPLACE (title || '"{{[}}\\" ' AS title, 'all' AS keyword, 'US' AS marketplace,
+  ingested_at AS source_extracted_at)
+FROM ({CARDS_SENT} WHERE side = 0)""",
         ),
         "feed_drift": _with(
             EVENTS,

@@ -4,7 +4,7 @@ import functools
 from collections.abc import Callable
 from datetime import timedelta
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from marketlake import schemas
@@ -16,7 +16,7 @@ from marketlake.operators.dedup import dedup_latest
 from marketlake.operators.lookup import resolve_sk
 from marketlake.plans import daily_run, dimension, distinct_days, facts, marts, research, silver, synonyms, views
 from marketlake.registry import inputs
-from marketlake.sources import dim_store, drift, feeds, tables
+from marketlake.sources import dim_store, drift, feeds, split_json, tables
 from marketlake.sources.files import child_names, delete, scratch_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -165,6 +165,25 @@ def ingest_explode(spark: SparkSession, sf_dir: str) -> DataFrame:
     return feeds.flatten(envelopes, feeds.SEARCH).drop("source_file", "source_position")
 
 
+def ingest_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A day's cards as one envelope, with quotes and braces in their titles, read in byte ranges."""
+    root = scratch_dir(spark, "split")
+    cards = inputs.raw_cards(spark, sf_dir).withColumn("title", F.concat("title", F.lit('"{[}\\" ')))
+    fields = [c for c in cards.columns if c not in {*feeds.SEARCH.metadata, "source_file", "source_position", "ingested_at"}]
+    first = F.row_number().over(Window.partitionBy("ingested_at").orderBy("title")) == 1
+    comma = F.when(first, "").otherwise(",")
+    lines = cards.select(F.col("ingested_at").alias("day"), F.lit(1).alias("part"), "title", F.concat(comma, F.to_json(F.struct(*fields))).alias("value"))
+    days = cards.select(F.col("ingested_at").alias("day")).distinct()
+    metadata = F.to_json(F.struct(F.lit("all").alias("keyword"), F.lit("US").alias("marketplace"), F.col("day").alias("extracted_at")))
+    begin = days.select("day", F.lit(0), F.lit(""), F.concat(F.lit('{"metadata": '), metadata, F.lit(', "products": [')))
+    end = days.select("day", F.lit(2), F.lit(""), F.lit("]}"))
+    lines = lines.union(begin).union(end).repartition("day").sortWithinPartitions("day", "part", "title")
+    lines.select("day", "value").write.partitionBy("day").text(f"{root}/{feeds.SEARCH.folder}")
+    names = [name.rpartition("=")[2] for name in child_names(spark, f"{root}/{feeds.SEARCH.folder}")]
+    rows, _ = split_json.read_split(spark, root, feeds.SEARCH, names, pattern="*.txt")
+    return rows.drop("source_file", "source_position")
+
+
 def feed_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fields of product pages that are new or of another type from some day on, kept by a run and reported by day."""
     root = scratch_dir(spark, "drift")
@@ -618,6 +637,7 @@ def queries() -> dict[str, Query]:
         "nested_counts": _page_columns(_nested_columns),
         "clean_products": clean_products,
         "ingest_explode": ingest_explode,
+        "ingest_split": ingest_split,
         "feed_drift": feed_drift,
         "publish_day_roundtrip": publish_day_roundtrip,
         "append_then_clean": append_then_clean,
