@@ -13,6 +13,10 @@ def sha_key(*columns: str) -> Column:
 
 
 def change_hash(tracked: list[str]) -> Column:
-    """SHA-256 over the tracked attributes; NULL counts as empty text, so every attribute keeps its place."""
-    texts = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in tracked]
-    return F.sha2(F.concat_ws(SEPARATOR, *texts), DIGEST_BITS)
+    """SHA-256 over the tracked attributes (see ``change_text``)."""
+    return F.sha2(change_text([F.col(c) for c in tracked]), DIGEST_BITS)
+
+
+def change_text(tracked: list[Column]) -> Column:
+    """The tracked attributes as one text; NULL counts as empty text, so every attribute keeps its place."""
+    return F.concat_ws(SEPARATOR, *[F.coalesce(c.cast("string"), F.lit("")) for c in tracked])

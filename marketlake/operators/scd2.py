@@ -10,10 +10,10 @@ A row with a NULL in its key matches nothing: it always starts a version of its
 
 from datetime import date
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from marketlake.functions.keys import change_hash
+from marketlake.functions.keys import change_hash, change_text
 
 VALIDITY = ("effective_date", "expiry_date", "is_current")
 
@@ -24,31 +24,40 @@ def day_literal(day: str | date) -> Column:
 
 def as_new_versions(snapshots: DataFrame, tracked: list[str], day: Column) -> DataFrame:
     """The rows as open versions that start on ``day``, with the hash of their tracked attributes."""
-    return snapshots.withColumns(
-        {
-            "effective_date": day,
-            "expiry_date": F.lit(None).cast("date"),
-            "is_current": F.lit(True),
-            "_attr_hash": change_hash(tracked),
-        }
-    )
+    return as_open_versions(snapshots, day).withColumn("_attr_hash", change_hash(tracked))
+
 
+def as_open_versions(snapshots: DataFrame, day: Column) -> DataFrame:
+    """The rows as open versions that start on ``day``, not hashed yet."""
+    return snapshots.withColumns({"effective_date": day, "expiry_date": F.lit(None).cast("date"), "is_current": F.lit(True)})
 
-def scd2_history(versions: DataFrame, keys: list[str]) -> DataFrame:
+
+def scd2_history(versions: DataFrame, keys: list[str], tracked: list[str] | None = None) -> DataFrame:
     """Folds day-by-day versions (see ``as_new_versions``) into history in one shuffle on the key.
 
     A row equal to the one before it is dropped; each remaining row ends the day before the next one starts.
+    With ``tracked`` the versions come without hashes (``as_open_versions``): rows are compared by these attributes and
+    only those that remain are hashed, as hashes do not compress in a shuffle.
     """
     by_day = Window.partitionBy(*keys, "_alone").orderBy("effective_date")
-    before = F.lag("_attr_hash").over(by_day)
     starts = (
         versions.withColumn("_alone", alone(keys))
-        .withColumn("_before", before)
-        .filter(F.col("_before").isNull() | (F.col("_before") != F.col("_attr_hash")))
-        .drop("_before")
+        .withColumn("_starts", starts_version(tracked or ["_attr_hash"], by_day))
+        .filter("_starts")
+        .drop("_starts")
     )
     end = F.date_sub(F.lead("effective_date").over(by_day), 1)
-    return starts.withColumn("expiry_date", end).withColumn("is_current", F.col("expiry_date").isNull()).drop("_alone")
+    history = starts.withColumn("expiry_date", end).withColumn("is_current", F.col("expiry_date").isNull()).drop("_alone")
+    return history.withColumn("_attr_hash", change_hash(tracked)) if tracked else history
+
+
+def starts_version(tracked: list[str], by_day: WindowSpec) -> Column:
+    """Whether a row is the first of its window or differs from the one before it in a tracked attribute.
+
+    Compares what the hash is made of, from plain columns, so that nothing is added to the rows before their shuffle.
+    """
+    before = change_text([F.lag(c).over(by_day) for c in tracked])
+    return (F.row_number().over(by_day) == 1) | (before != change_text([F.col(c) for c in tracked]))
 
 
 def scd2_merge(current: DataFrame, incoming: DataFrame, day: str | date, keys: list[str]) -> DataFrame:

@@ -7,10 +7,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from marketlake import schemas
-from marketlake.functions.keys import change_hash, sha_key
+from marketlake.functions.keys import sha_key
 from marketlake.functions.numbers import settled
 from marketlake.operators.lookup import resolve_sk
-from marketlake.operators.scd2 import alone
+from marketlake.operators.scd2 import alone, starts_version
 from marketlake.plans.dimension import KEYS, TRACKED
 
 PRICE_KEYS = ["asin", "marketplace", "ingested_at"]
@@ -85,9 +85,8 @@ def performance_with_versions(details: DataFrame) -> DataFrame:
     version each page has the version's own.
     """
     by_day = Window.partitionBy(*KEYS, "_alone").orderBy("ingested_at")
-    before = F.lag("_hash").over(by_day)
-    starts = F.when(before.isNull() | (before != F.col("_hash")), F.col("ingested_at"))
-    paged = details.withColumn("_alone", alone(KEYS)).withColumn("_hash", change_hash(TRACKED)).withColumn("_starts", starts)
+    starts = F.when(starts_version(TRACKED, by_day), F.col("ingested_at"))
+    paged = details.withColumn("_alone", alone(KEYS)).withColumn("_starts", starts)
     newest = F.last("_starts", ignorenulls=True).over(by_day.rowsBetween(Window.unboundedPreceding, Window.currentRow))
     paged = paged.withColumn("effective_date", newest)
     known = F.col(KEYS[0]).isNotNull() & F.col(KEYS[1]).isNotNull()

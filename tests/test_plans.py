@@ -5,7 +5,7 @@ import re
 import pytest
 
 from marketlake import schemas
-from marketlake.plans import facts, marts, research, silver
+from marketlake.plans import dimension, facts, marts, research, silver
 from marketlake.sources import dim_store, tables
 
 
@@ -64,6 +64,22 @@ def test_large_unused_page_fields_are_not_read(stored_tables, plan_of):
     assert {"description", "variations"}.isdisjoint(columns) and "brand" in columns
 
 
+def test_pages_and_their_history_take_one_shuffle(stored_tables, plan_of):
+    pages = silver.clean_products(stored_tables["details"])
+    for df in (pages, dimension.dim_history(pages), facts.performance_with_versions(pages)):
+        plan = plan_of(df)
+        assert shuffles(plan) == 1 and "Exchange hashpartitioning(asin" in plan
+        below = plan[plan.index("Exchange hashpartitioning") :]
+        assert not {"Sort [", "WindowGroupLimit", "sha2("} & set(re.findall(r"Sort \[|WindowGroupLimit|sha2\(", below))
+
+
+def test_hashes_are_made_after_the_shuffle(spark, stored_tables, plan_of):
+    details = spark.createDataFrame([], schemas.SILVER_DETAILS)
+    for df in (dimension.dim_history(details), dimension.dim_history(details, stored_tables["dim"])):
+        plan = plan_of(df)
+        assert "sha2(" in plan and "sha2(" not in plan[plan.index("Exchange hashpartitioning") :]
+
+
 def test_lookup_forces_no_broadcast(stored_tables):
     df = facts.fact_search_ranking(stored_tables["search"], stored_tables["dim"])
     assert "broadcast" not in df._jdf.queryExecution().optimizedPlan().toString().lower()

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from marketlake.functions.keys import sha_key
 from marketlake.operators.quality import current_duplicates
-from marketlake.operators.scd2 import as_new_versions, first_after, scd2_history, scd2_splice, scd2_step, splice_changes, splice_keys, valid_between
+from marketlake.operators.scd2 import as_new_versions, as_open_versions, first_after, scd2_history, scd2_splice, scd2_step, splice_changes, splice_keys, valid_between
 
 KEYS, TRACKED = ["asin", "marketplace"], ["title", "brand"]
 START = date(2026, 3, 4)
@@ -49,6 +49,15 @@ def test_changed_title_gives_two_adjoining_versions(spark, stored):
     assert brief(scd2_history(versions(rows), KEYS)) == expected
 
 
+def test_plain_attributes_fold_as_their_hashes_do(stored):
+    days = [START + timedelta(days=n) for n in range(6)]
+    titles = [None, "", "a~b", "a", "a", None]
+    rows = [(asin, "US", t, "b" if t == "a~b" else "b~b", "i", d) for asin in ("a", None) for t, d in zip(titles, days, strict=True)]
+    rows = stored(rows, SNAPSHOT)
+    plain = scd2_history(as_open_versions(rows, F.col("day")).drop("day"), KEYS, TRACKED).withColumn("sk", sha_key(*KEYS, "effective_date"))
+    assert as_set(plain) == as_set(scd2_history(versions(rows), KEYS)) and plain.count() == 3 + 6
+
+
 def test_untracked_change_and_absence_leave_the_version_alone(spark, stored):
     day2 = START + timedelta(days=1)
     rows = stored(
