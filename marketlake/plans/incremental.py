@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from marketlake.plans import daily_run
 from marketlake.sources import dim_store
+from marketlake.sources.feeds import FILES
 from marketlake.sources.tables import RunReport
 
 # The columns of Spark's file listing source. The contents are never asked for here, so they are not read.
@@ -29,7 +30,7 @@ def run_new_files(
     arrived = (
         spark.readStream.schema(LISTING)
         .format("binaryFile")
-        .option("pathGlobFilter", "*.json")
+        .option("pathGlobFilter", FILES)
         .option("recursiveFileLookup", True)
         .option("maxFilesPerTrigger", files_a_batch)
         .load(feeds)

@@ -17,7 +17,7 @@ from marketlake.operators.lookup import resolve_sk
 from marketlake.plans import daily_run, dimension, distinct_days, facts, marts, research, silver, synonyms, views
 from marketlake.registry import inputs
 from marketlake.sources import dim_store, drift, feeds, split_json, tables
-from marketlake.sources.files import child_names, delete, scratch_dir
+from marketlake.sources.files import TABLE_CODEC, child_names, delete, scratch_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -44,7 +44,7 @@ def _shown(df: DataFrame) -> DataFrame:
 def _stored(df: DataFrame) -> DataFrame:
     """Written to the shared folder and read back, for a table that a query reads more than once."""
     path = scratch_dir(df.sparkSession, "stored")
-    df.write.parquet(path)
+    df.write.parquet(path, compression=TABLE_CODEC)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -151,7 +151,7 @@ def _write_feed(rows: DataFrame, root: str, feed: feeds.Feed, with_companion: bo
         .hint("rebalance", F.col("day"))
         .write.mode(mode)
         .partitionBy("day")
-        .json(f"{root}/{feed.folder}")
+        .json(f"{root}/{feed.folder}", compression="gzip")
     )
 
 

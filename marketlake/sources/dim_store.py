@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marketlake import schemas
-from marketlake.sources.files import child_names, delete, matching
+from marketlake.sources.files import TABLE_CODEC, child_names, delete, matching
 
 GENERATION, RUN, PATCH = "generation", "run_day", "patch"
 
@@ -81,7 +81,7 @@ def write_run(spark: SparkSession, versions: DataFrame, path: str, day: str, reb
         .option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "true")
         .option("partitionOverwriteMode", "static")
         .partitionBy("is_current")
-        .parquet(f"{path}/{GENERATION}={generation}/{RUN}={day}")
+        .parquet(f"{path}/{GENERATION}={generation}/{RUN}={day}", compression=TABLE_CODEC)
     )
 
 
@@ -93,7 +93,7 @@ def write_patch(spark: SparkSession, changes: DataFrame, path: str) -> None:
     (
         changes.select(*schemas.column_names(schemas.DIM_PRODUCT), "removed")
         .write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "true")
-        .parquet(f"{base}/{PATCH}={days[-1]}.{number:06d}")
+        .parquet(f"{base}/{PATCH}={days[-1]}.{number:06d}", compression=TABLE_CODEC)
     )
 
 

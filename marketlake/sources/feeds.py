@@ -1,4 +1,4 @@
-"""Raw feeds: JSON envelopes ``{metadata, products: [...]}`` under ``<root>/<feed>/<yyyy-mm-dd>/*.json``."""
+"""Raw feeds: JSON envelopes ``{metadata, products: [...]}`` under ``<root>/<feed>/<yyyy-mm-dd>/*.json``, plain or as ``.json.gz``."""
 
 from collections.abc import Callable
 from dataclasses import dataclass
@@ -10,6 +10,10 @@ from marketlake import schemas
 from marketlake.sources.files import child_names
 
 
+# Fixed value: names of feed files. A compressed file is read by one task, so it should be no larger than a task's share.
+FILES = "*.{json,json.gz}"
+
+
 @dataclass(frozen=True)
 class Feed:
     name: str
@@ -67,7 +71,7 @@ def scan(
     folders = [f"{root}/{feed.folder}/{n}" for n in day_folders(spark, root, feed, days)]
     if not folders:
         return None
-    reader = spark.read.option("multiLine", multi_line).option("mode", "PERMISSIVE").option("pathGlobFilter", "*.json")
+    reader = spark.read.option("multiLine", multi_line).option("mode", "PERMISSIVE").option("pathGlobFilter", FILES)
     return (
         shaped(reader)
         .json(folders)

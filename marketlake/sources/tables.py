@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from marketlake import schemas
 from marketlake.operators.quality import schema_differences
-from marketlake.sources.files import child_names, delete
+from marketlake.sources.files import TABLE_CODEC, child_names, delete
 
 DAY = "ingested_at"
 
@@ -98,6 +98,6 @@ def _write(df: DataFrame, path: str, mode: str) -> tuple[int, set[str]]:
         .write.mode(mode)
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(DAY)
-        .parquet(path)
+        .parquet(path, compression=TABLE_CODEC)
     )
     return written.get["rows"], set(written.get["days"] or ())

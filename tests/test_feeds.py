@@ -1,5 +1,6 @@
 """Raw JSON envelopes: good, bad, missing and mixed."""
 
+import gzip
 import json
 
 import pytest
@@ -142,3 +143,13 @@ def test_fields_beyond_the_declared_schema(spark, tmp_path):
     report = {(r.field, r.change, r.seen) for r in drift.drift_report(rows, feeds.DETAILS).collect()}
     assert {("extra", "new", 1), ("asin", "retyped", 1), ("$", "unreadable", 1)} <= report
     assert drift.drifted(spark, str(tmp_path), feeds.SEARCH, ["2026-03-04"]) is None
+
+
+def test_compressed_files_are_read_like_plain_ones(spark, tmp_path):
+    folder = tmp_path / feeds.SEARCH.folder / "2026-03-04"
+    folder.mkdir(parents=True)
+    for name, asin, opened in (("a.json", "A1", open), ("b.json.gz", "A2", gzip.open)):
+        with opened(folder / name, "wt") as file:
+            file.write(json.dumps({"metadata": {"keyword": "k", "marketplace": "US", "extracted_at": "t"}, "products": [{"asin": asin}]}))
+    rows = feeds.read_feed(spark, str(tmp_path), feeds.SEARCH, "2026-03-04").collect()
+    assert sorted((r.asin, r.source_file) for r in rows) == [("A1", "a.json"), ("A2", "b.json.gz")]
