@@ -64,7 +64,33 @@ def _valid(day: str) -> Column:
 
 def _carried(df: DataFrame, dim: DataFrame, keys: list[str], day: str, sk: str) -> DataFrame:
     """``df`` through the time line itself; rows without a key, which match nothing, go round it."""
-    asked = df.dropna(subset=keys).select(*keys, day, F.struct(*df.columns).alias("row"))
-    found = _time_line(asked, dim, keys, day, sk).select(F.when(_valid(day), F.col(f"newest.{sk}")).alias(sk), "row.*")
+    line = beside_versions(df, dim.select(*keys, "effective_date", sk, "expiry_date"), keys)
+    so_far = (
+        Window.partitionBy(*keys)
+        .orderBy(F.coalesce("version.effective_date", day), F.col("version").isNull())
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    )
+    newest = line.withColumn("newest", F.last("version", ignorenulls=True).over(so_far)).filter(F.col("version").isNull())
+    found = newest.select(F.when(_valid(day), F.col(f"newest.{sk}")).alias(sk), *df.columns)
     keyless = df.filter(" or ".join(f"{k} is null" for k in keys))
     return found.unionByName(keyless.select(F.lit(None).cast(dim.schema[sk].dataType).alias(sk), *df.columns))
+
+
+def beside_versions(df: DataFrame, versions: DataFrame, keys: list[str], how: str = "left") -> DataFrame:
+    """The rows of ``df``, with NULL as ``version``, and below them a row for each version of their keys, which holds the
+    other columns of ``versions`` as ``version``. Its other columns are those of any row of the key.
+
+    The first row of a key meets the key's versions as one list, which is then taken apart: a join on the key alone, where
+    a union would lose how both tables are dealt. Tables stored by key (``tables.stored_by``) take no shuffle here, others
+    one each. All versions of a key are held at once, so there should be no more than one a day. Rows without a key drop
+    out, and with ``inner`` those without a version.
+    """
+    version = F.struct(*[c for c in versions.columns if c not in keys])
+    held = versions.dropna(subset=keys).groupBy(*[F.col(k).alias(f"_{k}") for k in keys]).agg(F.collect_list(version).alias("_versions"))
+    first = F.row_number().over(Window.partitionBy(*keys).orderBy(*keys)) == 1
+    own = F.array(F.lit(None).cast(held.schema["_versions"].dataType.elementType))
+    listed = F.when(F.col("_first") & F.col("_versions").isNotNull(), F.concat(own, "_versions")).otherwise(own)
+    rows = df.dropna(subset=keys).withColumn("_first", first)
+    # Never broadcast: the lists would pass through the driver.
+    both = rows.join(held.hint("merge"), [F.col(k) == F.col(f"_{k}") for k in keys], how)
+    return both.select(*df.columns, F.explode(listed).alias("version"))

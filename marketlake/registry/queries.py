@@ -453,10 +453,18 @@ def fact_product_performance(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _shown(facts.performance_with_versions(_details(spark, sf_dir))).drop("brand", "category_leaf")
 
 
+def _stored_history(details: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The pages and their dimension, stored by product; of the pages the columns that the dimension or the fact is made of."""
+    read = {*dimension.KEYS, "best_seller_ranks", *schemas.column_names(schemas.DIM_PRODUCT), *schemas.column_names(schemas.FACT_PRODUCT_PERFORMANCE)}
+    spark = details.sparkSession
+    pages = tables.stored_by(details.select(*[c for c in details.columns if c in read]), scratch_dir(spark, "pages"), dimension.KEYS)
+    return pages, tables.stored_by(dimension.dim_history(pages), scratch_dir(spark, "dim"), dimension.KEYS)
+
+
 def fact_performance_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The page fact as the runs write it: surrogate keys looked up in the stored dimension as of each page's day."""
-    details = _stored(_details(spark, sf_dir))
-    return _shown(facts.fact_product_performance(details, _stored(dimension.dim_history(details)), "asof"))
+    details, dim = _stored_history(_details(spark, sf_dir))
+    return _shown(facts.fact_product_performance(details, dim, "asof"))
 
 
 def mart_brand_monthly(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -465,8 +473,7 @@ def mart_brand_monthly(spark: SparkSession, sf_dir: str) -> DataFrame:
     month = F.trunc(F.col("ingested_at").cast("date"), "month").cast("string")
     category = F.array(F.struct(leaf.alias("name"), F.lit("/l").alias("url"), F.lit(1).alias("level")))
     pages = inputs.raw_pages(spark, sf_dir).withColumns({"ingested_at": month, "categories": category})
-    details = _stored(silver.clean_products(pages))
-    dim = _stored(dimension.dim_history(details))
+    details, dim = _stored_history(silver.clean_products(pages))
     performance = facts.fact_product_performance(details, dim, "asof")
     return _shown(marts.mart_brand_competitive(performance, dim, unique_grain=True))
 

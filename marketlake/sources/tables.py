@@ -1,5 +1,6 @@
 """Tables as Parquet directories partitioned by day: read some days, replace some days, append a day."""
 
+import uuid
 from collections.abc import Iterable
 from dataclasses import dataclass
 
@@ -101,3 +102,18 @@ def _write(df: DataFrame, path: str, mode: str) -> tuple[int, set[str]]:
         .parquet(path, compression=TABLE_CODEC)
     )
     return written.get["rows"], set(written.get["days"] or ())
+
+
+def stored_by(df: DataFrame, path: str, keys: list[str]) -> DataFrame:
+    """``df`` written to a new folder in buckets of ``keys`` and read back: steps by these keys then need no shuffle.
+
+    As many buckets as shuffle partitions, so rows that a step by these keys left behind are written where they are. The
+    table's name is only for the write, as Spark buckets named tables alone; it is gone from the catalog when this returns.
+    """
+    spark, name = df.sparkSession, f"stored_{uuid.uuid4().hex}"
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    df.write.bucketBy(buckets, *keys).option("path", path).saveAsTable(name, format="parquet", compression=TABLE_CODEC)
+    try:
+        return spark.table(name)
+    finally:
+        spark.sql(f"DROP TABLE {name}")  # an external table: its files stay

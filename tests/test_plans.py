@@ -122,3 +122,44 @@ def one_version(day):
 def test_typing_stays_in_generated_code(stored_tables, plan_of):
     for df in (silver.clean_search(stored_tables["bronze"]), silver.clean_products(stored_tables["details"])):
         assert "Python" not in plan_of(df)
+
+
+def pages_of_days(spark):
+    """Pages of nine products in two marketplaces, a few without a product, unique per product and day."""
+    filled = {
+        "asin": "if(id % 50 = 7, null, concat('a', id % 9))",
+        "marketplace": "if(id % 2 = 0, 'US', 'DE')",
+        "ingested_at": "date_add(date'2026-03-01', cast(id div 18 as int))",
+        "title": "concat('t', id div 54)",
+        "brand": "if(id % 9 = 4, null, concat('B', id % 3))",
+        "category_leaf": "if(id % 9 = 5, null, concat('L', id % 2))",
+        "best_seller_ranks": "array(named_struct('rank', cast(id % 7 as int), 'category', 'c'))",
+        "variation_count": "cast(id div 72 as int)",
+        "is_fba": "id % 5 = 0",
+        "rating_weighted_avg": "id / 10",
+    }
+    kinds = schemas.parse(schemas.SILVER_DETAILS)
+    return spark.range(400).selectExpr(*[f"cast({filled.get(f.name, 'null')} as {f.dataType.simpleString()}) as {f.name}" for f in kinds])
+
+
+def content(df):
+    return sorted(df.drop("gold_processed_at").collect(), key=str)
+
+
+def stored_history(spark, folder):
+    details = tables.stored_by(pages_of_days(spark), f"{folder}/pages", dimension.KEYS)
+    return details, tables.stored_by(dimension.dim_history(details), f"{folder}/dim", dimension.KEYS)
+
+
+def test_lookup_in_tables_stored_by_product_takes_no_shuffle(spark, tmp_path, plan_of):
+    details, dim = stored_history(spark, tmp_path)
+    fact = facts.fact_product_performance(details, dim, "asof")
+    assert shuffles(plan_of(dimension.dim_history(details))) == 0 and shuffles(plan_of(fact)) == 0
+    assert not [t.name for t in spark.catalog.listTables() if t.name.startswith("stored_")]
+
+    plain = pages_of_days(spark).localCheckpoint()
+    versions = dimension.dim_history(plain)
+    assert content(dim) == content(versions.select(*dim.columns))
+    assert content(fact) == content(facts.performance_with_versions(plain).select(*fact.columns))
+    assert content(fact) == content(facts.fact_product_performance(plain, versions, "asof"))
+    assert 0 < fact.filter("product_sk is null").count() < fact.count() == 400
