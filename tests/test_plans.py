@@ -163,3 +163,16 @@ def test_lookup_in_tables_stored_by_product_takes_no_shuffle(spark, tmp_path, pl
     assert content(fact) == content(facts.performance_with_versions(plain).select(*fact.columns))
     assert content(fact) == content(facts.fact_product_performance(plain, versions, "asof"))
     assert 0 < fact.filter("product_sk is null").count() < fact.count() == 400
+
+
+def test_brand_mart_of_tables_stored_by_product_shuffles_groups_only(spark, tmp_path, plan_of):
+    details, dim = stored_history(spark, tmp_path)
+    fact = facts.fact_product_performance(details, dim, "asof")
+    mart = marts.mart_brand_competitive(fact, dim, unique_grain=True)
+    plan = plan_of(mart)
+    assert shuffles(plan) == 1 and "partial_count" in plan[plan.index("Exchange hashpartitioning") :] and "Broadcast" not in plan
+
+    joined = fact.join(dim.select("product_sk", "brand", "category_leaf"), "product_sk")
+    assert content(mart) == content(marts.brand_figures(joined, unique_grain=True)) != []
+    plain = marts.mart_brand_competitive(fact.localCheckpoint(), dim.localCheckpoint(), unique_grain=True)
+    assert content(plain) == content(mart)
