@@ -1,8 +1,8 @@
 """Surrogate-key lookup against the product dimension.
 
-No broadcast is forced: the dimension grows with the catalogue, so Spark decides from the measured size. Beyond
-the broadcast limit a hot product may sit on the left side of the sort-merge join; the right side holds one row
-per key (and day), so adaptive execution splits that product's rows over many tasks and copies one row to each.
+The dimension is never broadcast: a broadcast passes through the driver, and Spark takes the size of a part of its columns
+for far less than the surrogate keys come to. A hot product may sit on the left side of the sort-merge join; the right side
+holds one row per key (and day), so adaptive execution splits that product's rows over many tasks and copies one row to each.
 """
 
 from pyspark.sql import Column, DataFrame, Window
@@ -32,7 +32,7 @@ def resolve_sk(
         found, on = valid_versions(dim, df.select(*keys, day).distinct(), keys, day, sk), [*keys, day]
     else:
         raise ValueError(f"mode must be 'current' or 'asof', not {mode!r}")
-    return df.join(found, on, "left").select(sk, *df.columns)
+    return df.join(found.hint("merge"), on, "left").select(sk, *df.columns)
 
 
 def valid_versions(dim: DataFrame, asked: DataFrame, keys: list[str], day: str, sk: str) -> DataFrame:

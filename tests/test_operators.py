@@ -121,6 +121,12 @@ def test_asof_lookup_compares_no_ranges(stored, plan_of):
     assert joins and all("effective_date" not in line for line in joins)
 
 
+def test_dimension_does_not_pass_through_the_driver(stored, plan_of):
+    cards, dim = stored([("a1", "US", DAY, 1)], CARD), stored(dim_rows(), DIM, "dim")
+    for mode, once in (("current", False), ("asof", False), ("asof", True)):
+        assert "Broadcast" not in plan_of(resolve_sk(cards, dim, ["asin", "marketplace"], mode, unique_days=once))
+
+
 def test_hot_product_is_split_over_tasks(spark, stored, plan_of):
     """A third of all cards on one product, beyond the broadcast limit."""
     settings_for_small_data = {
