@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from marketlake.llm import words as W
 from marketlake.llm.bloom import build, may_hold
-from marketlake.llm.components import components
+from marketlake.llm.components import components, merged
 from marketlake.llm.scratch import cores, stored, text_key, without
 
 SHINGLE_WORDS = 5
@@ -64,22 +64,25 @@ def _tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(range(_SLICES), pa.int32()), pa.array(parts, pa.binary())], ["slice", "counts"])
 
 
-def _add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _levels(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Logarithms of the counters' sums, a sixteenth of a doubling a step, by slice."""
     sums: dict[int, np.ndarray] = {}
     for batch in batches:
         for k, blob in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
             own = np.frombuffer(blob, "<u4" if len(blob) == 4 * COUNTERS // _SLICES else "<u8").astype(np.int64)
             sums[k] = sums[k] + own if k in sums else own
     for k, v in sums.items():
-        yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([v.tobytes()], pa.binary())], ["slice", "counts"])
+        level = np.minimum(np.log2(v + 1) * 16, 1023).astype("<i2")
+        yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([level.tobytes()], pa.binary())], ["slice", "levels"])
 
 
-def shingle_counts(documents: DataFrame) -> np.ndarray:
-    """The counters, COUNTERS numbers whatever the input. Tasks add up their own first, then tasks by slice."""
+def shingle_levels(documents: DataFrame) -> np.ndarray:
+    """Of each counter the logarithm of its count, COUNTERS small numbers whatever the input; the counts stay with the tasks,
+    which add up their own first, then tasks by slice."""
     parts = documents.select("text").mapInArrow(_tally, "slice int, counts binary").repartition(_SLICES, "slice")
-    out = np.zeros((_SLICES, COUNTERS // _SLICES), np.int64)
-    for row in parts.mapInArrow(_add_up, "slice int, counts binary").collect():
-        out[row["slice"]] += np.frombuffer(row["counts"], np.int64)
+    out = np.zeros((_SLICES, COUNTERS // _SLICES), np.int16)
+    for row in parts.mapInArrow(_levels, "slice int, levels binary").collect():
+        out[row["slice"]] = np.frombuffer(row["levels"], "<i2")
     return out.ravel()
 
 
@@ -257,11 +260,11 @@ def _fits(a: str, b: str) -> str:
     return f"{size} and 9 * least({a}.n - {a}.pos, {b}.n - {b}.pos) >= 4 * ({a}.n + {b}.n)"
 
 
-def similarity_links(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(doc_id, text_key, n, node) of every row, and links (a, b) between nodes that give the same classes as all links."""
+def similarity_classes(documents: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(doc_id, text_key, n, node) of every row, each node's smallest doc_id (node, least_id), and the classes (node, label) of
+    all linked nodes."""
     documents = documents.select("doc_id", "text")
-    counts = shingle_counts(documents)
-    level = np.minimum(np.log2(counts + 1) * 16, 1023).astype(np.int16)
+    level = shingle_levels(documents)
     keyed = documents.select("doc_id", text_key(), "text")
     rows = stored(keyed.mapInArrow(_signatures(level), "doc_id long, text_key long, n int, node long, grp long, central float, prefix array<long>, bitmap binary"), "signatures", "lz4")
     info = rows.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("grp").alias("grp"), F.first("bitmap").alias("bitmap"))
@@ -310,15 +313,13 @@ def similarity_links(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
     across = found.join(left, "gx").join(right, "gy").where("la <> lb").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     rest = stored(across.union(inside).distinct(), "rest-pairs", "lz4")
     more = _verify(documents, info, rest)
-    return rows.select("doc_id", "text_key", "n", "node"), links.union(more)
+    return rows.select("doc_id", "text_key", "n", "node"), info.select("node", F.col("doc_id").alias("least_id")), merged(classes, more)
 
 
 def _with_component(documents: DataFrame) -> DataFrame:
     """Rows with shingles (doc_id, text_key, n, node, label, component_id), and the others with their own doc_id."""
-    rows, links = similarity_links(documents)
-    classes = components(links)
-    named = rows.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("least_id")).join(classes, "node", "left")
-    named = named.select("node", F.coalesce("label", "node").alias("label"), "least_id")
+    rows, nodes, classes = similarity_classes(documents)
+    named = nodes.join(classes, "node", "left").select("node", F.coalesce("label", "node").alias("label"), "least_id")
     named = named.join(named.groupBy("label").agg(F.min("least_id").alias("component_id")), "label").select("node", "label", "component_id")
     empty = rows.where("n = 0").select("doc_id", "text_key", "n", "node", F.lit(None).cast("long").alias("label"), F.col("doc_id").alias("component_id"))
     return rows.where("n > 0").join(named, "node").select("doc_id", "text_key", "n", "node", "label", "component_id").union(empty)

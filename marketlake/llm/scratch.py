@@ -8,6 +8,8 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+ROWS_PER_TASK = 10_000
+
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder of `spark.checkpoint.dir`. Only where it is unset in a local session, as in tests, one is made and set; on a
@@ -32,6 +34,13 @@ def stored(df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def in_few_tasks(df: DataFrame, rows: int) -> DataFrame:
+    """`df`, of about `rows` narrow rows and behind a shuffle, in a task for each ROWS_PER_TASK of them instead of one for
+    each shuffle partition: every task costs the driver its metrics and events, also one without rows."""
+    tasks = max(2, -(-rows // ROWS_PER_TASK))
+    return df.coalesce(tasks) if tasks < cores(df.sparkSession) else df
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
