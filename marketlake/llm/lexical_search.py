@@ -5,7 +5,8 @@ falling impact. Queries come in blocks of bounded size; a task reads its shards'
 at a time, and keeps for each document the sum of what was read (its lower score) and that sum plus the next unread
 impact of every list in which it was not met yet (its upper score). Reading goes on until no unread document can reach the
 tenth best lower score, and every document that still can has equal lower and upper scores, so that ties are known too.
-Shards send their best rows, of which the best are kept. Postings are never shuffled.
+Shards send their best rows, of which the best are kept. Postings are never shuffled. A task holds one shard at a time, however
+many it writes or reads: each is a row group of its own and a batch of its own.
 
 Scores are whole numbers: a term's weight is floor(1000 * ln((2 * N + 2) / (2 * df + 1))), a posting's impact that times
 (10**9 * tf) div (1000 * tf + 8 * m), where m = 100 - 90 + (90 * n * N) div L. Terms are told apart by 64-bit hashes.
@@ -28,7 +29,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from marketlake.llm import words as W
-from marketlake.llm.scratch import stored
+from marketlake.llm.scratch import row_by_row, stored
 
 #: Bounds of a shard, which fit a task's memory; documents of a shard are numbered by 16 bits.
 SHARD_DOCS, SHARD_BYTES = 16_384, 24 << 20
@@ -36,12 +37,27 @@ SHARD_DOCS, SHARD_BYTES = 16_384, 24 << 20
 BLOCK_TERMS = 200_000
 #: Postings that are first read of each list; every further step reads as many as all before.
 FIRST_READ = 64
+#: Postings that are put in order at once, whole lists.
+SORTED_AT_ONCE = 1 << 18
 TOP = 10
 
 _SHARD = "n_docs long, n_terms long, ids binary, known binary, lengths binary, terms binary, sizes binary, docs binary, counts binary"
 _SORTED = "ids binary, known binary, terms binary, sizes binary, docs binary, gains binary"
 
 
+def _cell(values: np.ndarray) -> pa.Array:
+    """The bytes of `values` as a column of one row, not copied."""
+    values = np.ascontiguousarray(values)
+    return pa.Array.from_buffers(pa.binary(), 1, [None, pa.py_buffer(np.array([0, values.nbytes], np.int32)), pa.py_buffer(values)])
+
+
+def _joined(parts: list[np.ndarray]) -> np.ndarray:
+    """All parts in one array; the list is emptied."""
+    out = np.concatenate(parts)
+    parts.clear()
+    return out
+
+
 def _shards(shard_docs: int, shard_bytes: int):
     """Postings of the documents of a task, by term, a row for each shard."""
 
@@ -50,17 +66,15 @@ def _shards(shard_docs: int, shard_bytes: int):
         rows = size = 0
 
         def flush() -> pa.RecordBatch:
-            term, doc, count = np.concatenate(terms), np.concatenate(docs), np.concatenate(counts)
+            term = _joined(terms)
             order = np.argsort(term, kind="stable")
-            term, doc, count = term[order], doc[order], count[order]
+            term, doc, count = term[order], _joined(docs)[order], _joined(counts)[order]
+            del order
             first = np.flatnonzero(np.concatenate([np.ones(min(1, len(term)), bool), term[1:] != term[:-1]]))
-            length = np.concatenate(lengths)
-            own = [
-                np.concatenate(ids), np.concatenate(known), length.astype(np.int64), term[first], np.diff(np.append(first, len(term))).astype(np.int32),
-                doc.astype(np.uint16), count.astype(np.int32),
-            ]
+            length = _joined(lengths)
+            own = [_joined(ids), _joined(known), length.astype(np.int64), term[first], np.diff(np.append(first, len(term))).astype(np.int32), doc, count]
             held = [pa.array([int((length > 0).sum())], pa.int64()), pa.array([int(length.sum())], pa.int64())]
-            return pa.RecordBatch.from_arrays(held + [pa.array([a.tobytes()], pa.binary()) for a in own], [c.split()[0] for c in _SHARD.split(", ")])
+            return pa.RecordBatch.from_arrays(held + [_cell(a) for a in own], [c.split()[0] for c in _SHARD.split(", ")])
 
         for batch in batches:
             for texts in W.chunks(batch.column(1)):
@@ -68,8 +82,6 @@ def _shards(shard_docs: int, shard_bytes: int):
                     part = W.Texts(texts.first_row + a, texts.data[texts.begin[a] : texts.begin[min(a + shard_docs, texts.rows)]], texts.begin[a : a + shard_docs + 1] - texts.begin[a])
                     if rows and (rows + part.rows > shard_docs or size + len(part.data) > shard_bytes):
                         yield flush()
-                        for kept in (ids, known, lengths, terms, docs, counts):
-                            kept.clear()
                         rows = size = 0
                     found = W.words(part, W.WORDLIKE)
                     code, row = W.hashes(part, found), found.row
@@ -77,8 +89,8 @@ def _shards(shard_docs: int, shard_bytes: int):
                     code, row = code[order], row[order]
                     new = np.flatnonzero(np.concatenate([np.ones(min(1, len(code)), bool), (code[1:] != code[:-1]) | (row[1:] != row[:-1])]))
                     terms.append(code[new])
-                    docs.append(row[new] + rows)
-                    counts.append(np.diff(np.append(new, len(code))))
+                    docs.append((row[new] + rows).astype(np.uint16))
+                    counts.append(np.diff(np.append(new, len(code))).astype(np.int32))
                     lengths.append(np.diff(found.first))
                     id_ = batch.column(0).slice(part.first_row, part.rows)
                     known.append(np.asarray(id_.is_valid().to_numpy(zero_copy_only=False), bool))
@@ -95,7 +107,7 @@ def _read(batch: pa.RecordBatch, name: str, row: int, kind) -> np.ndarray:
 
 
 def _impact_sorted(all_docs: int, all_terms: int):
-    """Each list of a shard by falling gain, the part of the impact that is the posting's own."""
+    """Each list of a shard by falling gain, the part of the impact that is the posting's own; equal ones by document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -103,11 +115,18 @@ def _impact_sorted(all_docs: int, all_terms: int):
                 length, back = np.unique(_read(batch, "lengths", r, np.int64), return_inverse=True)
                 own = np.array([100 - 90 + 90 * int(n) * all_docs // max(all_terms, 1) for n in length], np.int64)[back]  # whole numbers of any size
                 sizes, doc = _read(batch, "sizes", r, np.int32), _read(batch, "docs", r, np.uint16)
-                count = _read(batch, "counts", r, np.int32).astype(np.int64)
-                gain = 1_000_000_000 * count // (1000 * count + 8 * own[doc])
-                order = np.lexsort((-gain, np.repeat(np.arange(len(sizes)), sizes)))
-                cells = [batch.column(c).slice(r, 1) for c in ("ids", "known", "terms", "sizes")]
-                cells += [pa.array([a.tobytes()], pa.binary()) for a in (doc[order], gain[order].astype(np.int32))]
+                count, first = _read(batch, "counts", r, np.int32), np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)])
+                docs, gains, a = np.empty(len(doc), np.uint16), np.empty(len(doc), np.int32), 0
+                while a < len(sizes):
+                    b = max(a + 1, int(np.searchsorted(first, first[a] + SORTED_AT_ONCE, side="right")) - 1)
+                    some = slice(first[a], first[b])
+                    n = count[some].astype(np.int64)
+                    gain = 1_000_000_000 * n // (1000 * n + 8 * own[doc[some]])  # less than a million, which 20 bits hold
+                    order = (np.repeat(np.arange(b - a), sizes[a:b]) << 36) | (((1 << 20) - 1 - gain) << 16) | doc[some]
+                    order.sort()
+                    docs[some], gains[some] = order & 0xFFFF, (1 << 20) - 1 - ((order >> 16) & ((1 << 20) - 1))
+                    a = b
+                cells = [batch.column(c).slice(r, 1) for c in ("ids", "known", "terms", "sizes")] + [_cell(docs), _cell(gains)]
                 yield pa.RecordBatch.from_arrays(cells, [c.split()[0] for c in _SORTED.split(", ")])
 
     return run
@@ -203,10 +222,11 @@ def _query_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def index(documents: DataFrame, shard_docs: int = SHARD_DOCS, shard_bytes: int = SHARD_BYTES) -> tuple[DataFrame, int]:
     """The impact-sorted shards of `documents`, written, and the number of documents with a term."""
-    shards = stored(documents.select(F.col("doc_id").cast("long"), "text").mapInArrow(_shards(shard_docs, shard_bytes), _SHARD), "search-shards")
+    shards = stored(documents.select(F.col("doc_id").cast("long"), "text").mapInArrow(_shards(shard_docs, shard_bytes), _SHARD), "search-shards", large_rows=True)
     n_docs, n_terms = shards.agg(F.sum("n_docs"), F.sum("n_terms")).first()
     own = shards.drop("n_docs", "n_terms").mapInArrow(_impact_sorted(n_docs or 0, n_terms or 0), _SORTED)
-    return stored(own, "search-index"), n_docs or 0
+    with row_by_row(documents.sparkSession):
+        return stored(own, "search-index", large_rows=True), n_docs or 0
 
 
 def search(documents: DataFrame, queries: DataFrame, query_id: str, top: int = TOP, block_terms: int = BLOCK_TERMS, shard_docs: int = SHARD_DOCS) -> DataFrame:
@@ -222,11 +242,13 @@ def search(documents: DataFrame, queries: DataFrame, query_id: str, top: int = T
         own = asked.where(F.pmod(F.xxhash64("query"), F.lit(blocks)) == block).select("query", "terms").collect()
         wanted = np.unique(np.array([t for r in own for t in r["terms"]], np.int64)).view(np.uint64)
         wanted.sort()
-        df = sorted_shards.select("terms", "sizes").mapInArrow(_holders(wanted), "term long, df long").groupBy("term").agg(F.sum("df")).collect()
+        with row_by_row(documents.sparkSession):
+            df = sorted_shards.select("terms", "sizes").mapInArrow(_holders(wanted), "term long, df long").groupBy("term").agg(F.sum("df")).collect()
         weight = {t: math.floor(1000 * math.log((2 * n_docs + 2) / (2 * n + 1))) for t, n in df}  # terms of the block only
         found = [(r["query"], np.array([t for t in r["terms"] if t in weight], np.int64)) for r in own]
         found = [(q, t.view(np.uint64), np.array([weight[x] for x in t.tolist()], np.int64)) for q, t in found]
-        best.append(stored(sorted_shards.mapInArrow(_search(found, top), "query long, doc_id long, score long"), "search-best"))
+        with row_by_row(documents.sparkSession):
+            best.append(stored(sorted_shards.mapInArrow(_search(found, top), "query long, doc_id long, score long"), "search-best"))
     if not best:
         best = [documents.sparkSession.createDataFrame([], "query long, doc_id long, score long")]
     first = Window.partitionBy("query").orderBy(F.desc("score"), F.col("doc_id").asc_nulls_last())

@@ -2,13 +2,19 @@
 
 from __future__ import annotations
 
+import contextlib
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 ROWS_PER_TASK = 10_000
+#: For rows of megabytes: a row group for each, so that a task holds one when it writes and one when it reads, however many it
+#: has. Parquet else looks at the size of a group only after a hundred rows. Such values are told apart by no dictionary and no bounds.
+LARGE_ROWS = {"parquet.block.row.count.limit": "1", "parquet.enable.dictionary": "false", "parquet.column.statistics.enabled": "false"}
+BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -24,16 +30,30 @@ def shared_folder(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
-def stored(df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
+def stored(df: DataFrame, name: str, codec: str = "zstd", large_rows: bool = False) -> DataFrame:
     """`df` written once and read back: cuts the lineage, outlives executors, and goes when the driver ends."""
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.option("compression", codec).parquet(path)
+    df.write.options(**(LARGE_ROWS if large_rows else {})).option("compression", codec).parquet(path)
     where = spark._jvm.org.apache.hadoop.fs.Path(path)
     where.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(where)
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextlib.contextmanager
+def row_by_row(spark: SparkSession) -> Iterator[None]:
+    """While it lasts, each batch that a Python worker gets has one row; for rows of megabytes."""
+    before = spark.conf.get(BATCH_ROWS, None)
+    spark.conf.set(BATCH_ROWS, "1")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(BATCH_ROWS)
+        else:
+            spark.conf.set(BATCH_ROWS, before)
+
+
 def in_few_tasks(df: DataFrame, rows: int) -> DataFrame:
     """`df`, of about `rows` narrow rows and behind a shuffle, in a task for each ROWS_PER_TASK of them instead of one for
     each shuffle partition: every task costs the driver its metrics and events, also one without rows."""

@@ -3,8 +3,11 @@
 import collections
 import math
 import re
+import tracemalloc
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 
 import brute
@@ -97,3 +100,57 @@ def test_empty_tables(spark, no_documents, odd_documents):
     items = spark.createDataFrame([(1, "one")], "item_id long, text string")
     assert S.search(no_documents, items, "item_id").count() == 0
     assert S.search(odd_documents, items.where("item_id > 1"), "item_id").count() == 0
+
+
+def test_a_task_holds_one_shard(spark, odd_documents, monkeypatch):
+    """Of many shards of a task, one is held at a time: each has a row group and an Arrow batch of its own."""
+    tables, batches = [], spark.sparkContext.accumulator(0)
+
+    def stored(*args, _stored=S.stored, **options):
+        tables.append((args[1], _stored(*args, **options)))
+        return tables[-1][1]
+
+    def sorted_(*args, _sorted=S._impact_sorted):
+        return lambda own: _sorted(*args)(counted(own))
+
+    def counted(own):
+        for batch in own:
+            batches.add(1)
+            assert batch.num_rows == 1
+            yield batch
+
+    monkeypatch.setattr(S, "stored", stored)
+    monkeypatch.setattr(S, "_impact_sorted", sorted_)
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    shards, _ = S.index(odd_documents.coalesce(1), shard_docs=2)
+    assert spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == before
+    assert [name for name, _ in tables] == ["search-shards", "search-index"] and shards.count() == batches.value > 3
+    for _, table in tables:
+        for file in table.inputFiles():
+            held = pq.ParquetFile(file.removeprefix("file://")).metadata
+            assert {held.row_group(k).num_rows for k in range(held.num_row_groups)} == {1}
+
+
+def test_shards_are_sorted_in_little_memory(monkeypatch):
+    """Lists by falling gain and then by document, whole or in blocks, and few bytes held for each posting."""
+    rng = np.random.default_rng(5)
+    texts = [" ".join(f"w{k}" for k in rng.zipf(1.3, rng.integers(0, 300)) % 5000) for _ in range(6000)]
+    docs = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts)], ["doc_id", "text"])
+    tracemalloc.start()
+    (shard,) = S._shards(S.SHARD_DOCS, S.SHARD_BYTES)(iter([docs]))
+    made = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    read = {c: S._read(shard, c, 0, kind) for c, kind in (("sizes", np.int32), ("docs", np.uint16), ("counts", np.int32), ("lengths", np.int64))}
+    own = 10 + 90 * read["lengths"][read["docs"]] * 6000 // 900_000
+    gain = 10**9 * read["counts"].astype(np.int64) // (1000 * read["counts"].astype(np.int64) + 8 * own)
+    order = np.lexsort((read["docs"], -gain, np.repeat(np.arange(len(read["sizes"])), read["sizes"])))
+    for at_once in (1, 1000, S.SORTED_AT_ONCE):
+        monkeypatch.setattr(S, "SORTED_AT_ONCE", at_once)
+        tracemalloc.start()
+        (found,) = S._impact_sorted(6000, 900_000)(iter([shard]))
+        held = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert (S._read(found, "docs", 0, np.uint16) == read["docs"][order]).all()
+        assert (S._read(found, "gains", 0, np.int32) == gain[order]).all()
+    assert held < 64 * min(len(order), S.SORTED_AT_ONCE) + 8 * len(order)
+    assert made < 48 * len(order) + 40 * S.W.CHUNK_BYTES
